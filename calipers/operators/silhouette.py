@@ -157,7 +157,7 @@ def largest_component(areas: DataFrame) -> DataFrame:
     return best.select("image_id", "best.label", (-F.col("best.n")).alias("area"), "best.top")
 
 
-def adaptive_runs(pixels: DataFrame) -> DataFrame:
+def adaptive_runs(pixels: DataFrame, speck_share: float = MIN_COMPONENT_SHARE) -> DataFrame:
     """Labelled runs of the non-white silhouette, with the cutoff chosen for each image.
 
     The cutoff is the first one, from 95 % in steps of 1 %, whose components (without
@@ -189,7 +189,7 @@ def adaptive_runs(pixels: DataFrame) -> DataFrame:
             .select("image_id", "x", "y")
         )
         runs = settle(labelled_runs(mask))
-        kept = settle(drop_specks(component_areas(runs), tried).select("image_id", "label", "area"))
+        kept = settle(drop_specks(component_areas(runs), tried, speck_share).select("image_id", "label", "area"))
         covered = kept.groupBy("image_id").agg(F.sum("area").alias("covered"))
         judged = settle(
             tried.join(covered, on="image_id", how="left").withColumn(

@@ -33,6 +33,7 @@ COLLECTION_VALUES = [" PROMO", "LARGE", "SMALL "]  # blanks belong to the litera
 LOOKBACK_START = dt.date(2001, 8, 20)
 OUTLINE_SIZE = 400
 GAP, REACH = 5.0, 6  # canopy walk on the small test pictures
+SPECK_SHARE = 0.01  # the usual share is less than a pixel there
 
 
 def query(fn: Query) -> Query:
@@ -89,12 +90,12 @@ def eav_product(spark, d):
 @query
 def parse_dim(spark, d):
     value = F.col("attribute_value")
-    return rounded(V.item_attributes(spark, d).select(
+    return V.item_attributes(spark, d).select(
         "oms_id", "attribute_id", "attribute_value",
         text.dimension_value(value, 0).alias("whole"),
         text.dimension_value(value, 1).alias("tenths"),
         text.dimension_value(value, 2).alias("hundredths"),
-    ))
+    )
 
 
 @query
@@ -338,7 +339,7 @@ def _labelled(spark, d):
 @query
 def components(spark, d):
     px, runs = _labelled(spark, d)
-    kept = I.drop_specks(I.component_areas(runs), I.image_sizes(px))
+    kept = I.drop_specks(I.component_areas(runs), I.image_sizes(px), SPECK_SHARE)
     return kept.select("image_id", "label", "area", "top")
 
 
@@ -350,7 +351,7 @@ def large_components(spark, d):
 
 @query
 def adaptive_mask(spark, d):
-    parts = I.adaptive_runs(V.pixels(spark, d)).groupBy("image_id", "cutoff", "label").agg(F.max("area").alias("area"))
+    parts = I.adaptive_runs(V.pixels(spark, d), SPECK_SHARE).groupBy("image_id", "cutoff", "label").agg(F.max("area").alias("area"))
     return parts.groupBy("image_id", "cutoff").agg(
         F.count(F.lit(1)).alias("parts"), F.sum("area").cast("long").alias("area")
     )
@@ -358,7 +359,7 @@ def adaptive_mask(spark, d):
 
 @query
 def bounding_boxes(spark, d):
-    return I.silhouette_boxes(I.adaptive_runs(V.pixels(spark, d)))
+    return I.silhouette_boxes(I.adaptive_runs(V.pixels(spark, d), SPECK_SHARE))
 
 
 @query
