@@ -32,13 +32,15 @@ _measures = " union all ".join(
     for a, v, w in _ATTRIBUTE_RULES
 )
 
+_flat = "case when p_brand < 'Brand#12' then {} else {} end"
+_shift = "cast(floor(p_retailprice) as int) % 10"
 _CORNERS = {
-    "a": ("60", "(case when p_brand < 'Brand#12' then 296 else 250 end + cast(floor(p_retailprice) as int) % 10)"),
-    "b": ("(100 + p_size)", "330"),
-    "c": ("300", "290"),
-    "d": ("305", "(90 + cast(floor(p_retailprice) as int) % 10)"),
+    "a": (f"({_flat.format(58, 60)})", f"({_flat.format(100, 250)} + {_shift})"),
+    "b": (f"({_flat.format(60, '100 + p_size')})", "330"),
+    "c": ("300", f"({_flat.format(310, 290)})"),
+    "d": ("305", f"(90 + {_shift})"),
     "e": ("(180 + p_size)", "60"),
-    "f": ("58", "95"),
+    "f": (f"({_flat.format(100, 58)})", f"({_flat.format(70, 95)})"),
 }
 
 
@@ -46,9 +48,10 @@ def _outline() -> str:
     rows = []
     for n, (s, e) in enumerate(["ab", "bc", "cd", "de", "ef", "fa"]):
         (xs, ys), (xe, ye) = _CORNERS[s], _CORNERS[e]
+        where = "true" if n == 0 else "p_brand <> 'Brand#25'"
         mx, my = f"floor(({xs} + {xe}) / 2.0)", f"floor(({ys} + {ye}) / 2.0)"
-        rows.append((2 * n + 1, f"{xs} + 1", ys, mx, my, "true"))
-        rows.append((2 * n + 2, xe, f"{ye} - 1", mx, f"{my} + 1", "true"))
+        rows.append((2 * n + 1, f"{xs} + 1", ys, mx, my, where))
+        rows.append((2 * n + 2, xe, f"{ye} - 1", mx, f"{my} + 1", where))
     rows.append((13, "150 + p_size", "200", "160 + p_size", "207", "p_type = 'LARGE'"))
     return " union all ".join(
         f"select p_partkey as image_id, {k} as seg_id, cast({a} as double) as x1, cast({b} as double) as y1, "
@@ -111,7 +114,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         case when l_suppkey % 2 = 0 then 'FRONT' else 'SIDE' end as image_view, max(l_extendedprice) as score
         from lineitem group by l_partkey, l_suppkey"""),
     "view_labels": ([], """select cast(p_partkey as varchar) as oms_id, p_type as product_type,
-        case when p_size <= 20 then 'SIDE' when p_size <= 40 then 'FRONT' else 'neither' end as image_view from part"""),
+        case when p_size % 5 < 2 then 'SIDE' when p_size % 5 < 4 then 'FRONT' else 'neither' end as image_view from part"""),
     "stored_images": ([], f"""select 'store/images/' || {GUID} || '.jpg' as path,
         cast(case when max(l_quantity) < 10 then 0 else max(l_quantity) * 1000 end as bigint) as length
         from lineitem where l_returnflag <> 'R' group by l_partkey, l_suppkey"""),

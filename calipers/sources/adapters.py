@@ -226,23 +226,23 @@ def outline_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outline of a box seen from the side: six edges of two pieces each, and for some a stray piece."""
     size = F.col("p_size")
     shift = F.floor("p_retailprice").cast("int") % 10
+    flat = F.col("p_brand") < "Brand#12"  # a box seen from the front: two long upright sides
+    lone = F.col("p_brand") == "Brand#25"  # only one edge was found
     corners = {
-        "a": (F.lit(60), 250 + shift),
-        "b": (100 + size, F.lit(330)),
-        "c": (F.lit(300), F.lit(290)),
+        "a": (F.when(flat, 58).otherwise(60), F.when(flat, 100 + shift).otherwise(250 + shift)),
+        "b": (F.when(flat, 60).otherwise(100 + size), F.lit(330)),
+        "c": (F.lit(300), F.when(flat, 310).otherwise(290)),
         "d": (F.lit(305), 90 + shift),
         "e": (180 + size, F.lit(60)),
-        "f": (F.lit(58), F.lit(95)),
+        "f": (F.when(flat, 100).otherwise(58), F.when(flat, 70).otherwise(95)),
     }
-    flat = F.col("p_brand") < "Brand#12"  # seen from the front: the left side as tall as the right one
-    corners["a"] = (corners["a"][0], F.when(flat, 296 + shift).otherwise(corners["a"][1]))
-    ring = ["ab", "bc", "cd", "de", "ef", "fa"]
     pieces = []
-    for n, (start, end) in enumerate(ring):
+    for n, (start, end) in enumerate(["ab", "bc", "cd", "de", "ef", "fa"]):
         (xs, ys), (xe, ye) = corners[start], corners[end]
         mx, my = F.floor((xs + xe) / 2).cast("int"), F.floor((ys + ye) / 2).cast("int")
-        pieces.append((2 * n + 1, xs + 1, ys, mx, my))
-        pieces.append((2 * n + 2, xe, ye - 1, mx, my + 1))
+        known = (lambda c: c) if n == 0 else (lambda c: F.when(~lone, c))
+        pieces.append((2 * n + 1, *map(known, (xs + 1, ys, mx, my))))
+        pieces.append((2 * n + 2, *map(known, (xe, ye - 1, mx, my + 1))))
     stray = F.col("p_type") == "LARGE"
     pieces.append((13, F.when(stray, 150 + size), F.when(stray, 200), F.when(stray, 160 + size), F.when(stray, 207)))
     rows = [
@@ -277,7 +277,7 @@ def view_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         _text(F.col("p_partkey")).alias("oms_id"),
         F.col("p_type").alias("product_type"),
-        F.when(size <= 20, "SIDE").when(size <= 40, "FRONT").otherwise("neither").alias("image_view"),
+        F.when(size % 5 < 2, "SIDE").when(size % 5 < 4, "FRONT").otherwise("neither").alias("image_view"),
     )
 
 
