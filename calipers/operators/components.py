@@ -39,31 +39,35 @@ def _contract(edges: DataFrame, reps: DataFrame, group: str) -> DataFrame:
     )
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, group: str) -> DataFrame:
-    """(group, node, label) with label the least node of the component.
+def component_labels(edges: DataFrame, group: str) -> DataFrame | None:
+    """(group, node, label) for the nodes of `edges`, label being the least node of the component.
 
-    `nodes`: group, node; `edges`: group, a, b in any direction, between nodes of one group.
+    `edges`: group, a, b in any direction, between nodes of one group. None without edges.
     """
     edges = settle(edges.where("a <> b").select(group, "a", "b"))
     rounds: list[DataFrame] = []
     while not edges.isEmpty():
         reps = settle(_representatives(edges, group, len(rounds)))
-        edges = settle(_contract(edges, reps, group))
         rounds.append(reps)
-
-    roots: DataFrame | None = None
-    for reps in reversed(rounds):
-        if roots is None:
-            roots = reps.withColumnRenamed("rep", "root")
-            continue
+        edges = settle(_contract(edges, reps, group))
+    if not rounds:
+        return None
+    roots = rounds.pop().withColumnRenamed("rep", "root")
+    while rounds:
         later = roots.select(group, F.col("node").alias("rep"), F.col("root").alias("later"))
-        roots = reps.join(later, on=[group, "rep"], how="left").select(
+        roots = rounds.pop().join(later, on=[group, "rep"], how="left").select(
             group, "node", F.coalesce("later", "rep").alias("root")
         )
-    if roots is None:
-        return nodes.select(group, "node", F.col("node").alias("label"))
+    roots = settle(roots)
     least = roots.groupBy(group, "root").agg(F.min("node").alias("label"))
-    found = roots.join(least, on=[group, "root"]).select(group, "node", "label")
+    return roots.join(least, on=[group, "root"]).select(group, "node", "label")
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame, group: str) -> DataFrame:
+    """The same for all `nodes` (group, node); nodes without edges are their own component."""
+    found = component_labels(edges, group)
+    if found is None:
+        return nodes.select(group, "node", F.col("node").alias("label"))
     return nodes.join(found, on=[group, "node"], how="left").select(
         group, "node", F.coalesce("label", "node").alias("label")
     )

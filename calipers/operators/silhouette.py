@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calipers.functions.shapes import whole
-from calipers.operators.components import connected_components
+from calipers.operators.tiles import label_runs
 from calipers.runtime import settle
 
 # Luminance weights of r, g, b (in 1/10000), and the 14-bit grey weights.
@@ -24,7 +24,6 @@ MIN_OF_LARGEST = 0.15
 FIRST_CUTOFF, LAST_CUTOFF = 95, 100  # percent of white
 MIN_FOREGROUND_SHARE = 0.10
 CROPPED_TOP = 5
-STRIP = 64  # pixels; width of the strips in which runs of neighbouring rows are matched
 
 
 def bordered_images(images: DataFrame, ratio: float) -> DataFrame:
@@ -86,47 +85,21 @@ def image_sizes(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("image_id").agg((F.max("x") + 1).alias("img_w"), (F.max("y") + 1).alias("img_h"))
 
 
-def mask_runs(mask: DataFrame) -> DataFrame:
-    """Maximal horizontal runs of a mask: (image_id, y, x0, x1)."""
-    row = Window.partitionBy("image_id", "y").orderBy("x")
+def mask_runs(mask: DataFrame, *more: str) -> DataFrame:
+    """Maximal horizontal runs of a mask: (image_id, y, x0, x1), apart for each value of `more`."""
+    key = ["image_id", "y", *more]
+    row = Window.partitionBy(*key).orderBy("x")
     return (
         mask.withColumn("island", F.col("x") - F.row_number().over(row))
-        .groupBy("image_id", "y", "island")
+        .groupBy(*key, "island")
         .agg(F.min("x").alias("x0"), F.max("x").alias("x1"))
         .drop("island")
     )
 
 
-def run_id() -> Column:
-    """Runs numbered by (row, first column); the least one of a component is its first pixel."""
-    return F.col("y").cast("long") * 2**32 + F.col("x0")
-
-
-def _touching(runs: DataFrame) -> DataFrame:
-    """Pairs of runs in neighbouring rows that share a column.
-
-    Runs meet in strips of columns, so a row of many specks is compared strip by
-    strip; each pair is kept in the strip where its overlap begins.
-    """
-    in_strips = runs.withColumn(
-        "strip", F.explode(F.sequence(F.floor(F.col("x0") / STRIP), F.floor(F.col("x1") / STRIP)))
-    )
-    upper = in_strips.select("image_id", (F.col("y") + 1).alias("y"), "strip", F.col("node").alias("a"),
-                             F.col("x0").alias("ax0"), F.col("x1").alias("ax1"))
-    lower = in_strips.select("image_id", "y", "strip", F.col("node").alias("b"), "x0", "x1")
-    return (
-        upper.join(lower, on=["image_id", "y", "strip"])
-        .where("ax0 <= x1 and x0 <= ax1")
-        .where(F.col("strip") == F.floor(F.greatest("ax0", "x0") / STRIP))
-        .select("image_id", "a", "b")
-    )
-
-
 def labelled_runs(mask: DataFrame) -> DataFrame:
-    """Runs of a mask with the label of their component (4-neighbourhood)."""
-    runs = settle(mask_runs(mask).withColumn("node", run_id()))
-    labels = connected_components(runs.select("image_id", "node"), _touching(runs), "image_id")
-    return runs.join(labels, on=["image_id", "node"]).select("image_id", "y", "x0", "x1", "label")
+    """Runs of a mask with the label of their component."""
+    return label_runs(mask_runs(mask))
 
 
 def component_areas(runs: DataFrame) -> DataFrame:
@@ -157,65 +130,88 @@ def largest_component(areas: DataFrame) -> DataFrame:
     return best.select("image_id", "best.label", (-F.col("best.n")).alias("area"), "best.top")
 
 
-def adaptive_runs(pixels: DataFrame, speck_share: float = MIN_COMPONENT_SHARE) -> DataFrame:
+def _entry_cutoff() -> Column:
+    """The first cutoff at which a pixel is dark enough (95 to 100)."""
+    percent = F.floor((luminance() + 25_499) / 25_500).cast("int")
+    return F.greatest(percent, F.lit(FIRST_CUTOFF))
+
+
+def _merged(pieces: DataFrame) -> DataFrame:
+    """Join pieces of a row that follow each other without a gap."""
+    row = Window.partitionBy("image_id", "y").orderBy("x0").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.col("x1") - F.sum(F.col("x1") - F.col("x0") + 1).over(row)
+    return (
+        pieces.withColumn("island", start)
+        .groupBy("image_id", "y", "island")
+        .agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"))
+        .drop("island")
+    )
+
+
+def _judged(pieces: DataFrame, tried: DataFrame, speck_share: float) -> DataFrame:
+    """Labelled runs of the (image, cutoff) pairs whose components cover enough of the image.
+
+    The pair takes the place of the image in the component search.
+    """
+    picture = F.struct("image_id", "cutoff").alias("image_id")
+    masks = pieces.join(tried.select("image_id", "cutoff"), on="image_id").where("level <= cutoff")
+    runs = label_runs(_merged(masks.select(picture, "y", "x0", "x1")))
+    sizes = tried.select(picture, "img_w", "img_h")
+    kept = settle(drop_specks(component_areas(runs), sizes, speck_share))
+    passed = (
+        kept.groupBy("image_id", "img_w", "img_h").agg(F.sum("area").alias("covered"))
+        .where(F.col("covered") > F.col("img_w") * F.col("img_h") * F.lit(MIN_FOREGROUND_SHARE))
+        .groupBy("image_id.image_id").agg(F.min("image_id.cutoff").alias("cutoff"))
+    )
+    chosen = kept.select("image_id", "label", "area").join(passed.select(picture), on="image_id")
+    return runs.join(chosen, on=["image_id", "label"]).select(
+        "image_id.image_id", "image_id.cutoff", "y", "x0", "x1", "label", "area"
+    )
+
+
+def adaptive_runs(
+    pixels: DataFrame, sizes: DataFrame | None = None, speck_share: float = MIN_COMPONENT_SHARE
+) -> DataFrame:
     """Labelled runs of the non-white silhouette, with the cutoff chosen for each image.
 
     The cutoff is the first one, from 95 % in steps of 1 %, whose components (without
-    specks) cover more than a tenth of the image; at 100 % all pixels count. An image
-    skips the cutoffs at which even all its dark pixels are too few, and only images
-    whose cutoff fails are looked at again.
+    specks) cover more than a tenth of the image; at 100 % all pixels count. Pixels are
+    read once and packed into runs that enter at the same cutoff. An image starts at the
+    first cutoff with enough dark pixels; the few images that fail there (too much of it
+    in specks) are tried at all later cutoffs together. `sizes` (image_id, img_w, img_h)
+    saves measuring the images.
     Columns: image_id, cutoff, y, x0, x1, label, area.
     """
-    lum = luminance()
     steps = list(range(FIRST_CUTOFF, LAST_CUTOFF))
-    counted = pixels.groupBy("image_id").agg(
-        (F.max("x") + 1).alias("img_w"),
-        (F.max("y") + 1).alias("img_h"),
-        *[F.sum(F.when(lum <= c * 25_500, 1).otherwise(0)).alias(f"n{c}") for c in steps],
+    dark = pixels.select("image_id", "x", "y", _entry_cutoff().alias("level")).where(F.col("level") < LAST_CUTOFF)
+    pieces = settle(mask_runs(dark, "level"))
+    length = F.col("x1") - F.col("x0") + 1
+    counts = pieces.groupBy("image_id").agg(
+        *[F.sum(F.when(F.col("level") <= c, length).otherwise(0)).alias(f"n{c}") for c in steps]
     )
+    sizes = image_sizes(pixels) if sizes is None else sizes.select("image_id", "img_w", "img_h")
     enough = F.col("img_w") * F.col("img_h") * F.lit(MIN_FOREGROUND_SHARE)
     first = F.coalesce(*[F.when(F.col(f"n{c}") > enough, F.lit(c)) for c in steps], F.lit(LAST_CUTOFF))
-    pending = settle(counted.select("image_id", "img_w", "img_h", first.alias("cutoff")))
-    done: list[DataFrame] = []
-    while True:
-        tried = pending.where(F.col("cutoff") < LAST_CUTOFF)
-        if tried.isEmpty():
-            break
-        mask = (
-            pixels.where(lum <= (LAST_CUTOFF - 1) * 25_500)
-            .withColumn("lum", lum)
-            .join(tried.select("image_id", "cutoff"), on="image_id")
-            .where(F.col("lum") <= F.col("cutoff") * 25_500)
-            .select("image_id", "x", "y")
-        )
-        runs = settle(labelled_runs(mask))
-        kept = settle(drop_specks(component_areas(runs), tried, speck_share).select("image_id", "label", "area"))
-        covered = kept.groupBy("image_id").agg(F.sum("area").alias("covered"))
-        judged = settle(
-            tried.join(covered, on="image_id", how="left").withColumn(
-                "passed", F.coalesce(F.col("covered") > enough, F.lit(False))
-            )
-        )
-        passed = judged.where("passed").select("image_id", "cutoff")
-        done.append(
-            runs.join(kept, on=["image_id", "label"]).join(passed, on="image_id")
-            .select("image_id", "cutoff", "y", "x0", "x1", "label", "area")
-        )
-        again = judged.where(~F.col("passed")).select("image_id", "img_w", "img_h", F.col("cutoff") + 1)
-        white = pending.where(F.col("cutoff") == LAST_CUTOFF)
-        pending = settle(again.toDF("image_id", "img_w", "img_h", "cutoff").unionByName(white))
-    rows = pending.select(
+    images = settle(sizes.join(counts, on="image_id", how="left").select("image_id", "img_w", "img_h",
+                                                                         first.alias("cutoff")))
+    found = settle(_judged(pieces, images.where(F.col("cutoff") < LAST_CUTOFF), speck_share))
+    open_images = settle(images.join(found.select("image_id").distinct(), on="image_id", how="left_anti"))
+    later = open_images.where(F.col("cutoff") < LAST_CUTOFF - 1)
+    if not later.isEmpty():
+        tries = later.withColumn("cutoff", F.explode(F.sequence(F.col("cutoff") + 1, F.lit(LAST_CUTOFF - 1))))
+        more = settle(_judged(pieces, tries, speck_share))
+        found = found.unionByName(more)
+        open_images = open_images.join(more.select("image_id").distinct(), on="image_id", how="left_anti")
+    everything = open_images.select(
         "image_id",
-        "cutoff",
-        F.explode(F.sequence(F.lit(0), F.col("img_h") - 1)).alias("y"),
+        F.lit(LAST_CUTOFF).alias("cutoff"),
+        F.explode(F.sequence(F.lit(0), (F.col("img_h") - 1).cast("int"))).alias("y"),
         F.lit(0).alias("x0"),
-        (F.col("img_w") - 1).alias("x1"),
+        (F.col("img_w") - 1).cast("int").alias("x1"),
         F.lit(0).cast("long").alias("label"),
         (F.col("img_w") * F.col("img_h")).cast("long").alias("area"),
     )
-    for part in done:
-        rows = rows.unionByName(part)
-    return rows
+    return found.unionByName(everything)
 
 
 def run_boxes(runs: DataFrame) -> DataFrame:
@@ -249,7 +245,7 @@ def silhouette_boxes(runs: DataFrame) -> DataFrame:
 
 def largest_shape_runs(mask: DataFrame) -> DataFrame:
     """Runs of the largest component of each image."""
-    runs = settle(labelled_runs(mask))
+    runs = labelled_runs(mask)
     best = largest_component(component_areas(runs)).select("image_id", "label")
     return runs.join(best, on=["image_id", "label"]).select("image_id", "y", "x0", "x1")
 

@@ -351,7 +351,7 @@ def large_components(spark, d):
 
 @query
 def adaptive_mask(spark, d):
-    parts = I.adaptive_runs(V.pixels(spark, d), SPECK_SHARE).groupBy("image_id", "cutoff", "label").agg(F.max("area").alias("area"))
+    parts = I.adaptive_runs(V.pixels(spark, d), speck_share=SPECK_SHARE).groupBy("image_id", "cutoff", "label").agg(F.max("area").alias("area"))
     return parts.groupBy("image_id", "cutoff").agg(
         F.count(F.lit(1)).alias("parts"), F.sum("area").cast("long").alias("area")
     )
@@ -359,7 +359,7 @@ def adaptive_mask(spark, d):
 
 @query
 def bounding_boxes(spark, d):
-    return I.silhouette_boxes(I.adaptive_runs(V.pixels(spark, d), SPECK_SHARE))
+    return I.silhouette_boxes(I.adaptive_runs(V.pixels(spark, d), speck_share=SPECK_SHARE))
 
 
 @query
@@ -369,7 +369,7 @@ def cropped_check(spark, d):
 
 
 def _shapes(spark, d):
-    return I.largest_shape_runs(I.contour_mask(V.pixels(spark, d)))
+    return settle(I.largest_shape_runs(I.contour_mask(V.pixels(spark, d))))
 
 
 @query
