@@ -16,6 +16,7 @@ from calipers.functions.shapes import (
     near_parallel,
 )
 from calipers.operators.components import pointer_roots
+from calipers.runtime import settle
 
 ANGLE_CELLS = 45  # cells per half turn: 4 degrees each
 OFFSET_CELL = 128.0  # pixels
@@ -116,11 +117,10 @@ def edge_endpoints(segments: DataFrame, groups: DataFrame) -> DataFrame:
 
     The mean of the first points of the segments gives the first end (the farthest
     segment end), the point half way between both gives the second one. Ties: the
-    lower segment, then its first end. All steps group by (image_id, edge_id), so the
-    segments are exchanged once.
+    lower segment, then its first end. All steps group by (image_id, edge_id).
     """
     key = ["image_id", "edge_id"]
-    members = segments.join(groups, on=["image_id", "seg_id"])
+    members = settle(segments.join(groups, on=["image_id", "seg_id"]))
     mean = members.groupBy(*key).agg(F.avg("x1").alias("mx"), F.avg("y1").alias("my"))
     ends = members.select(
         *key, "seg_id", F.struct("x1", "y1", "x2", "y2").alias("seg"),
@@ -152,4 +152,6 @@ def edge_endpoints(segments: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def edges_of(segments: DataFrame) -> DataFrame:
+    """Segments -> edges. They are read by several steps, so they are settled once."""
+    segments = settle(segments)
     return edge_endpoints(segments, segment_groups(segments))

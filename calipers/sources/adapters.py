@@ -188,18 +188,22 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     block = (size % 2 == 1) & x.between(20, 22) & y.between(14, 16 + size % 3)
     halo = F.col("p_type").isin("LARGE", "SMALL") & x.between(2, 19) & y.between(1, 15)
     speck = (x == 1) & (y == 1)
-    halo_grey = F.when(F.col("p_type") == "LARGE", 250).otherwise(246)
-    shade = lambda on_main, on_block, on_speck: (
-        F.when(main, on_main).when(block, on_block).when(speck, on_speck).when(halo, halo_grey).otherwise(255)
-    )
-    return grid.select(
-        F.col("p_partkey").alias("image_id"),
-        "x",
-        "y",
-        shade(size + 40, size % 20 + 200, size + 40).alias("r"),
-        shade(F.lit(90), F.lit(235), F.lit(255)).alias("g"),
-        shade(size * 3 + 100, F.lit(240), F.lit(255)).alias("b"),
+    kind = (
+        F.when(main, "main").when(block, "block").when(speck, "speck")
+        .when(halo, F.when(F.col("p_type") == "LARGE", "halo250").otherwise("halo246")).otherwise("white")
     )
+    typed = grid.select(F.col("p_partkey").alias("image_id"), "x", "y", "p_size", kind.alias("kind"))
+    shades = {
+        "main": (size + 40, F.lit(90), size * 3 + 100),
+        "block": (size % 20 + 200, F.lit(235), F.lit(240)),
+        "speck": (size + 40, F.lit(255), F.lit(255)),
+        **{k: (F.lit(v),) * 3 for k, v in (("halo250", 250), ("halo246", 246), ("white", 255))},
+    }
+    # colours come from a small table: a filter on them then need not repeat the shape rules above
+    palette = part.select("p_size").distinct().select("p_size", F.inline(F.array(*[
+        F.struct(F.lit(k).alias("kind"), *[c.alias(n) for c, n in zip(rgb, "rgb")]) for k, rgb in shades.items()
+    ])))
+    return typed.join(palette, on=["p_size", "kind"]).select("image_id", "x", "y", "r", "g", "b")
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
