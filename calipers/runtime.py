@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -31,16 +30,6 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_up_to(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Hint a broadcast only after seeing that `df` has at most `max_rows` rows.
-
-    Beyond the limit the frame is returned without a hint, so the join is
-    shuffled (and adaptive execution may split its skewed partitions).
-    """
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
-
-
 def build_session(app: str = "calipers", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs are tuned for; all can be overridden."""
     settings = {
