@@ -214,12 +214,6 @@ def adaptive_runs(
     return found.unionByName(everything)
 
 
-def run_boxes(runs: DataFrame) -> DataFrame:
-    return runs.groupBy("image_id").agg(
-        F.min("x0").alias("min_x"), F.max("x1").alias("max_x"), F.min("y").alias("min_y"), F.max("y").alias("max_y")
-    )
-
-
 def silhouette_boxes(runs: DataFrame) -> DataFrame:
     """Box of the large components, and (`_bb`) of all components, from labelled runs with areas.
 

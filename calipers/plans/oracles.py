@@ -81,8 +81,6 @@ V |= {
         (select style from style_freq order by style_freq desc, style limit 10)"""),
 }
 
-SIZE_PARTS = r"""case when len(string_split({c}, 'x')) = 2 then {body} end"""
-
 
 def _side(part: int) -> str:
     s = f"string_split(product_name, 'x')[{part}]"
@@ -541,7 +539,6 @@ def _edge_views(p: str, source: str) -> None:
 
 def _ring_views(p: str) -> None:
     """<p>_ring: image_id, pos, edge_id, entry; <p>_kept: after the tail and corner steps are dropped."""
-    gap = "(case when {0} = 1 then {2}x1 else {2}x2 end - {1}x)"
     V[f"{p}_walk"] = ([f"{p}_edges"], f"""select image_id, 0 as pos, edge_id, 1 as entry, [edge_id] as used,
             ex2 as x, ey2 as y from (select *, row_number() over (partition by image_id order by
             (ex2 - ex1) * (ex2 - ex1) + (ey2 - ey1) * (ey2 - ey1) desc, edge_id) as n from {p}_edges) where n = 1

@@ -2,7 +2,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from calipers.operators import attributes as A
 from calipers.operators import exports as X

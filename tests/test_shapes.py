@@ -3,7 +3,6 @@ hold many segments, or exceed the sizes handled in one call."""
 
 import math
 import random
-from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
