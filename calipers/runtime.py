@@ -3,9 +3,30 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE = Path(__file__).resolve().parent
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each Spark context.
+
+    Python workers import kernels by name, so they need the package wherever the
+    driver was started.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_calipers_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="calipers-ship-")) / "calipers_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(PACKAGE.rglob("*.py")):
+            out.write(path, Path(PACKAGE.name) / path.relative_to(PACKAGE))
+    sc.addPyFile(str(archive))
+    sc._calipers_shipped = True
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; make one only for local runs."""
