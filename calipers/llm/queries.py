@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from calipers.llm import mixing, sharding
+from calipers.llm import decontaminate, jaccard, mixing, sharding, toxicity
 from calipers.llm.common import table
 from calipers.llm.sql import MIX
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cgk_leaks": lambda spark, sf: decontaminate.leaks(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    ),
     "op2_jump_shards": lambda spark, sf: sharding.shard_rows(table(spark, sf, "documents")),
+    "op4_jaccard_forest": lambda spark, sf: jaccard.classes(table(spark, sf, "documents")),
+    "op9_toxic_grammar": lambda spark, sf: toxicity.score_rows(
+        table(spark, sf, "documents"), table(spark, sf, "labels")
+    ),
     "op3_curriculum_mix": lambda spark, sf: mixing.mix_rows(table(spark, sf, "documents")),
 }
 
