@@ -94,30 +94,78 @@ def _meets(similarity: np.ndarray, depth: int) -> np.ndarray:
     return 1 - (1 - similarity**depth) ** TREES
 
 
-def _candidates(rows: pd.DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers i, j of the pairs that first meet in this cell, and their share of equal minima."""
+def _pairs(begin: np.ndarray, size: np.ndarray, left: np.ndarray, both: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, cell) row numbers of the pairs of cells, about a quarter million at a time.
+
+    A cell's rows stand together. A cell of one block pairs all its rows; a cell of two
+    blocks pairs the first `left` rows with the others.
+    """
+    single = np.flatnonzero(~both & (size > 1))
+    for g in np.unique(size[single]):
+        cells = single[size[single] == g]
+        a, b = np.triu_indices(g, 1)
+        together = max(1, 250_000 // len(a))
+        for k in range(0, len(cells), together):
+            part = cells[k: k + together]
+            yield (begin[part][:, None] + a).ravel(), (begin[part][:, None] + b).ravel(), np.repeat(part, len(a))
+    for cell in np.flatnonzero(both & (left > 0) & (left < size)):
+        a, b = np.meshgrid(np.arange(left[cell]), np.arange(left[cell], size[cell]), indexing="ij")
+        yield begin[cell] + a.ravel(), begin[cell] + b.ravel(), np.full(a.size, cell)
+
+
+def _candidates(rows: pd.DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers i, j of the pairs that first meet in their cell, their cell's number and share of equal minima."""
     signs = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint32).reshape(len(rows), -1)
-    lo, hi, tree = int(rows["lo"].iloc[0]), int(rows["hi"].iloc[0]), int(rows["tree"].iloc[0])
-    block = rows["block"].to_numpy()
-    left = np.flatnonzero(block == lo)
-    right = left if lo == hi else np.flatnonzero(block == hi)
-    equal = np.zeros((len(left), len(right)), dtype=np.uint8)
-    earlier = np.zeros(equal.shape, dtype=bool)
-    for t in range(TREES):
-        prefix = np.ones(equal.shape, dtype=bool)
-        for d in range(DEPTH):
-            same = signs[left, t * DEPTH + d][:, None] == signs[right, t * DEPTH + d][None, :]
-            equal += same
-            if d < depth:
-                prefix &= same
-        if t < tree:
-            earlier |= prefix
+    tree = rows["tree"].to_numpy()
+    number, begin = _cell_numbers(rows)
+    size = np.diff(np.append(begin, len(rows)))
+    lo, hi, block = rows["lo"].to_numpy(), rows["hi"].to_numpy(), rows["block"].to_numpy()
+    left = np.bincount(number, block == lo, len(begin)).astype(np.int64)
     # Five standard errors below the threshold: a pair at 0.8 falls under it once in ten million.
-    near = (equal >= len(_SALTS) * SIMILARITY - 5 * np.sqrt(len(_SALTS) * SIMILARITY * (1 - SIMILARITY))) & ~earlier
-    if lo == hi:
-        near &= np.triu(np.ones(near.shape, dtype=bool), 1)
-    i, j = np.nonzero(near)
-    return left[i], right[j], equal[i, j] / len(_SALTS)
+    least = len(_SALTS) * SIMILARITY - 5 * np.sqrt(len(_SALTS) * SIMILARITY * (1 - SIMILARITY))
+    found = [(np.zeros(0, np.int64),) * 3 + (np.zeros(0),)]
+    for i, j, cell in _pairs(begin, size, left, (lo != hi)[begin]):
+        equal = np.zeros(len(i), dtype=np.uint8)
+        first = np.full(len(i), TREES, dtype=np.int8)
+        for t in reversed(range(TREES)):
+            prefix = np.ones(len(i), dtype=bool)
+            for d in range(DEPTH):
+                same = signs[i, t * DEPTH + d] == signs[j, t * DEPTH + d]
+                equal += same
+                if d < depth:
+                    prefix &= same
+            first[prefix] = t
+        near = np.flatnonzero((equal >= least) & (first == tree[i]))
+        found.append((i[near], j[near], cell[near], equal[near] / len(_SALTS)))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _cell_numbers(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each row's cell, and the first row of each cell; rows of a cell stand together."""
+    keys = [rows[c].to_numpy() for c in ("bucket", "tree", "lo", "hi")]
+    new = np.ones(len(rows), dtype=bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.cumsum(new) - 1, np.flatnonzero(new)
+
+
+def _whole_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches of a partition that is sorted by cell, cut where a cell ends."""
+    rest = None
+    for batch in batches:
+        batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        last = int(_cell_numbers(batch)[1][-1]) if len(batch) else 0
+        if last:
+            yield batch.iloc[:last].reset_index(drop=True)
+        rest = batch.iloc[last:].reset_index(drop=True)
+    if rest is not None and len(rest):
+        yield rest
+
+
+def _in_cells(cells: DataFrame) -> DataFrame:
+    """Every cell in one partition, its first block first."""
+    return cells.repartition("bucket", "tree", "lo", "hi").sortWithinPartitions(
+        "bucket", "tree", "lo", "hi", F.col("block") != F.col("lo")
+    )
 
 
 def _cells(members: DataFrame) -> DataFrame:
@@ -141,19 +189,17 @@ def _screen(nodes: DataFrame, depth: int) -> DataFrame:
     ))).alias("m")).select("m.bucket", "m.tree", "node")
     cells = _cells(members).join(nodes.select("node", "signature"), "node")
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        i, j, share = _candidates(rows, depth)
-        used = np.unique(np.concatenate([i, j]))
-        out = rows.iloc[used][["bucket", "tree", "node", "block", "lo", "hi", "signature"]].copy()
-        sure = share[share >= SIMILARITY]
-        out["found"] = 0.0
-        out["expected"] = 0.0
-        if len(out):
-            out.iloc[0, out.columns.get_loc("found")] = float(len(sure))
-            out.iloc[0, out.columns.get_loc("expected")] = float((1 / _meets(sure, depth)).sum())
-        return out
-
-    return cells.groupBy("bucket", "tree", "lo", "hi").applyInPandas(
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _whole_cells(batches):
+            i, j, _, share = _candidates(rows, depth)
+            used = np.unique(np.concatenate([i, j]))
+            out = rows.iloc[used][["bucket", "tree", "node", "block", "lo", "hi", "signature"]].copy()
+            sure = share[share >= SIMILARITY]
+            out["found"] = np.where(np.arange(len(out)) == 0, float(len(sure)), 0.0)
+            out["expected"] = np.where(np.arange(len(out)) == 0, float((1 / _meets(sure, depth)).sum()), 0.0)
+            yield out
+
+    return _in_cells(cells).mapInPandas(
         run, "bucket long, tree int, node binary, block int, lo int, hi int, signature binary, found double, expected double"
     )
 
@@ -168,38 +214,57 @@ def forest_candidates(nodes: DataFrame, target: float) -> tuple[DataFrame, int]:
     raise AssertionError("unreachable")
 
 
-def _verify(rows: pd.DataFrame, depth: int) -> pd.DataFrame:
-    """Exact links in a cell: per node the linked rows of documents and nodes, and its tree in a spanning forest."""
-    i, j, _ = _candidates(rows, depth)
-    sets = [np.frombuffer(s, dtype=np.uint64) for s in rows["shingles"]]
-    sizes = np.array([len(s) for s in sets])
-    values = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    distinct, column, times = np.unique(values, return_inverse=True, return_counts=True)
+def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets i and j, for a few pairs one by one, else by products of 0/1 matrices."""
+    if len(i) <= 4 * len(sets):
+        return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j, strict=True)], dtype=np.int64)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     rank = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[column]
-    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
-    width = 4096
     order = np.argsort(rank, kind="stable")
     rank, owner = rank[order], owner[order]
+    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    width = 4096
     for begin in range(0, int((times > 1).sum()), width):
         a, b = np.searchsorted(rank, [begin, begin + width])
         part = np.zeros((len(sets), width), dtype=np.float32)
         part[owner[a:b], rank[a:b] - begin] = 1
         common += part @ part.T
-    both = common[i, j].astype(np.int64)
-    linked = 5 * both >= 4 * (sizes[i] + sizes[j] - both)
-    i, j = i[linked], j[linked]
-    copies = rows["copies"].to_numpy()
-    links = np.bincount(i, copies[j], len(rows)) + np.bincount(j, copies[i], len(rows))
-    root = np.arange(len(rows))
+    return common[i, j].astype(np.int64)
+
+
+def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least row number in each row's component."""
+    root = np.arange(n)
     while len(i):
-        low = np.minimum(root[i], root[j])
         before = root.copy()
-        np.minimum.at(root, root[i], low)
-        np.minimum.at(root, root[j], low)
+        low = np.minimum(root[i], root[j])
+        for end in (i, j):
+            np.minimum.at(root, end, low)
+            np.minimum.at(root, root[end], low)
         root = root[root]
         if (root == before).all():
             break
+    return root
+
+
+def _verify(rows: pd.DataFrame, depth: int) -> pd.DataFrame:
+    """Exact links in whole cells: per node the linked documents, and its root in a spanning forest of the cell."""
+    i, j, cell, _ = _candidates(rows, depth)
+    order = np.argsort(cell, kind="stable")
+    i, j, cell = i[order], j[order], cell[order]
+    sets = [np.frombuffer(s, dtype=np.uint64) for s in rows["shingles"]]
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    both = np.zeros(len(i), dtype=np.int64)
+    bounds = np.flatnonzero(np.append(np.diff(cell, prepend=-1) != 0, True))
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        own, place = np.unique(np.concatenate([i[a:b], j[a:b]]), return_inverse=True)
+        both[a:b] = _common([sets[k] for k in own], place[: b - a], place[b - a:])
+    linked = 5 * both >= 4 * (sizes[i] + sizes[j] - both)
+    i, j = i[linked], j[linked]
+    copies = rows["copies"].to_numpy()
+    links = np.bincount(i, copies[j], len(rows)) + np.bincount(j, copies[i], len(rows))
+    root = _roots(len(rows), i, j)
     node = rows["node"].to_numpy()
     touched = np.unique(np.concatenate([i, j]))
     return pd.DataFrame({"node": node[touched], "links": links[touched].astype(np.int64), "root": node[root[touched]]})
@@ -234,9 +299,12 @@ def near_duplicates(docs: DataFrame, target: float = 0.9995) -> DataFrame:
                 yield out
 
     filled = cells.drop("found", "expected").join(texts.mapInPandas(sets, "node binary, copies long, shingles binary"), "node")
-    checked = settle(filled.groupBy("bucket", "tree", "lo", "hi").applyInPandas(
-        lambda rows: _verify(rows, depth), "node binary, links long, root binary"
-    ))
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _whole_cells(batches):
+            yield _verify(rows, depth)
+
+    checked = settle(_in_cells(filled).mapInPandas(verify, "node binary, links long, root binary"))
     edges = checked.where("node <> root").select(F.lit(0).alias("g"), F.col("node").alias("a"), F.col("root").alias("b"))
     links = checked.groupBy("node").agg(F.sum("links").alias("others"))
     found = component_labels(edges, "g")

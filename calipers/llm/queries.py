@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from calipers.llm import decontaminate, jaccard, mixing, repeats, sharding, toxicity
+from calipers.llm import decontaminate, jaccard, mixing, neighbours, repeats, secrets, sharding, toxicity
 from calipers.llm.common import table
 from calipers.llm.sql import MIX
 
@@ -16,6 +16,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "op2_jump_shards": lambda spark, sf: sharding.shard_rows(table(spark, sf, "documents")),
     "op4_jaccard_forest": lambda spark, sf: jaccard.classes(table(spark, sf, "documents")),
+    "op5_guess_secrets": lambda spark, sf: secrets.scan(table(spark, sf, "documents")),
+    "op6_multi_index": lambda spark, sf: neighbours.search_hundredths(table(spark, sf, "embeddings")),
     "op7_lpf_repeats": lambda spark, sf: repeats.trimmed(table(spark, sf, "documents")),
     "op9_toxic_grammar": lambda spark, sf: toxicity.score_rows(
         table(spark, sf, "documents"), table(spark, sf, "labels")
