@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from calipers.llm import decontaminate, jaccard, mixing, neighbours, repeats, secrets, sharding, toxicity
+from calipers.llm import decontaminate, html, jaccard, mixing, neighbours, repeats, secrets, sharding, toxicity
 from calipers.llm.common import table
 from calipers.llm.sql import MIX
 
@@ -23,6 +24,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table(spark, sf, "documents"), table(spark, sf, "labels")
     ),
     "op3_curriculum_mix": lambda spark, sf: mixing.mix_rows(table(spark, sf, "documents")),
+    "op10_crf_pages": lambda spark, sf: html.extract_rows(table(spark, sf, "pages")),
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {"op3_curriculum_mix": MIX}
