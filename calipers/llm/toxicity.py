@@ -56,7 +56,7 @@ NEGATION_SCOPE, TARGET_SCOPE, THREAT_SCOPE = 3, 4, 4
 
 _TOKEN = re.compile(r"[^\W_]+(?:[@$0-9]+[^\W_]+)*|[.!?;:\n]")
 _CLAUSE_ENDS = frozenset(".!?;:\n")
-_PLAIN_LETTERS = str.maketrans("013457@$", "oleastas")
+_PLAIN_LETTERS = tuple(str.maketrans("013457@$", "o" + one + "eastas") for one in "il")
 #: Counts of matching clauses above this count as this, so that feature vectors are few.
 MOST_CLAUSES = 3
 
@@ -152,8 +152,11 @@ def clause_matches(text: str, known: dict[str, int], moves: list, outputs: list)
     """How many clauses of `text` have each match."""
     tokens = _TOKEN.findall(text.lower())
     distinct = set(tokens)
-    plain = {t: t.translate(_PLAIN_LETTERS) for t in distinct if not t.isalpha() and t not in _CLAUSE_ENDS}
-    symbols = {t: known.get(plain.get(t, t), OTHER) for t in distinct}
+    symbols = {t: known.get(t, OTHER) for t in distinct}
+    for token in distinct:
+        if symbols[token] == OTHER and not token.isalpha() and not token.isdigit() and token not in _CLAUSE_ENDS:
+            plain = (known.get(token.translate(letters), OTHER) for letters in _PLAIN_LETTERS)
+            symbols[token] = min(plain, key=lambda s: s == OTHER)
     found: Counter = Counter()
     if not any(s in (INSULT, THREAT) for s in symbols.values()):
         return found
