@@ -19,13 +19,16 @@ def near_parallel(a: Column, b: Column, limit: float = PARALLEL_LIMIT) -> Column
 
 
 def side_of_line(x1: Column, y1: Column, x2: Column, y2: Column, px: Column, py: Column) -> Column:
-    """Signed distance of a point from the line through (x1,y1) and (x2,y2)."""
+    """Signed distance of a point from the line through (x1,y1) and (x2,y2); null where the two coincide."""
     cross = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
-    return cross / F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))
+    return F.try_divide(cross, F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)))
 
 
 def line_to_segment(line: str, seg: str) -> Column:
-    """Larger distance of the ends of `seg` from the line of `line`; 0 where they lie on both sides."""
+    """Larger distance of the ends of `seg` from the line of `line`; 0 where they lie on both sides.
+
+    Null where `line` has no length.
+    """
     c = lambda side, name: F.col(f"{side}.{name}")
     ends = [
         side_of_line(c(line, "x1"), c(line, "y1"), c(line, "x2"), c(line, "y2"), c(seg, f"x{k}"), c(seg, f"y{k}"))
@@ -44,5 +47,5 @@ def distance2(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
 
 
 def whole(value: Column) -> Column:
-    """Fraction cut off, as a long."""
-    return value.cast("long")
+    """Fraction cut off, as a long; null for what no long can hold."""
+    return value.try_cast("long")

@@ -133,6 +133,10 @@ def should_swap(config: DrawingConfig, width: Column, height: Column, depth: Col
     return F.coalesce(known & fits, F.lit(False))
 
 
+#: No picture has coordinates of this size; a line with such an end (or NaN) has no label.
+FARTHEST = float(2**31)
+
+
 def swap_height_depth(layouts: DataFrame, swap: Column) -> DataFrame:
     """Exchange the height and depth lines of the rows for which `swap` holds."""
     return layouts.withColumn("swapped", swap).withColumns({
@@ -165,7 +169,7 @@ def placed_label(
     """struct of the moved line (x1, y1, x2, y2) and its text box (bx1, by1, bx2, by2).
 
     The line moves along its normal, away from (away_x, away_y), far enough for the
-    text box. Null for a line whose ends coincide.
+    text box. Null for a line whose ends coincide, and for coordinates beyond any picture.
     """
     x1, y1, x2, y2 = (F.col(f"{line}.{k}") for k in ("x1", "y1", "x2", "y2"))
     box_w, box_h = text_w * F.lit(config.text_box), text_h * F.lit(config.text_box)
@@ -181,7 +185,8 @@ def placed_label(
         "bx1": mx + sx - box_w / 2.0, "by1": my + sy - box_h / 2.0,
         "bx2": mx + sx + box_w / 2.0, "by2": my + sy + box_h / 2.0,
     }
-    return F.when(length > 0, F.struct(*[v.alias(k) for k, v in fields.items()]))
+    within = F.greatest(*[F.abs(v) for v in fields.values()]) < F.lit(FARTHEST)
+    return F.when((length > 0) & within, F.struct(*[v.alias(k) for k, v in fields.items()]))
 
 
 def grown_canvas(labels: DataFrame, names: list[str], config: DrawingConfig) -> DataFrame:

@@ -74,7 +74,7 @@ def similar_segments(
     """Pairs (image_id, seg_i, seg_j), seg_i > seg_j, that belong to one edge.
 
     Similar: nearly parallel, and either line passes closer than `dist_limit` to both
-    ends of the other segment or between them. Lines are points in (angle, offset)
+    ends of the other segment or between them. A segment without length is similar to none. Lines are points in (angle, offset)
     space; each earlier segment looks only into the cells that can hold a similar
     line, so a picture with very many segments is spread over its cells instead of
     being compared pair by pair. Each pair meets in exactly one cell.
@@ -85,7 +85,7 @@ def similar_segments(
     on = [F.col(f"i.{c}") == F.col(f"j.{c}") for c in cells]
     similar = (
         near_parallel(F.col("i.theta"), F.col("j.theta"), theta_limit)
-        & (F.greatest(line_to_segment("i", "j"), line_to_segment("j", "i")) < dist_limit)
+        & (line_to_segment("i", "j") < dist_limit) & (line_to_segment("j", "i") < dist_limit)
     )
     return (
         later.join(earlier, on=on)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from calipers.functions.text import NUMBER_PATTERN
 from calipers.operators.layout import ORDER, Glyphs
 from calipers.plans import registry as Q
 from calipers.plans.oracle_views import VIEWS, with_views
@@ -16,7 +17,7 @@ def r6(expr: str) -> str:
 
 
 def _number(col: str, places: int) -> str:
-    value = rf"try_cast(nullif(regexp_extract({col}, '\d+\.?(\d+)?|\.\d+'), '') as double)"
+    value = f"try_cast(nullif(regexp_extract({col}, '{NUMBER_PATTERN}'), '') as double)"
     return f"ceil({value}{' * 10' * places}){' / 10' * places}"
 
 
@@ -118,7 +119,7 @@ add("first_token_num", "item_attributes", f"""select oms_id, attribute_id, attri
     case when {_first} is null then 'bad' else 'ok' end as status from item_attributes""")
 add("label_text", "item_attributes", f"""select oms_id, attribute_id, attribute_value,
     {_label(_number('attribute_value', 0), 0)} as label_0, {_label(_number('attribute_value', 2), 2)} as label_2
-    from item_attributes where attribute_id <> 'a-image'""")
+    from item_attributes""")
 ORACLES["feet_inches"] = f"select l_orderkey, l_extendedprice, {_feet('l_extendedprice')} as label from lineitem"
 add("rug_size", "rug_sizes", f"""select omsid, product_name, {r6('width')} as width, {r6('height')} as height,
     case when width is null then 'bad' else 'ok' end as status from rug_sizes""")
@@ -158,10 +159,15 @@ add("images_with_dims", "merged_images image_numbers", f"""select m.*, {r6('widt
     join (select oms_id, width_in, height_in, depth_in from image_numbers) n using (oms_id)
     where image_type = 'FRONT'""")
 add("lighting_items", "collection", "select * from collection")
-add("collection_dims", "collection attributes item_attributes", f"""select a.oms_id, a.attribute_value as image_guid,
-    width, depth, height, length from item_attributes a join attributes b on a.attribute_id = b.attribute_id
-    join (select * from {_product(Q.COLLECTION_COLUMNS)} where oms_id in (select oms_id from collection)) dims
-    on a.oms_id = dims.oms_id where lower(b.displayname) = 'product image'""")
+V["chosen_values"] = (["collection", "item_attributes"],
+                      "select v.* from item_attributes v semi join collection c on v.oms_id = c.oms_id")
+_wanted = list(Q.COLLECTION_COLUMNS.items())
+_tables = ", ".join(f"chosen_values v{k}" for k in range(len(_wanted)))
+_same_item = " and ".join(f"v{k}.oms_id = p.oms_id and v{k}.attribute_id = '{a}'" for k, (_, a) in enumerate(_wanted))
+add("collection_dims", "chosen_values attributes", f"""select p.oms_id, p.attribute_value as image_guid,
+    {", ".join(f"v{k}.attribute_value as {n}" for k, (n, _) in enumerate(_wanted))}
+    from chosen_values p, {_tables} where {_same_item} and p.attribute_id in
+        (select attribute_id from attributes where lower(displayname) = 'product image')""")
 _front = {"width": "a-width", "depth": "a-depth", "height": "a-height", "canopy": "a-canopy", "image_guid": "a-image"}
 add("front_items", "items image_urls item_attributes top_style_rows", f"""select distinct oms_id, taxonomy, width, depth,
     height, canopy, image_guid, style, {r6("try_cast(canopy as double)")} as canopy_in

@@ -79,7 +79,9 @@ def write_dimensions(dims: DataFrame, folder: str, day: dt.date, suffix: str = "
 
 
 def write_snapshot(df: DataFrame, folder: str, day: dt.date) -> None:
-    """Add one day to a table partitioned by `snapshot_date`, laid out for attribute filters.
+    """Write one day of a table partitioned by `snapshot_date`, laid out for attribute filters.
+
+    The day's folder is replaced as a whole, so writing a day again does not double it.
 
     Files hold ranges of (attribute, item): an attribute filter skips most of them,
     and a very common attribute is spread over several writers.
@@ -88,7 +90,8 @@ def write_snapshot(df: DataFrame, folder: str, day: dt.date) -> None:
         df.withColumn("snapshot_date", F.lit(day))
         .repartitionByRange("attribute_id", "oms_id")
         .sortWithinPartitions("attribute_id", "oms_id")
-        .write.mode("append").partitionBy("snapshot_date").parquet(folder)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("snapshot_date").parquet(folder)
     )
 
 

@@ -146,3 +146,37 @@ def test_filter_and_columns_reach_the_scan(spark, tmp_path, feed):
     wide = A.attribute_product(spark.read.parquet(str(tmp_path / "s")), {"w": "w", "h": "h"})
     plan = wide._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(attribute_id,w)" in plan and "EqualTo(attribute_id,h)" in plan
+
+
+def test_a_day_written_twice_is_there_once(spark, tmp_path):
+    import datetime as dt
+
+    from calipers.sources import feeds
+
+    rows = [("1", "a", "x"), ("2", "a", "y")]
+    frame = spark.createDataFrame(rows, "oms_id string, attribute_id string, attribute_value string")
+    folder = str(tmp_path / "feed")
+    for day in (dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 2)):
+        feeds.write_snapshot(frame, folder, day)
+    back = spark.read.parquet(folder)
+    assert sorted((str(r.snapshot_date), r["count"]) for r in back.groupBy("snapshot_date").count().collect()) == [
+        ("2024-01-01", 2), ("2024-01-02", 2)]
+
+
+def test_kernels_run_from_another_folder(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import importlib.util, sys\n"
+        f"spec = importlib.util.spec_from_file_location('entry', {repo!r} + '/__spark_entry__.py')\n"
+        "entry = importlib.util.module_from_spec(spec); spec.loader.exec_module(entry)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.sql.shuffle.partitions', '2').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('rows', entry.queries()['components'](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows" in out.stdout and out.returncode == 0, out.stderr[-2000:]

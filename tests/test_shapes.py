@@ -182,13 +182,55 @@ def test_greedy_matching(spark, n):
     assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_ring_order_both_ways(spark, monkeypatch):
-    segs = _random_segments(9, 300, 4)
-    edges = _edges(spark, segs)
-    key = lambda df: sorted((r.pos, r.edge_id, r.entry) for r in df.collect())
-    packed = key(R.ring_order(edges))
-    monkeypatch.setattr(R, "PACKED_EDGES", 3)
-    assert key(R.ring_order(edges)) == packed and len(packed) == 9
+def _plain_walk(segs):
+    ends = [(s[0], s[1]) for s in segs], [(s[2], s[3]) for s in segs]
+    gap = lambda p, q: (p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2
+    edge, side = max(range(len(segs)), key=lambda i: (gap(ends[0][i], ends[1][i]), -i)), 0
+    left, out = set(range(len(segs))), []
+    while True:
+        out.append((len(out), edge, side + 1))
+        left.discard(edge)
+        if not left:
+            return out
+        here = ends[1 - side][edge]
+        edge, side = min(((i, k) for i in left for k in (0, 1)), key=lambda e: (gap(here, ends[e[1]][e[0]]), e))
+
+
+@pytest.mark.parametrize("n, size, rows", [(1, 50, 10_000), (9, 300, 10_000), (75, 400, 7), (400, 12, 50), (600, 5_000, 10_000)])
+def test_ring_order_against_plain_walk(spark, n, size, rows):
+    segs = _random_segments(n, size, n)
+    segs[: n // 3] = [(0, 0, k % 3, k % 2) for k in range(n // 3)]  # crowded, with equal ends
+    segs[-1] = (0, 0, 40 * size, 1)
+    edges = _edges(spark, segs, 1).unionByName(_edges(spark, segs[: max(1, n // 2)], 2)).unionByName(_edges(spark, segs, 3))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        got = {k: [] for k in (1, 2, 3)}
+        for r in R.ring_order(edges.coalesce(1)).collect():
+            got[r.image_id].append((r.pos, r.edge_id, r.entry))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = _plain_walk(segs)
+    assert sorted(got[1]) == sorted(got[3]) == want and sorted(got[2]) == _plain_walk(segs[: max(1, n // 2)])
+
+
+def test_ring_order_cost_follows_the_edges():
+    import time
+
+    import numpy as np
+
+    def seconds(n):
+        start = time.perf_counter()
+        R._walk(np.random.default_rng(1).random((n, 4)) * 1_000)
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(16_000) < 40 * max(seconds(2_000), 0.01)
+
+
+def test_segments_without_length_do_not_stop_a_job(spark):
+    segs = [(0, 0, 100, 0), (50, 5, 50, 5), (0, 1, 100, 1), (7, 7, 7, 7)]
+    pairs = S.similar_segments(_edges(spark, segs).selectExpr("image_id", "edge_id as seg_id", "ex1 as x1", "ey1 as y1", "ex2 as x2", "ey2 as y2"))
+    assert [(r.seg_i, r.seg_j) for r in pairs.collect()] == [(2, 0)]
 
 
 def test_corner_steps_are_dropped(spark):

@@ -68,3 +68,15 @@ def test_names(spark):
 def test_days(spark):
     got = _column(spark, ["2021/04/30", "2021/13/01", "soon", None], lambda c: text.format_day(text.parse_day(c, "/")))
     assert got == ["2021-04-30", None, None, None]
+
+
+def test_numbers_no_long_can_hold_give_no_label(spark):
+    rows = [(float("nan"),), (1e30,), (-1e30,), (float("inf"),), (None,), (67.9,)]
+    got = [r.t for r in spark.createDataFrame(rows, "v double").select(text.feet_inches_label(F.col("v")).alias("t")).collect()]
+    assert got == [None] * 5 + ["5'7\""]
+    name = "Rug " + "9" * 20 + " ft. 3 in. x 7 ft."
+    size = text.rug_size(F.col("n"))
+    row = spark.createDataFrame([(name,)], "n string").select(
+        text.feet_inches_label(size["height"]).alias("h"), text.feet_inches_label(size["width"]).alias("w")
+    ).first()
+    assert (row.h, row.w) == (None, "7'0\"")
