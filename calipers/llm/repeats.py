@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calipers.llm.common import text_of
+from calipers.llm.common import stored_by, text_of
 from calipers.llm.words import mixed, powers
 from calipers.runtime import settle, ship
 
@@ -51,8 +51,8 @@ _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def _packed(values: np.ndarray) -> bytes:
-    return values.nbytes.to_bytes(8, "little") + pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+def _packed(values: np.ndarray, level: int = 1) -> bytes:
+    return values.nbytes.to_bytes(8, "little") + pa.Codec("zstd", level).compress(values.tobytes(), asbytes=True)
 
 
 def _unpacked(data: bytes, dtype: str) -> np.ndarray:
@@ -72,7 +72,7 @@ def chunks_of(docs: DataFrame, chunk_bytes: int) -> DataFrame:
             return pd.DataFrame({
                 "uid": [uid], "ids": [_packed(np.array(ids, dtype=np.int64))],
                 "sizes": [_packed(np.array([len(p) for p in parts], dtype=np.int64))],
-                "data": [_packed(np.frombuffer(b"".join(parts), dtype=np.uint8))],
+                "data": [_packed(np.frombuffer(b"".join(parts), dtype=np.uint8), 9)],
             })
 
         for batch in batches:
@@ -214,9 +214,9 @@ class Units:
     texts: np.ndarray  # distinct hashes of their texts
     least: np.ndarray  # the least document id of each
     text: np.ndarray  # the number of each shared unit's text
-    anchors: np.ndarray  # distinct anchors
-    low: np.ndarray  # least and greatest text hash of each
-    high: np.ndarray
+    anchors: np.ndarray  # distinct keys of anchors
+    low: np.ndarray  # a text hash of each
+    many: np.ndarray  # and whether the chunk has several
     anchor: np.ndarray  # the number of each shared unit's anchor
 
 
@@ -227,17 +227,18 @@ def units_of(chunk: Chunk, groups: int, replies: list) -> Units:
     shared = np.flatnonzero((elsewhere | (times > 1))[number]) if len(number) else number
     hashes = chunk.hashes(chunk.start[shared], chunk.length[shared] + SPAN - 1)
     texts, least, text = _least_id(hashes, chunk.ids[chunk.doc[shared]])
-    anchors, anchor = np.unique(chunk.anchor[shared], return_inverse=True)
+    anchors, place = np.unique(number[shared], return_inverse=True)
     low = np.full(len(anchors), 2**64 - 1, dtype=np.uint64)
     high = np.zeros(len(anchors), dtype=np.uint64)
-    np.minimum.at(low, anchor, hashes)
-    np.maximum.at(high, anchor, hashes)
-    return Units(shared, texts, least, text, anchors, low, high, anchor)
+    np.minimum.at(low, place, hashes)
+    np.maximum.at(high, place, hashes)
+    return Units(shared, texts, least, text, keys[anchors], low, low != high, place)
 
 
 def _units(chunk: Chunk, groups: int, replies: list) -> list[tuple]:
     u = units_of(chunk, groups, replies)
-    return _messages(u.texts, groups, 1, u.texts, u.least) + _messages(u.anchors, groups, 2, u.anchors, u.low, u.high)
+    short = (u.anchors // np.uint64(groups)).astype(np.uint32)
+    return _messages(u.texts, groups, 1, u.texts, u.least) + _messages(u.anchors, groups, 2, short, u.low, u.many)
 
 
 def _earlier(rows: pd.DataFrame) -> list[np.ndarray]:
@@ -250,13 +251,14 @@ def _earlier(rows: pd.DataFrame) -> list[np.ndarray]:
 
 def _varied(rows: pd.DataFrame) -> list[np.ndarray]:
     """Whether an anchor has more than one text around it."""
-    values = [_unpacked(d, "<u8") for d in rows["a"]]
+    values = [_unpacked(d, "<u4") for d in rows["a"]]
+    low = np.concatenate([_unpacked(d, "<u8") for d in rows["b"]])
     distinct, number = np.unique(np.concatenate(values), return_inverse=True)
-    low = np.full(len(distinct), 2**64 - 1, dtype=np.uint64)
-    high = np.zeros(len(distinct), dtype=np.uint64)
-    np.minimum.at(low, number, np.concatenate([_unpacked(d, "<u8") for d in rows["b"]]))
-    np.maximum.at(high, number, np.concatenate([_unpacked(d, "<u8") for d in rows["c"]]))
-    return [(low != high)[np.searchsorted(distinct, v)] for v in values]
+    least = np.full(len(distinct), 2**64 - 1, dtype=np.uint64)
+    np.minimum.at(least, number, low)
+    varied = np.zeros(len(distinct), dtype=bool)
+    varied[number[(low != least[number]) | np.concatenate([_unpacked(d, "?") for d in rows["c"]])]] = True
+    return [varied[np.searchsorted(distinct, v)] for v in values]
 
 
 # Exchange 3: windows at the ends of repeats.
@@ -318,13 +320,12 @@ def ends_of(chunk: Chunk, groups: int, first: list, second: list) -> Ends:
     u = units_of(chunk, groups, first)
     own = chunk.ids[chunk.doc[u.shared]]
     gone = (own > u.least[u.text]) | _answers(u.texts, groups, 1, second)[u.text] if len(u.shared) else np.zeros(0, bool)
-    varied = _answers(u.anchors, groups, 2, second) | (u.low != u.high)
+    varied = _answers(u.anchors, groups, 2, second) | u.many
     look = u.shared[~gone & varied[u.anchor]] if len(u.shared) else u.shared
     length = chunk.length[look]
     begin = np.repeat(chunk.start[look], length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
     ids = np.repeat(chunk.ids[chunk.doc[look]], length)
-    text, matched = earlier_factors(chunk.data, begin, ids)
-    del text
+    _, matched = earlier_factors(chunk.data, begin, ids)
     hashes, least, number = _least_id(chunk.hashes(begin, np.full(len(begin), SPAN)), ids)
     return Ends(begin, hashes, least, number, matched, u.shared[gone])
 
@@ -387,7 +388,7 @@ def trimmed(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, group_bytes: int =
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     groups = max(16, math.ceil(total / group_bytes))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = settle(chunks_of(docs, chunk_bytes).repartition(max(tasks, math.ceil(total / 16_000_000)), "uid"))
+    chunks = stored_by(chunks_of(docs, chunk_bytes), "chunks", "uid", max(tasks, math.ceil(total / 16_000_000)))
     with_anchors = _exchange(chunks, _anchors, groups, "first", [])
     with_units = _exchange(with_anchors, _units, groups, "second", ["first"])
     with_windows = _exchange(with_units, _windows, groups, "third", ["first", "second"])
