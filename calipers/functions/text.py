@@ -34,9 +34,16 @@ def inches_label(number: Column, places: int) -> Column:
     """`12.50` -> `12.5"`, `3.00` -> `3"`; zeros go only where there is a decimal point.
 
     Half-way cases of a raw double are rounded half up; after `dimension_value`
-    with the same `places` there are none.
+    with the same `places` there are none. From 2^40 on, where a double has few binary
+    places left, all its digits are written exactly, half-way cases to the even digit.
     """
-    fixed = F.format_string(f"%.{places}f", number)
+    block = float(2**53)
+    high = F.floor(number / block)
+    whole = F.floor(number - high * block)
+    rest = F.bround((number - high * block - whole).try_cast("decimal(30,20)"), places)
+    digits = high.try_cast("decimal(16,0)") * F.lit(2**53).cast("decimal(16,0)") + whole.try_cast("decimal(16,0)") + rest
+    exact = (F.abs(number) >= float(2**40)) & (F.abs(number) < block * block)
+    fixed = F.when(exact, digits.cast("string")).otherwise(F.format_string(f"%.{places}f", number))
     bare = F.rtrim(F.rtrim(fixed, F.lit("0")), F.lit("."))
     text = F.when(fixed.contains("."), bare).otherwise(fixed)
     return F.when(number.isNotNull(), F.concat(text, F.lit('"')))

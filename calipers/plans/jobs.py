@@ -92,9 +92,17 @@ def layout_by_mode(
 ) -> DataFrame:
     """One layout per picture: the side one for pictures labelled SIDE, unless it shows the front.
 
-    `front`: oms_id, image_type and front layout; `side`: oms_id and side layout with
-    status. A side picture whose corners were not found fails, as does one without segments.
+    `front`: oms_id, image_type, border and front layout, in the bordered picture; `side`:
+    oms_id and side layout with status, in the bare picture. Side lines are moved by the
+    border, so all lines of the result are in the bordered picture. A side picture whose
+    corners were not found fails, as does one without segments.
     """
+    def bordered(line: str) -> Column:
+        if line.startswith("center"):
+            return F.col(f"side_{line}") + F.col("border")
+        return F.struct(*[(F.col(f"side_{line}.{k}") + F.col("border")).alias(k) for k in ("x1", "y1", "x2", "y2")])
+
+
     flagged = side.select(
         "oms_id", L.is_really_front(config).alias("fronted"), F.col("status").alias("side_status"),
         *[F.col(c).alias(f"side_{c}") for c in LINES],
@@ -107,17 +115,40 @@ def layout_by_mode(
     d = d.withColumns({"mode": mode, "status": F.when(failed, "failed").otherwise("ok")})
     use_side = F.col("mode") == "SIDE"
     return d.withColumns(
-        {c: F.when(use_side, F.col(f"side_{c}")).otherwise(F.col(c)) for c in LINES}
+        {c: F.when(use_side, bordered(c)).otherwise(F.col(c)) for c in LINES}
     ).drop("fronted", "side_status", *[f"side_{c}" for c in LINES])
 
 
-def annotation_plan(layouts: DataFrame, dims: DataFrame, config: L.DrawingConfig) -> DataFrame:
+def _drawn(name: str, config: L.DrawingConfig, rug: bool) -> Column:
+    """What is drawn for one dimension: the line, the white box, where and how the text stands, the caps of a rug bar.
+
+    The depth text stands left-aligned beside its line, without a box; others in the middle of their box.
+    """
+    at = L.shifted(f"{name}_label")
+    box = {k: F.lit(None).cast("double") if name == "depth" else at[k] for k in ("bx1", "by1", "bx2", "by2")}
+    point = L.depth_text_point(at, config) if name == "depth" else F.struct(
+        ((at["bx1"] + at["bx2"]) / 2.0).alias("x"), ((at["by1"] + at["by2"]) / 2.0).alias("y")
+    )
+    caps = [L.end_caps(at, F.lit(name), config).alias("caps")] if rug else []
+    return F.struct(
+        F.lit(name).alias("dim_name"), F.col(f"{name}_text").alias("label"),
+        F.struct(*[at[k].alias(k) for k in ("x1", "y1", "x2", "y2")], *[v.alias(k) for k, v in box.items()]).alias("at"),
+        point["x"].alias("text_x"), point["y"].alias("text_y"),
+        F.lit("left" if name == "depth" else "center").alias("text_align"), *caps,
+    )
+
+
+def annotation_plan(
+    layouts: DataFrame, dims: DataFrame, config: L.DrawingConfig, rug: bool = False
+) -> DataFrame:
     """Everything a renderer needs, one row per item and dimension, and the status of each item.
 
-    `layouts` comes from `layout_by_mode`; `dims` has <dim>_in. Items without all
-    dimensions, lines or distinct line ends are kept with a reason.
+    `layouts` comes from `layout_by_mode` (or, for rugs, from the rug layout with mode and
+    status); `dims` has <dim>_in. All coordinates are in the final canvas. Items without
+    all dimensions, lines or distinct line ends are kept with a reason. With `rug` the
+    texts are those of rugs, and the lines have end caps.
     """
-    texts = L.label_texts(dims.select("oms_id", *[f"{d}_in" for d in L.ORDER]), config)
+    texts = L.label_texts(dims.select("oms_id", *[f"{d}_in" for d in L.ORDER]), config, rug)
     d = layouts.join(texts, on="oms_id", how="left")
     may_swap = (F.col("image_type") == "FRONT") & F.col("product_type").isin(list(config.swap_types))
     swap = may_swap & L.should_swap(config, F.col("width_in"), F.col("height_in"), F.col("depth_in"))
@@ -130,18 +161,26 @@ def annotation_plan(layouts: DataFrame, dims: DataFrame, config: L.DrawingConfig
         F.when(F.col("status") != "ok", "no corners").when(no_dims, "no dimensions").when(no_label, "empty line")
     )
     d = d.withColumn("reason", reason)
-    rows = F.array(*[
-        F.struct(
-            F.lit(n).alias("dim_name"), F.col(f"{n}_text").alias("label"), L.shifted(f"{n}_label").alias("at")
-        )
-        for n in L.ORDER
-    ])
+    rows = F.array(*[_drawn(n, config, rug) for n in L.ORDER])
     return d.select(
         "oms_id", "product_type", "mode", "swapped", "canvas_w", "canvas_h", "line_width", "font_size",
         F.when(F.col("reason").isNull(), "ok").otherwise("failed").alias("status"), "reason", F.inline(rows),
     )
 
 
+def rug_plan(boxes: DataFrame, rugs: DataFrame, config: L.DrawingConfig) -> DataFrame:
+    """The annotation plan of rugs: front views with a horizontal depth bar; `rugs` comes from `rug_dimensions`.
+
+    Several thicknesses or images of a rug do not matter here, the least thickness counts.
+    """
+    dims = rugs.groupBy("oms_id").agg(*[F.min(f"{n}_in").alias(f"{n}_in") for n in L.ORDER])
+    layouts = L.front_layout(boxes_with_border(boxes, config), config, rug=True).join(
+        dims.select("oms_id"), on="oms_id", how="left_semi"
+    )
+    fixed = {"image_type": F.lit("FRONT"), "mode": F.lit("FRONT"), "status": F.lit("ok")}
+    return annotation_plan(layouts.withColumns(fixed), dims, config, rug=True)
+
+
 def canopy_labels(
     hulls: DataFrame, extremes: DataFrame, images: DataFrame, config: L.DrawingConfig,
     away: tuple[float, float] = (500.0, 500.0), gap: float = 200.0, reach: int = 30,

@@ -30,7 +30,7 @@ def _label(number: str, places: int) -> str:
 
 
 def _feet(number: str) -> str:
-    whole = f"cast(trunc({number}) as bigint)"
+    whole = f"try_cast(trunc({number}) as bigint)"
     return f"cast({whole} // 12 as varchar) || '''' || cast({whole} % 12 as varchar) || '\"'"
 
 
@@ -177,6 +177,13 @@ add("front_items", "items image_urls item_attributes top_style_rows", f"""select
 add("attr_search", "item_attributes attributes", """select distinct attribute_id, displayname
     from item_attributes join attributes using (attribute_id)
     where lower(displayname) like '%canopy%' and lower(displayname) like '%in.%'""")
+ORACLES["sql_collection"] = ORACLES["collection_dims"]
+ORACLES["sql_attr_search"] = ORACLES["attr_search"]
+add("sql_measures", "item_attributes", f"""select oms_id, attribute_id, attribute_value, {_number('attribute_value', 2)}
+    as hundredths, {_first} as first_number, {_feet(_number('attribute_value', 2))} as feet
+    from item_attributes""")
+add("sql_rugs", "rug_sizes", f"""select omsid, product_name, {r6('width')} as width, {r6('height')} as height,
+    {_label('width', 2)} as label from rug_sizes""")
 add("style_counts", "style_freq", "select * from style_freq order by style_freq desc, style")
 add("style_tags", "style_rows", """select tag, count(*) as tag_freq from
     (select unnest(string_split(style, ',')) as tag from style_rows) group by tag""")
@@ -360,7 +367,7 @@ _b = "cast(trunc(greatest(img_w, img_h) * 0.15::double) as bigint)"
 V["bordered"] = (["boxes"], f"""select *, img_w + 2 * border as bordered_w, img_h + 2 * border as bordered_h
     from (select *, {_b} as border from boxes)""")
 _corner_names = [f"{m}_{a}{s}" for s in ("", "_bb") for a in "xy" for m in ("min", "max")]
-V["specs"] = (["bordered"], f"""select oms_id, product_type, bordered_w, bordered_h,
+V["specs"] = (["bordered"], f"""select oms_id, product_type, border, bordered_w, bordered_h,
     {', '.join(f'{n} + border as {n}' for n in _corner_names)},
     cast(trunc(0.05::double * greatest(bordered_w, bordered_h)) as bigint) as line_margin,
     cast(trunc(0.005::double * greatest(bordered_w, bordered_h)) as bigint) as line_width,
@@ -380,7 +387,7 @@ def _front_rows(rug: bool) -> str:
         "depth": depth,
     }
     cols = "cast(x1 as double) as x1, cast(y1 as double) as y1, cast(x2 as double) as x2, cast(y2 as double) as y2"
-    keep = "oms_id, product_type, bordered_w, bordered_h, line_margin, line_width, font_size"
+    keep = "oms_id, product_type, border, bordered_w, bordered_h, line_margin, line_width, font_size"
     return " union all ".join(
         f"""select {keep}, '{n}' as dim_name, {cols}, (min_x + max_x) / 2.0::double as center_x,
         (min_y + max_y) / 2.0::double as center_y from ({p} from specs)""" for n, p in parts.items()
@@ -664,12 +671,13 @@ V["side_flag"] = (["side"], f"""select image_id, status, coalesce(least(h, d) *
     {_length('depth')} as d, {_dh['x']} * {_dd['x']} + {_dh['y']} * {_dd['y']} as dot from side group by image_id, status)""")
 add("really_front", "side_flag", """select image_id, status, case when fronted then 'yes' else 'no' end as really_front
     from side_flag""")
-V["mode"] = (["side_flag", "side", "front", "view_labels"], """select f.oms_id, f.product_type, f.bordered_w, f.bordered_h,
+V["mode"] = (["side_flag", "side", "front", "view_labels"], """select f.oms_id, f.product_type, f.border, f.bordered_w, f.bordered_h,
     f.line_margin, f.line_width, f.font_size, f.dim_name, v.image_view as image_type,
     case when v.image_view = 'SIDE' and not g.fronted then 'SIDE' else 'FRONT' end as mode,
     case when v.image_view = 'SIDE' and g.status <> 'ok' then 'failed' else 'ok' end as status,
-    case when v.image_view = 'SIDE' and not g.fronted then struct_pack(x1 := s.x1, y1 := s.y1, x2 := s.x2, y2 := s.y2,
-        center_x := s.center_x, center_y := s.center_y) else struct_pack(x1 := f.x1, y1 := f.y1, x2 := f.x2, y2 := f.y2,
+    case when v.image_view = 'SIDE' and not g.fronted then struct_pack(x1 := s.x1 + f.border,
+        y1 := s.y1 + f.border, x2 := s.x2 + f.border, y2 := s.y2 + f.border,
+        center_x := s.center_x + f.border, center_y := s.center_y + f.border) else struct_pack(x1 := f.x1, y1 := f.y1, x2 := f.x2, y2 := f.y2,
         center_x := f.center_x, center_y := f.center_y) end as spot
     from front f join view_labels v using (oms_id) join side s on cast(s.image_id as varchar) = f.oms_id
         and s.dim_name = f.dim_name join side_flag g on g.image_id = s.image_id where v.image_view <> 'neither'""")
@@ -688,11 +696,34 @@ _annotated_views("plan", "swapped_lines", "texts")
 V["plan_why"] = (["plan_moved"], """select *, case when min(status) over w <> 'ok' then 'no corners'
     when bool_or(label is null) over w then 'no dimensions' when bool_or(px1 is null) over w then 'empty line' end as reason
     from plan_moved window w as (partition by oms_id)""")
-_plan_xy = ", ".join(f"{r6('m' + ('p' if k[0] in 'xy' else '') + k)} as {k}"
-                     for k in ("x1", "y1", "x2", "y2", "bx1", "by1", "bx2", "by2"))
+# The depth text stands beside its line without a box, the others in the middle of theirs.
+_beside = {"x": "least(mpx1, mpx2) * 0.4::double", "y": "(mpy1 + mpy2) * 0.5 + abs(mpx1 - mpx2) * 0.1::double"}
+_plan_xy = ", ".join([
+    *(f"{r6('mp' + k)} as {k}" for k in ("x1", "y1", "x2", "y2")),
+    *(f"{r6(f"case when dim_name <> 'depth' then m{k} end")} as {k}" for k in ("bx1", "by1", "bx2", "by2")),
+    *(f"{r6(f"case when dim_name = 'depth' then {_beside[k]} else (mb{k}1 + mb{k}2) / 2 end")} as text_{k}" for k in "xy"),
+])
 add("annotation_plan", "plan_why", f"""select oms_id, product_type, mode, case when swapped then 'yes' else 'no' end as swapped,
     cw as canvas_w, ch as canvas_h, line_width, font_size, case when reason is null then 'ok' else 'failed' end as status,
-    reason, dim_name, label, {_plan_xy} from plan_why""")
+    reason, dim_name, label, case when dim_name = 'depth' then 'left' else 'center' end as text_align, {_plan_xy}
+    from plan_why""")
+V["rug_numbers"] = (["rug_rows"], """select oms_id, min(width_in) as width_in, min(height_in) as height_in,
+    min(depth_in) as depth_in from rug_rows group by oms_id""")
+V["rug_labels_of"] = (["rug_numbers"], f"""select oms_id, dim_name, case dim_name
+    when 'height' then {_feet('number')} || ' L' when 'width' then {_feet('number')} || ' W'
+    else {_label('number', 2)} || chr(10) || ' thickness' end as label
+    from (select oms_id, unnest(['height', 'width', 'depth']) as dim_name,
+        unnest([height_in, width_in, depth_in]) as number from rug_numbers)""")
+V["rug_lines"] = (["front_rug", "rug_numbers"], "select f.* from front_rug f semi join rug_numbers n on f.oms_id = n.oms_id")
+_annotated_views("carpet", "rug_lines", "rug_labels_of")
+V["carpet_why"] = (["carpet_moved"], """select *, bool_or(label is null or px1 is null) over (partition by oms_id) as bad,
+    abs(mpx1 - mpx2) as dx, abs(mpy1 - mpy2) as dy from carpet_moved""")
+add("rug_plan", "carpet_why", f"""select oms_id, cw as canvas_w, ch as canvas_h, case when bad then 'failed' else 'ok' end as status,
+    dim_name, label, {_plan_xy}, cast(cap as int) as cap,
+    {r6('case when vertical then x - half else x end')} as cap_x1, {r6('case when vertical then y else y - half end')} as cap_y1,
+    {r6('case when vertical then x + half else x end')} as cap_x2, {r6('case when vertical then y else y + half end')} as cap_y2
+    from (select *, {_half} as half, unnest([0, 1]) as cap, unnest([mpx1, mpx2]) as x, unnest([mpy1, mpy2]) as y
+        from (select *, dx / ((mpx1 + mpx2) * 0.5) < dy / ((mpy1 + mpy2) * 0.5) as vertical from carpet_why))""")
 add("type_report", "plan_why items item_numbers merged_images stored_images", r"""select product_type, count(*) as items,
     cast(sum(full_dims) as bigint) as with_dims, cast(sum(1 - full_dims) as bigint) as missing_dims,
     cast(sum(1 - pictured) as bigint) as missing_images, cast(sum(failed) as bigint) as failed,

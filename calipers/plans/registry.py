@@ -22,6 +22,7 @@ from calipers.operators import snapshots as N
 from calipers.plans import jobs
 from calipers.runtime import settle
 from calipers.sources import adapters as V
+from calipers.sources import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -561,6 +562,16 @@ def annotation_plan(spark, d):
     return rounded(plan.select(*[c for c in plan.columns if c != "at"], "at.*"))
 
 
+@query
+def rug_plan(spark, d):
+    """One row per line and end cap."""
+    plan = jobs.rug_plan(V.boxes(spark, d), _rugs(spark, d), CONFIG)
+    flat = plan.select("oms_id", "canvas_w", "canvas_h", "status", "dim_name", "label", "at.*", "text_x", "text_y",
+                       F.posexplode("caps").alias("cap", "end"))
+    ends = {f"cap_{k}": F.col(f"end.{k}") for k in ("x1", "y1", "x2", "y2")}
+    return rounded(flat.withColumns(ends).drop("end"))
+
+
 @query
 def type_report(spark, d):
     return jobs.run_report(
@@ -569,6 +580,55 @@ def type_report(spark, d):
     )
 
 
+# --- SQL text over views and functions -----------------------------------------------------
+
+
+@query
+def sql_measures(spark, d):
+    sql.prepare(spark, d)
+    return spark.sql("""
+        select oms_id, attribute_id, attribute_value, dimension_value(attribute_value) as hundredths,
+            leading_number(attribute_value) as first_number,
+            feet_inches(dimension_value(attribute_value)) as feet
+        from item_attributes""")
+
+
+@query
+def sql_rugs(spark, d):
+    sql.prepare(spark, d)
+    return rounded(spark.sql("""
+        select omsid, product_name, rug_width(product_name) as width, rug_height(product_name) as height,
+            inches(rug_width(product_name)) as label from rugs"""))
+
+
+@query
+def sql_collection(spark, d):
+    sql.prepare(spark, d)
+    values = ", ".join(f"'{v}'" for v in COLLECTION_VALUES)
+    measured = " ".join(
+        f"join (select oms_id, attribute_value as {n} from wanted where attribute_id = '{a}') using (oms_id)"
+        for n, a in COLLECTION_COLUMNS.items()
+    )
+    return spark.sql(f"""
+        with wanted as (
+            select v.* from item_attributes v left semi join (
+                select oms_id from item_attributes left semi join items using (oms_id)
+                where attribute_value in ({values})) using (oms_id)
+        ), pictures as (
+            select oms_id, attribute_value as image_guid from wanted join attributes using (attribute_id)
+            where lower(displayname) = 'product image'
+        )
+        select oms_id, image_guid, {", ".join(COLLECTION_COLUMNS)} from pictures {measured}""")
+
+
+@query
+def sql_attr_search(spark, d):
+    sql.prepare(spark, d)
+    return spark.sql("""
+        select distinct attribute_id, displayname from item_attributes join attributes using (attribute_id)
+        where lower(displayname) like '%canopy%' and lower(displayname) like '%in.%'""")
+
+
 # --- segments -----------------------------------------------------------------------------
 
 

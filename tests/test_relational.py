@@ -180,3 +180,29 @@ def test_kernels_run_from_another_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows" in out.stdout and out.returncode == 0, out.stderr[-2000:]
+
+
+def test_sql_functions_are_inlined(spark):
+    from calipers.sources import sql
+
+    sql.prepare(spark, "/root/testdata/sf0.001")
+    plan = spark.sql("select dimension_value(attribute_value) as v, feet_inches(67.9) as f from item_attributes")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract" in text or "regexp_substr" in text
+    assert "dimension_value" not in text and "Python" not in text
+    rows = spark.sql("""select dimension_value('a 12.341 in') as a, dimension_value('none') as b, feet_inches(67.9) as c,
+        feet_inches(cast('NaN' as double)) as d, inches(12.5D) as e, inches(100D) as f, leading_number(' 16.63 in') as g,
+        rug_width('Rug 5 ft. 3 in. x 7 ft.') as h, rug_height('Rug 5 ft. 3 in. x 7 ft.') as i, rug_width('Rug') as j""").first()
+    assert tuple(rows) == (12.35, None, "5'7\"", None, '12.5"', '100"', 16.63, 63.0, 84.0, None)
+
+
+def test_chosen_images_and_review_sink(spark, tmp_path):
+    from calipers.sources import feeds
+
+    (tmp_path / "images").mkdir()
+    (tmp_path / "images" / "part.csv").write_text("Lamp,7,g1,FRONT\nRug,8,g2,SIDE\n")
+    got = sorted(map(tuple, feeds.read_merged_images(spark, str(tmp_path / "images")).collect()))
+    assert got == [("Lamp", "7", "g1", "FRONT"), ("Rug", "8", "g2", "SIDE")]
+    records = spark.createDataFrame([("7", ["g1"])], "oms_id string, all_image_guids array<string>")
+    feeds.write_review(records, str(tmp_path / "review"))
+    assert spark.read.json(str(tmp_path / "review")).first().asDict() == {"oms_id": "7", "all_image_guids": ["g1"]}
