@@ -52,8 +52,9 @@ def inches_label(number: Column, places: int) -> Column:
 def feet_inches_label(number: Column) -> Column:
     """Whole inches (fraction cut off) as feet and inches: 67.9 -> `5'7"`; null for what no long can hold."""
     whole = number.try_cast("long")
-    feet = F.floor(whole / 12)
-    return F.concat(feet.cast("string"), F.lit("'"), (whole - feet * 12).cast("string"), F.lit('"'))
+    rest = F.pmod(whole, F.lit(12))
+    feet = F.call_function("div", whole - rest, F.lit(12))
+    return F.concat(feet.cast("string"), F.lit("'"), rest.cast("string"), F.lit('"'))
 
 
 def _side_inches(part: Column) -> Column:

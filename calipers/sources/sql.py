@@ -14,13 +14,16 @@ from calipers.sources import adapters
 _SIDE = """coalesce(try_cast(regexp_extract(part, '([0-9]+) ft', 1) AS double), 0D) * 12
     + coalesce(try_cast(regexp_extract(part, '([0-9]+) in', 1) AS double), 0D)"""
 
+_HUNDREDFOLD = f"try_cast(regexp_substr(value, r'{NUMBER_PATTERN}') AS double) * 10D * 10D"
+_INCHES = "try_cast(value AS bigint)"
+
 #: name -> (parameters, result type, expression)
 FUNCTIONS = {
-    "dimension_value": ("value STRING", "DOUBLE", f"""ceil(try_cast(regexp_substr(value, r'{NUMBER_PATTERN}') AS double)
-        * 10D * 10D) / 10D / 10D"""),
+    "dimension_value": ("value STRING", "DOUBLE", f"""CASE WHEN {_HUNDREDFOLD} < 9007199254740992D
+        THEN CAST(ceil({_HUNDREDFOLD}) AS double) ELSE {_HUNDREDFOLD} END / 10D / 10D"""),
     "leading_number": ("value STRING", "DOUBLE", r"try_cast(split(trim(value), r'\s+')[0] AS double)"),
-    "feet_inches": ("value DOUBLE", "STRING", """concat(floor(try_cast(value AS bigint) / 12), "'",
-        try_cast(value AS bigint) - floor(try_cast(value AS bigint) / 12) * 12, '"')"""),
+    "feet_inches": ("value DOUBLE", "STRING", f"""concat(({_INCHES} - pmod({_INCHES}, 12)) div 12, "'",
+        pmod({_INCHES}, 12), '"')"""),
     "inches": ("value DOUBLE", "STRING", """CASE WHEN value IS NOT NULL THEN
         concat(rtrim('.', rtrim('0', format_string('%.2f', value))), '"') END"""),
     "rug_side": ("part STRING", "DOUBLE", _SIDE),
