@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from calipers.llm import decontaminate, html, jaccard, mixing, neighbours, repeats, secrets, sharding, toxicity
+from calipers.llm import decontaminate, html, jaccard, licences, mixing, neighbours, repeats, secrets, sharding, toxicity
 from calipers.llm.common import table
 from calipers.llm.sql import MIX
 
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_guess_secrets": lambda spark, sf: secrets.scan(table(spark, sf, "documents")),
     "op6_multi_index": lambda spark, sf: neighbours.search_hundredths(table(spark, sf, "embeddings")),
     "op7_lpf_repeats": lambda spark, sf: repeats.trimmed(table(spark, sf, "documents")),
+    "op8_licence_digests": lambda spark, sf: licences.scan(table(spark, sf, "documents")),
     "op9_toxic_grammar": lambda spark, sf: toxicity.score_rows(
         table(spark, sf, "documents"), table(spark, sf, "labels")
     ),
