@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from calipers.llm.common import packed, text_of
+from calipers.llm.common import text_of
 
 #: A word: a run of anything but the six ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -69,9 +69,13 @@ def demand_time(share: Column, ramp: Column) -> Column:
     return F.when(flat, share).otherwise((root - (1 - ramp)) / F.when(flat, F.lit(1.0)).otherwise(2 * ramp))
 
 
-def takes(docs: DataFrame, rows_per_piece: int = 2_000, most: int = 3, **shape: tuple) -> DataFrame:
+def takes(
+    docs: DataFrame, rows_per_piece: int = 2_000, most: int = 3, keep: list[str] | None = None, **shape: tuple
+) -> DataFrame:
     """`row`, size, source_size, target, copies, taken and positions (one for each copy) of every document.
 
+    `row` has the columns of docs, or those named by `keep`: what is left out is not shuffled.
+
     A source is passed through whole as often as its target allows; the last pass takes
     the documents, in an order drawn from their ids, whose middle lies before the target.
     So the words taken differ from the target by half a document at most, and no document
@@ -83,9 +87,10 @@ def takes(docs: DataFrame, rows_per_piece: int = 2_000, most: int = 3, **shape:
     Null doc_id: an order key like any other. Repeated rows: each has its own place.
     No rows: no rows.
     """
-    base = packed(docs).select(
-        "row", words(F.col("row.text").cast("string")).alias("size"), F.col("row.source").cast("string").alias("source"),
-        F.crc32(text_of(F.col("row.text")).cast("binary")).alias("tie"), F.col("row.doc_id").cast("long").alias("id"),
+    base = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("row"),
+        words(F.col("text").cast("string")).alias("size"), F.col("source").cast("string").alias("source"),
+        F.crc32(text_of(F.col("text")).cast("binary")).alias("tie"), F.col("doc_id").cast("long").alias("id"),
     ).withColumn("draw", F.conv(F.substring(F.md5(
         F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")
     ), 1, 12), 16, 10).cast("long"))
@@ -127,7 +132,7 @@ def takes(docs: DataFrame, rows_per_piece: int = 2_000, most: int = 3, **shape:
 
 def mix_rows(docs: DataFrame) -> DataFrame:
     """The digest of `takes`, one row per document, range-sorted by the first position (untaken ones first)."""
-    found = takes(docs.select("doc_id", "text", "source")).select(
+    found = takes(docs, keep=["doc_id"]).select(
         F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "copies",
         F.round(F.try_element_at("positions", F.lit(1)), 9).alias("position"),
     )
