@@ -8,26 +8,28 @@ several, its lines; a unit is compared as a whole, never in part.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calipers.llm.common import text_of
 
-# Patterns and what takes their place, in this order, in lower-cased text.
+# Equivalent spellings, in lower-cased text.
 SPELLINGS = (
-    (r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*$", " "),
-    (r"https?://\S+|www\.\S+", " "),
-    (r"&", " and "),
-    (r"\blicence", "license"),
-    (r"\bsub[- ]licens", "sublicens"),
-    (r"\bnon[- ]?commercial", "noncommercial"),
-    (r"\bshare[- ]alike", "sharealike"),
-    (r"isation\b", "ization"),
-    (r"\bfavour", "favor"),
-    (r"\b(?:version|ver\.?|v\.?) ?(?=\d)", "version "),
-    (r"(?<=\d)\.0\b", ""),
-    (r"[^\p{L}\p{N}]+", " "),
+    ("licence", "license"), ("sub-licens", "sublicens"), ("sub licens", "sublicens"), ("non-commercial", "noncommercial"),
+    ("non commercial", "noncommercial"), ("share-alike", "sharealike"), ("share alike", "sharealike"), ("isation", "ization"),
+    ("favour", "favor"), ("&", " and "),
+)
+# Patterns, what takes their place, and texts of which one is in every line that has a match.
+PATTERNS = (
+    (r"^[!-/:-@\[-`{-~\t-\r\x20\u00a0©]*(?:copyright|\(c\)|©).*$", " ", ("copyright", "(c)", "©")),
+    (r"https?://\S+|www\.\S+", " ", ("http", "www.")),
+    (r"\b(?:version|ver\.?|v\.?) ?(?=[0-9])", "version ", ("v0", "v1", "v2", "v3", "v4", "v5", "v6", "v7", "v8", "v9", "v.", "v ", "ver", "version")),
+    (r"(?<=[0-9])\.0\b", "", (".0",)),
 )
+_GAPS = r"[!-/:-@\[-`{-~\t-\r\x20\u00a0«»“”‘’–—…©®™·¶§•]+"
+
 
 # Licences by identifier, with the names that statements use.
 NAMES = {
@@ -102,23 +104,41 @@ use this software in a product, an acknowledgment in the product documentation w
 }
 
 
-def canonical(text: Column) -> Column:
-    form = F.lower(text)
-    for pattern, instead in SPELLINGS:
-        form = F.regexp_replace(form, pattern, instead)
-    return F.trim(form)
+def _spelled(line: Column) -> Column:
+    form = F.lower(line)
+    for spelling, same in SPELLINGS:
+        form = F.replace(form, F.lit(spelling), F.lit(same))
+    return form
+
+
+def _hinted(form: Column, hints: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a | b, (form.contains(h) for h in hints))
+
+
+def forms(text: Column) -> Column:
+    """The canonical forms of the lines of a text; the whole text's form is that of its lines, joined by spaces.
+
+    Each step is a pass of its own over the array of lines, so that no step is evaluated
+    twice. Patterns are tried only where one of their texts occurs.
+    """
+    lines = F.transform(F.split(text, "\n"), _spelled)
+    for pattern, instead, hints in PATTERNS:
+        lines = F.transform(lines, lambda x: F.when(
+            _hinted(x, hints), F.regexp_replace(x, pattern, instead)  # noqa: B023
+        ).otherwise(x))
+    return F.transform(lines, lambda x: F.trim(F.regexp_replace(x, _GAPS, " ")))
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(canonical(text), 256)
+def _whole(lines: Column) -> Column:
+    return F.array_join(F.filter(lines, lambda x: x != ""), " ")
 
 
 def known_digests(spark: SparkSession) -> DataFrame:
     """digest, licence: one row per canonical form of the fixed texts and statements."""
     rows = [(licence, text) for licence, texts in TEXTS.items() for text in texts]
     rows += [(licence, form.format(name)) for licence, names in NAMES.items() for name in names for form in STATEMENTS]
-    forms = spark.createDataFrame(rows, "licence string, text string")
-    return forms.select("licence", digest(F.col("text")).alias("digest")).groupBy("digest").agg(F.min("licence").alias("licence"))
+    texts = spark.createDataFrame(rows, "licence string, text string").select("licence", forms(F.col("text")).alias("lines"))
+    return texts.select("licence", F.sha2(_whole(F.col("lines")), 256).alias("digest")).groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -131,14 +151,11 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """
     own = known is None
     known = known_digests(docs.sparkSession) if own else known.select("digest", "licence")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
-    lines = F.split("text", "\n")
-    units = F.array(F.struct(F.lit(0).alias("line"), F.col("text").alias("part")))
-    several = F.when(F.size(lines) > 1, F.transform(lines, lambda x, i: F.struct((i + 1).alias("line"), x.alias("part"))))
-    parts = texts.select("doc_id", F.explode(F.concat(units, F.coalesce(several, F.array().cast(
-        "array<struct<line:int,part:string>>"
-    )))).alias("u")).select("doc_id", "u.line", "u.part")
-    digests = parts.select("doc_id", "line", digest(F.col("part")).alias("digest"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), forms(text_of(F.col("text"))).alias("lines"))
+    unit = lambda line, form: F.struct(line.cast("int").alias("line"), F.sha2(form, 256).alias("digest"))
+    several = F.when(F.size("lines") > 1, F.transform("lines", lambda x, i: F.when(x != "", unit(i + 1, x))))
+    units = F.concat(F.array(unit(F.lit(0), _whole(F.col("lines")))), F.coalesce(several, F.array()))
+    digests = texts.select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.line", "u.digest")
     # the built-in table is fixed and has under 700 rows; a caller's is left to the optimiser
     return digests.join(F.broadcast(known) if own else known, "digest").select(
         "doc_id", F.when(F.col("line") == 0, "text").otherwise("line").alias("unit"), "line", "licence", "digest"

@@ -6,10 +6,15 @@ from calipers.llm import licences
 
 
 def plain(text):
-    form = (text or "").lower()
-    for pattern, instead in licences.SPELLINGS:
-        form = regex.sub(pattern, instead, form)
-    return form.strip(" ")
+    out = []
+    for line in (text or "").split("\n"):
+        form = line.lower()
+        for spelling, same in licences.SPELLINGS:
+            form = form.replace(spelling, same)
+        for pattern, instead, _ in licences.PATTERNS:
+            form = regex.sub(pattern, instead, form)
+        out.append(regex.sub(licences._GAPS, " ", form).strip(" "))
+    return " ".join(x for x in out if x)
 
 
 def known():
