@@ -28,6 +28,7 @@ import hashlib
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -101,57 +102,85 @@ class Chunk:
     length: np.ndarray  # the number of its windows,
     anchor: np.ndarray  # its anchor
     doc: np.ndarray  # and its document's number in the chunk
-    sums: np.ndarray  # prefix sums of the polynomial hash
-    back: np.ndarray  # inverse powers of its base
+
+    @cached_property
+    def sums(self) -> np.ndarray:
+        """Prefix sums of a polynomial hash."""
+        sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
+        values = self.data.astype(np.uint64)
+        values += np.uint64(1)
+        values *= _powers(_BASE, len(values))
+        np.cumsum(values, out=sums[1:])
+        return sums
 
     def hashes(self, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
         """64-bit hashes of the byte strings that begin at `begin`."""
-        own = (self.sums[begin + size] - self.sums[begin]) * self.back[begin]
+        own = (self.sums[begin + size] - self.sums[begin]) * _powers(_BASE_INVERSE, len(self.data))[begin]
         return mixed(own + np.asarray(size).astype(np.uint64) * _C2)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first n powers; the longest run so far is kept for the next chunk."""
+    if len(_POWERS.get(base, ())) < n:
+        _POWERS[base] = powers(base, n)
+    return _POWERS[base][:n]
+
+
 def opened(ids: bytes, sizes: bytes, data: bytes) -> Chunk:
     doc_ids, lengths, text = _unpacked(ids, "<i8"), _unpacked(sizes, "<i8"), _unpacked(data, "u1")
     offsets = np.concatenate([[0], np.cumsum(lengths)])
     n = len(text)
     none = np.zeros(0, dtype=np.int64)
     if n < SPAN:
-        return Chunk(doc_ids, text, offsets, none, none, none.astype(np.uint64), none, np.zeros(1, np.uint64), none)
+        return Chunk(doc_ids, text, offsets, none, none, none.astype(np.uint64), none)
     raw = text.tobytes()
     eight = np.ndarray((n - 7,), "<u8", raw, 0, (1,))
-    least = mixed(eight[:-8] * _C1 ^ (eight[8:] * _C2 + _C1))[: n - GRAM + 1]
+    least = eight[:-8] * _C1  # 16 bytes to 64 bits, in place from here on
+    least ^= least >> np.uint64(29)
+    least += eight[8:] * _C2
+    least *= _C1
+    least ^= least >> np.uint64(32)
+    least *= _C2
     reach = 1
     while reach * 2 <= SPAN - GRAM + 1:
         least = np.minimum(least[:-reach], least[reach:])
         reach *= 2
     rest = SPAN - GRAM + 1 - reach
     least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
-    of_doc = np.repeat(np.arange(len(lengths)), lengths)[: len(least)]
-    at = np.flatnonzero(np.arange(len(least)) + SPAN <= offsets[1:][of_doc])
-    new = np.ones(len(at), dtype=bool)
-    new[1:] = (least[at[1:]] != least[at[:-1]]) | (at[1:] != at[:-1] + 1)
-    first = np.flatnonzero(new)
-    length = np.diff(np.append(first, len(at)))
-    start = at[first]
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n), out=sums[1:])
-    return Chunk(doc_ids, text, offsets, start, length, least[start], of_doc[start], sums, powers(_BASE_INVERSE, n))
+    # a unit ends where the anchor changes, and where the windows of its document end
+    change = np.flatnonzero(least[1:] != least[:-1]) + 1
+    begins = offsets[:-1][lengths >= SPAN]
+    stops = offsets[1:][lengths >= SPAN] - SPAN + 1
+    start = np.sort(np.concatenate([change, begins]))
+    start = start[np.append(True, start[1:] != start[:-1])[: len(start)]]
+    doc = np.searchsorted(offsets, start, side="right") - 1
+    last = offsets[doc + 1] - SPAN + 1
+    end = np.minimum(np.append(start[1:], stops[-1:] if len(stops) else 0), last)
+    whole = np.flatnonzero(end > start)
+    start, doc = start[whole], doc[whole]
+    return Chunk(doc_ids, text, offsets, start, end[whole] - start, least[start], doc)
 
 
 def _least_id(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, the least id of each, and the number of every row's key."""
-    order = np.lexsort((ids, keys))
+    if not len(keys):
+        return keys, ids, np.zeros(0, dtype=np.int64)
+    order = np.argsort(keys)
+    ranked = keys[order]
     new = np.ones(len(keys), dtype=bool)
-    new[1:] = keys[order][1:] != keys[order][:-1]
+    new[1:] = ranked[1:] != ranked[:-1]
     number = np.empty(len(keys), dtype=np.int64)
     number[order] = np.cumsum(new) - 1
-    return keys[order][new], ids[order][new], number
+    return ranked[new], np.minimum.reduceat(ids[order], np.flatnonzero(new)), number
 
 
 def _by_group(keys: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
-    """An order of the keys by group (ascending inside), and where the groups begin."""
-    group = (keys % np.uint64(groups)).astype(np.int64)
-    order = np.lexsort((keys, group))
+    """An order of the ascending keys by group, and where the groups begin."""
+    group = (keys % np.uint64(groups)).astype(np.int16 if groups < 2**15 else np.int64)
+    order = np.argsort(group, kind="stable")
     return order, np.searchsorted(group[order], np.arange(groups + 1))
 
 
@@ -287,16 +316,19 @@ def earlier_factors(data: np.ndarray, begin: np.ndarray, ids: np.ndarray) -> tup
     has an earlier match of SPAN bytes when the previous or next smaller document in that
     order stands among its equals.
     """
-    rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, SPAN)[begin]).view(f"V{SPAN}").ravel()
-    words = np.zeros((len(begin), 7), dtype=">u8")
-    words.view(np.uint8).reshape(len(begin), 56)[:, :SPAN] = rows.view(np.uint8).reshape(len(begin), SPAN)
-    columns = [words[:, i].astype(np.uint64) for i in range(7)]
-    order = np.lexsort((ids, *columns[::-1]))
-    new = np.zeros(len(begin), dtype=bool)
-    if len(new):
-        new[0] = True
-    for column in columns:
-        new[1:] |= column[order][1:] != column[order][:-1]
+    if not len(begin):
+        return begin, np.zeros(0, dtype=bool)
+    padded = np.zeros((len(begin), 56), dtype=np.uint8)
+    padded[:, :SPAN] = np.lib.stride_tricks.sliding_window_view(data, SPAN)[begin]
+    words = padded.view(">u8")
+    head, *tail = (words[:, i].astype(np.uint64) for i in range(7))
+    order = np.argsort(head)
+    same = head[order][1:] == head[order][:-1]
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same))  # only these need the other bytes
+    own = order[tied]
+    order[tied] = own[np.lexsort((ids[own], *(c[own] for c in tail[::-1]), head[own]))]
+    new = np.ones(len(begin), dtype=bool)
+    new[1:] = np.any([c[order][1:] != c[order][:-1] for c in (head, *tail)], axis=0)
     equal = np.cumsum(new) - 1
     previous, following = smaller_neighbours(ids[order])
     padded = np.append(equal, -1)  # one past the end, and -1, belong to no text
