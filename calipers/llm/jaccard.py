@@ -1,9 +1,10 @@
 """N-gram Jaccard join by a MinHash LSH forest, with exact verification.
 
 Every distinct shingle set is a node. Its signature is cut into trees; in each tree the
-nodes are sorted into a prefix trie. Nodes that share a long prefix meet first; the prefix
-is shortened step by step until the recall, estimated from the pairs found so far, reaches
-the target. Pairs that meet are verified on the shingle sets.
+nodes are sorted into a prefix trie. Nodes meet that share a prefix in a tree; the prefix is
+the longest at which a pair of the least similarity still meets with the target recall, so
+that no pair's chance depends on what else is in the table. Pairs that meet are verified on
+the shingle sets.
 
 A trie node may hold very many members. It is cut into blocks, and each pair of blocks is a
 task of its own; tasks give back counts per member and a spanning forest, never pairs.
@@ -24,9 +25,8 @@ from calipers.operators.components import component_labels
 from calipers.runtime import settle, ship
 
 WIDTH, SIMILARITY = 5, 0.8
-TREES, DEPTH = 10, 6
-#: Prefixes are not shortened below this: with 10 trees a pair at 0.8 meets with 0.9992 there.
-SHORTEST = 3
+#: A pair at 0.8 meets with 0.9996 at the full depth, and with 0.99998 one step above.
+TREES, DEPTH = 15, 4
 BLOCK = 512
 
 _SALTS = mixed(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -89,11 +89,19 @@ def sketches(docs: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, "doc_id long, text_hash long, text_crc long, node binary, signature binary")
 
 
-def _meets(similarity: np.ndarray, depth: int) -> np.ndarray:
+def _meets(similarity: float, depth: int) -> float:
     """The chance that a pair shares a prefix of this length in at least one tree."""
     return 1 - (1 - similarity**depth) ** TREES
 
 
+def longest_prefix(target: float) -> int:
+    """The longest prefix at which the pairs hardest to meet, those at SIMILARITY, meet with the target recall."""
+    for depth in range(DEPTH, 0, -1):
+        if _meets(SIMILARITY, depth) >= target:
+            return depth
+    raise ValueError(f"{TREES} trees meet a pair at {SIMILARITY} with {_meets(SIMILARITY, 1)} at most, not {target}")
+
+
 def _pairs(begin: np.ndarray, size: np.ndarray, left: np.ndarray, both: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(i, j, cell) row numbers of the pairs of cells, about a quarter million at a time.
 
@@ -113,8 +121,8 @@ def _pairs(begin: np.ndarray, size: np.ndarray, left: np.ndarray, both: np.ndarr
         yield begin[cell] + a.ravel(), begin[cell] + b.ravel(), np.full(a.size, cell)
 
 
-def _candidates(rows: pd.DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers i, j of the pairs that first meet in their cell, their cell's number and share of equal minima."""
+def _candidates(rows: pd.DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers i, j of the likely pairs that first meet in their cell, and their cell's number."""
     signs = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint32).reshape(len(rows), -1)
     tree = rows["tree"].to_numpy()
     number, begin = _cell_numbers(rows)
@@ -123,7 +131,7 @@ def _candidates(rows: pd.DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray,
     left = np.bincount(number, block == lo, len(begin)).astype(np.int64)
     # Five standard errors below the threshold: a pair at 0.8 falls under it once in ten million.
     least = len(_SALTS) * SIMILARITY - 5 * np.sqrt(len(_SALTS) * SIMILARITY * (1 - SIMILARITY))
-    found = [(np.zeros(0, np.int64),) * 3 + (np.zeros(0),)]
+    found = [(np.zeros(0, np.int64),) * 3]
     for i, j, cell in _pairs(begin, size, left, (lo != hi)[begin]):
         equal = np.zeros(len(i), dtype=np.uint8)
         first = np.full(len(i), TREES, dtype=np.int8)
@@ -136,7 +144,7 @@ def _candidates(rows: pd.DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray,
                     prefix &= same
             first[prefix] = t
         near = np.flatnonzero((equal >= least) & (first == tree[i]))
-        found.append((i[near], j[near], cell[near], equal[near] / len(_SALTS)))
+        found.append((i[near], j[near], cell[near]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -182,7 +190,7 @@ def _cells(members: DataFrame) -> DataFrame:
 
 
 def _screen(nodes: DataFrame, depth: int) -> DataFrame:
-    """Members that have a likely partner in a cell, with what the recall estimate needs."""
+    """Members that have a likely partner in a cell."""
     prefix = lambda t: F.substring("signature", t * DEPTH * 4 + 1, depth * 4)
     members = nodes.select("node", F.explode(F.array(*(
         F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), prefix(t)).alias("bucket")) for t in range(TREES)
@@ -191,27 +199,19 @@ def _screen(nodes: DataFrame, depth: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _whole_cells(batches):
-            i, j, _, share = _candidates(rows, depth)
+            i, j, _ = _candidates(rows, depth)
             used = np.unique(np.concatenate([i, j]))
-            out = rows.iloc[used][["bucket", "tree", "node", "block", "lo", "hi", "signature"]].copy()
-            sure = share[share >= SIMILARITY]
-            out["found"] = np.where(np.arange(len(out)) == 0, float(len(sure)), 0.0)
-            out["expected"] = np.where(np.arange(len(out)) == 0, float((1 / _meets(sure, depth)).sum()), 0.0)
-            yield out
+            yield rows.iloc[used][["bucket", "tree", "node", "block", "lo", "hi", "signature"]]
 
     return _in_cells(cells).mapInPandas(
-        run, "bucket long, tree int, node binary, block int, lo int, hi int, signature binary, found double, expected double"
+        run, "bucket long, tree int, node binary, block int, lo int, hi int, signature binary"
     )
 
 
 def forest_candidates(nodes: DataFrame, target: float) -> tuple[DataFrame, int]:
     """Screened cells at the longest prefix that reaches the target recall, and its length."""
-    for depth in range(DEPTH, SHORTEST - 1, -1):
-        cells = stored(_screen(nodes, depth), f"forest-{depth}")
-        seen = cells.agg(F.sum("found").alias("f"), F.sum("expected").alias("e")).first()
-        if depth == SHORTEST or (seen.e and seen.f / seen.e >= target):
-            return cells, depth
-    raise AssertionError("unreachable")
+    depth = longest_prefix(target)
+    return stored(_screen(nodes, depth), "forest"), depth
 
 
 def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -250,7 +250,7 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 def _verify(rows: pd.DataFrame, depth: int) -> pd.DataFrame:
     """Exact links in whole cells: per node the linked documents, and its root in a spanning forest of the cell."""
-    i, j, cell, _ = _candidates(rows, depth)
+    i, j, cell = _candidates(rows, depth)
     order = np.argsort(cell, kind="stable")
     i, j, cell = i[order], j[order], cell[order]
     sets = [np.frombuffer(s, dtype=np.uint64) for s in rows["shingles"]]
@@ -298,7 +298,7 @@ def near_duplicates(docs: DataFrame, target: float = 0.9995) -> DataFrame:
                 out["shingles"] = [found[i] for i in range(len(part))]
                 yield out
 
-    filled = cells.drop("found", "expected").join(texts.mapInPandas(sets, "node binary, copies long, shingles binary"), "node")
+    filled = cells.join(texts.mapInPandas(sets, "node binary, copies long, shingles binary"), "node")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _whole_cells(batches):

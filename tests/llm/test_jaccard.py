@@ -44,3 +44,28 @@ def test_null_ids(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (3, "x y z u v w")], "doc_id long, text string")
     assert sorted(map(tuple, jaccard.classes(docs).collect()), key=str) == [(3, 3, 0), (None, None, 1), (None, None, 1)]
     assert jaccard.one_of_each(docs).count() == 2
+
+
+def test_recall_of_far_pairs_beside_a_hot_group(spark):
+    """A group with half a million pairs at 0.95 does not lower the recall of 1,000 separate pairs at 0.8."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    base, rows = [word() for _ in range(404)], []
+    for i in range(1000):
+        own = list(base)
+        own[rng.randrange(5, 399)] = word()
+        rows.append((i, " ".join(own)))
+    for k in range(1000):
+        own = [word() for _ in range(49)]
+        rows.append((10_000 + 2 * k, " ".join(own)))  # 45 shingles, of which 40 are shared: 40 of 50
+        rows.append((10_001 + 2 * k, " ".join([*own[:44], *(word() for _ in range(5))])))
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == (0, 999) for i in range(1000))
+    assert sum(got[10_001 + 2 * k] == (10_000 + 2 * k, 1) for k in range(1000)) >= 998
+
+
+def test_prefix_from_the_least_similarity():
+    assert jaccard._meets(0.8, jaccard.longest_prefix(0.9995)) >= 0.9995
+    assert jaccard._meets(0.8, jaccard.longest_prefix(0.9999)) >= 0.9999
+    with pytest.raises(ValueError, match="trees"):
+        jaccard.longest_prefix(1.0)
