@@ -1,6 +1,6 @@
 """Licence scan by canonical digests.
 
-A text is reduced to a canonical form (case, copyright lines, links, equivalent spellings,
+A text is reduced to a canonical form (case, copyright notices, links, equivalent spellings,
 punctuation and white space), and the digest of the form is joined with the digests of known
 licence texts and statements. Units of the scan are whole texts and, where a text has
 several, its lines; a unit is compared as a whole, never in part.
@@ -21,9 +21,29 @@ SPELLINGS = (
     ("non commercial", "noncommercial"), ("share-alike", "sharealike"), ("share alike", "sharealike"), ("isation", "ization"),
     ("favour", "favor"), ("&", " and "),
 )
+# Words after "copyright" or "(c)" at the beginning of a line that make it a piece of a text, not a notice.
+_NO_NAMES = (
+    r"(?:holders?|owners?|notices?|laws?|license[sd]?|licensors?|and|or|is|are|in|on|to|for|of|as|interests?|statements?|disclaimers?|"
+    r"protections?|treat(?:y|ies)|permissions?|acts?|claims?|rights?|status|infringements?|materials?|terms|works?|registrations?|lines?|"
+    r"the (?:software|work|program|library)|you|under|the licensor|if|any|an?|all|each|it|with|no|use|such|this|that|not|where|when|similar)\b"
+)
+_YEAR = r"[\[<{]?(?:(?:19|20)[0-9][0-9]|yyyy|year)\b"
+# A notice ends with its reservation of rights or its sentence, where a licence begins, or with the line.
+_NOTICE_END = (
+    r"[^\n]*?(?:all rights reserved[.\s]*|(?<=[a-z0-9]{3})(?<!\binc)(?<!\bltd)(?<!\bcorp)\.\s+(?:all rights reserved[.\s]*)?|"
+    r"(?=\b(?:permission is (?:hereby )?granted|permission to use|this software|this work|this file|this project|this program|this source|"
+    r"the software is|redistribution and use|licensed under|released under|distributed under|available under|everyone is permitted|"
+    r"license:|spdx-license))|$)"
+)
+_NOTICE = (
+    r"(?:(?:copyright|©|\(c\))[\s:,]*(?:(?:\(c\)|©)[\s:,]*)?" + _YEAR  # anywhere
+    + r"|^[!-/:-@\[-`{-~\t-\r\x20\u00a0]*(?:copyright[\s:]*(?:\(c\)|©)|copyright:?\s+(?!" + _NO_NAMES + r")(?=[a-z<\[{\u0080-\uffff])"
+    + r"|©|\(c\)\s*(?!" + _NO_NAMES + r")(?!the\b)(?=[a-z<\[{][^\n]{0,60}$)))"
+    + _NOTICE_END
+)
 # Patterns, what takes their place, and texts of which one is in every line that has a match.
 PATTERNS = (
-    (r"^[!-/:-@\[-`{-~\t-\r\x20\u00a0©]*(?:copyright|\(c\)|©).*$", " ", ("copyright", "(c)", "©")),
+    (_NOTICE, " ", ("copyright", "(c)", "©")),
     (r"https?://\S+|www\.\S+", " ", ("http", "www.")),
     (r"\b(?:version|ver\.?|v\.?) ?(?=[0-9])", "version ", ("v0", "v1", "v2", "v3", "v4", "v5", "v6", "v7", "v8", "v9", "v.", "v ", "ver", "version")),
     (r"(?<=[0-9])\.0\b", "", (".0",)),
@@ -130,7 +150,12 @@ def forms(text: Column) -> Column:
 
 
 def _whole(lines: Column) -> Column:
-    return F.array_join(F.filter(lines, lambda x: x != ""), " ")
+    """The form of the whole text; what equivalent spellings say of two words holds over the end of a line, too."""
+    form = F.array_join(F.filter(lines, lambda x: x != ""), " ")
+    for spelling, same in SPELLINGS:
+        if " " in spelling:
+            form = F.replace(form, F.lit(spelling), F.lit(same))
+    return F.regexp_replace(form, r"\b(?:ver|v) (?=[0-9])", "version ")
 
 
 def known_digests(spark: SparkSession) -> DataFrame:

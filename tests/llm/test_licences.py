@@ -1,6 +1,8 @@
 import hashlib
+import textwrap
 
 import regex
+from pyspark.sql import functions as F
 
 from calipers.llm import licences
 
@@ -60,3 +62,26 @@ def test_forms_and_odd_rows(spark):
     assert licences.scan(docs.limit(0)).count() == 0
     own = spark.createDataFrame([(hashlib.sha256(b"word").hexdigest(), "mine")], "digest string, licence string")
     assert [r.licence for r in licences.scan(spark.createDataFrame([(1, "Word!")], "doc_id long, text string"), own).collect()] == ["mine"]
+
+
+def test_known_texts_wrapped_anew_and_notices_in_line(spark):
+    rows, want_names = [], {}
+    for name, texts in licences.TEXTS.items():
+        for text in texts:
+            paragraphs = [" ".join(p.split()) for p in text.split("\n\n")]
+            for width in (*range(25, 121), 10**6):
+                want_names[len(rows)] = name
+                rows.append((len(rows), "\n\n".join(textwrap.fill(p, width, break_on_hyphens=False, break_long_words=False) for p in paragraphs)))
+            want_names[len(rows)] = name
+            rows.append((len(rows), " ".join(paragraphs)))
+    mit = " ".join(licences.TEXTS["MIT"][0].split())
+    for notice in ("Copyright 2020 X.", "Copyright (c) 2019-2021 Some Body, Inc. All rights reserved.", "(c) 2020 X", "Copyright © Jane Doe\n", "(C) Jane Doe\n"):
+        want_names[len(rows)] = "MIT"
+        rows.append((len(rows), f"{notice} {mit}"))
+    rows += [(len(rows), "Copyright 2020 X. Then a text of its own."), (len(rows) + 1, "copyright holders")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.licence for r in licences.scan(docs).where("unit = 'text'").collect()}
+    assert [i for i in want_names if got.get(i) != want_names[i]] == []
+    assert set(got) == set(want_names)
+    last = [licences.forms(F.col("text")).alias("f")]
+    assert [r.f for r in docs.where(f"doc_id >= {len(rows) - 2}").orderBy("doc_id").select(*last).collect()] == [["then a text of its own"], ["copyright holders"]]
