@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calipers.llm.common import text_of
+from calipers.llm.licence_texts import FULL
 
 # Equivalent spellings, in lower-cased text.
 SPELLINGS = (
@@ -78,7 +79,7 @@ STATEMENTS = (
     "This project is licensed under the {}", "License: {}", "SPDX-License-Identifier: {}",
 )
 
-# Short licences and notices in full.
+# Short licences and notices in full; the long ones follow below.
 TEXTS = {
     "all-rights-reserved": ("All rights reserved.",),
     "MIT": ("""Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -122,6 +123,20 @@ use this software in a product, an acknowledgment in the product documentation w
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution.""",),
 }
+# Title lines that stand above texts which do not bring their own.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"), "ISC": ("ISC License", "The ISC License"),
+    "zlib": ("zlib License", "The zlib License"), "Unlicense": ("The Unlicense", "Unlicense"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License"),
+}
+TEXTS |= {licence: (*TEXTS.get(licence, ()), text) for licence, text in FULL.items()}
+TEXTS |= {
+    licence: (*TEXTS[licence], *(
+        "\n\n".join([*above, TEXTS[licence][0]]) for title in titles
+        for above in ((title,), (title, "All rights reserved."), ("All rights reserved.",))
+    )) for licence, titles in TITLES.items()
+}
 
 
 def _spelled(line: Column) -> Column:
@@ -181,7 +196,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     several = F.when(F.size("lines") > 1, F.transform("lines", lambda x, i: F.when(x != "", unit(i + 1, x))))
     units = F.concat(F.array(unit(F.lit(0), _whole(F.col("lines")))), F.coalesce(several, F.array()))
     digests = texts.select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.line", "u.digest")
-    # the built-in table is fixed and has under 700 rows; a caller's is left to the optimiser
+    # the built-in table is fixed and has under 800 rows; a caller's is left to the optimiser
     return digests.join(F.broadcast(known) if own else known, "digest").select(
         "doc_id", F.when(F.col("line") == 0, "text").otherwise("line").alias("unit"), "line", "licence", "digest"
     )
