@@ -11,6 +11,7 @@ write menus, side bars, notices, adverts, forms and reader comments.
 from __future__ import annotations
 
 import html as entities
+import math
 import random
 import re
 from collections.abc import Iterator
@@ -354,10 +355,43 @@ def laid_out(title: str, paragraphs: list[str], others: list[str], rng: random.R
     return f"<html><head><title>{title}</title></head><body>{''.join(before)}{article}{''.join(after)}</body></html>"
 
 
-def labelled_pages(sources: list[str], variants: int = 6, seed: int = 7) -> list[list[Block]]:
+# Texts of the layouts that are learned from where a table has too few labelled pages.
+_PROSE = (
+    "The old harbour has been rebuilt twice since the flood, and each time the town moved a little further up the hill.",
+    "In spring the council asked for new plans, but the engineers could not agree on the height of the wall.",
+    "Most of the boats are small, and their owners know the currents better than any chart could show them.",
+    "A good soup begins with patience: onions need half an hour before anything else goes into the pot.",
+    "When the rain came at last, the fields had been dry for eleven weeks and the river was a line of stones.",
+    "The method is simple enough to explain in a page, although it took the group nine years to find it.",
+    "She kept the letters in a tin box under the stairs, sorted by year and tied with kitchen string.",
+    "Prices rose in every district, most of all near the new station, where rents have doubled in five years.",
+    "Nobody expected the second half to be any better, yet the young side scored three times before the end.",
+    "The telescope sees in the infrared, so dust that hides the stars from our eyes is almost clear to it.",
+    "Before you drill, check where the pipes run; a cheap detector finds them behind most kinds of plaster.",
+    "His last book is a quiet one. It follows a family of bakers through a single winter and says little of the war.",
+)
+#: Labelled pages of a table from which on it needs no fixed ones; each has VARIANTS layouts besides itself.
+ENOUGH, VARIANTS = 60, 6
+_ARTICLE_TAG = r"<article[\s/>]"
+
+
+def fixed_pages(number: int, seed: int = 5) -> list[list[Block]]:
+    """Labelled pages that need no table: layouts of fixed texts."""
+    rng = random.Random(seed)
+    pages = []
+    for _ in range(number):
+        texts = rng.sample(_PROSE, len(_PROSE))
+        title = " ".join(texts[0].split()[: rng.randint(3, 8)])
+        body = [" ".join(rng.sample(texts[1:8], rng.randint(1, 4))) for _ in range(rng.randint(1, 8))]
+        pages.append(blocks_of(laid_out(title, body, texts[8:], rng), marks=True))
+    return pages
+
+
+def labelled_pages(sources: list[str], variants: int = VARIANTS, seed: int = 7) -> list[list[Block]]:
     """Training pages of page sources that have one article element: as they are, and laid out anew."""
     rng = random.Random(seed)
-    own = [[b for b in blocks_of(s)] for s in sources if s.count("<article") == 1]
+    own = [blocks_of(s) for s in sources if len(re.findall(_ARTICLE_TAG, s, re.IGNORECASE)) == 1]
+    own = [blocks for blocks in own if any("article" in b.above for b in blocks)]
     pages: list[list[Block]] = []
     others = [b.text for blocks in own for b in blocks if "article" not in b.above] or ["more"]
     bodies = [b.text for blocks in own for b in blocks if "article" in b.above]
@@ -374,11 +408,19 @@ def labelled_pages(sources: list[str], variants: int = 6, seed: int = 7) -> list
 
 
 def fit(pages: DataFrame, most: int = 150) -> Field:
-    """Train on at most about `most` pages of the table, chosen by a hash of their id, and their layouts."""
-    counted = pages.where(F.col("html").isNotNull() & (F.length("html") < 200_000))
-    share = min(1.0, most / max(1, counted.count()))
-    sample = counted.where(F.pmod(F.xxhash64("page_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    return train(labelled_pages([r.html for r in sample.orderBy("page_id").select("html").collect()]))
+    """Train on about `most` pages of the table with one article element, chosen by a hash, and their layouts.
+
+    Where fewer than ENOUGH of them have an article with text, layouts of fixed texts stand in for the others.
+    """
+    usable = pages.where(
+        F.col("html").isNotNull() & (F.length("html") < 200_000) & (F.size(F.split("html", "(?i)" + _ARTICLE_TAG, 3)) == 2)
+    )
+    share, among = min(1.0, most / max(1, usable.count())), 1 << 40
+    sample = usable.where(F.pmod(F.xxhash64("page_id", "html"), F.lit(among)) < math.ceil(share * among))
+    rows = sample.orderBy("page_id", "html").select("html").limit(2 * most).collect()
+    learned = labelled_pages([r.html for r in rows])
+    each = VARIANTS + 1
+    return train(learned + fixed_pages(each * max(0, ENOUGH - len(learned) // each)))
 
 
 def main_text(source: str, model: Field, known: dict | None = None) -> str:

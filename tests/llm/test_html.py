@@ -83,3 +83,27 @@ def test_odd_rows(spark):
     got = h.extract_rows(pages).collect()
     assert len(got) == len(rows) and all(r.text is not None for r in got)
     assert h.extract_rows(pages.limit(0)).count() == 0
+
+
+def without_marks(source):
+    return re.sub(r"<(/?)article>", lambda m: "</div>" if m[1] else '<div class="content">', source)
+
+
+def test_tables_without_or_with_few_labelled_pages(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").limit(100).collect()
+    want = [plain_article(r.html) for r in rows]
+    for keep in (0, 5):
+        pages = spark.createDataFrame(
+            [(r.page_id, r.html if i < keep else without_marks(r.html)) for i, r in enumerate(rows)], "page_id long, html string"
+        )
+        model = h.fit(pages)
+        got = [h.main_text(r.html, model) for r in pages.orderBy("page_id").collect()]
+        assert sum(set(a.split("\n")) <= set(b.split("\n")) for a, b in zip(want, got, strict=True)) >= 0.8 * len(want)
+
+
+def test_sample_is_drawn_among_labelled_pages(spark, monkeypatch):
+    drawn = []
+    monkeypatch.setattr(h, "train", drawn.append)
+    rows = [(i, "<article><p>one</p></article>" if i % 100 == 0 else "<p>none</p>") for i in range(3_000)]
+    h.fit(spark.createDataFrame(rows, "page_id long, html string"), most=30)
+    assert sum([b.text for b in blocks] == ["one"] for blocks in drawn[0]) >= 30
