@@ -6,7 +6,8 @@ small edit distance fall back into step soon after each edit, so their walks agr
 places: edit distance becomes Hamming distance. Sampling a few places of the walk gives a
 hash key; the keys of all benchmark items are looked up for windows of the items' sizes
 starting at every word of every document. Keys are drawn again until simulated edits reach
-the target recall. Whatever meets is verified by the exact edit distance.
+the target recall; where they do not, and for very long items, every stretch that the word
+pairs below leave is verified instead. Whatever meets is verified by the exact edit distance.
 
 An edit breaks two word pairs at most, so a window within d edits of an item of n words
 keeps n - 1 - 2 d pairs of the item. Windows with fewer pairs that occur in the benchmark
@@ -33,6 +34,8 @@ SIMILARITY = 0.8
 #: Items of fewer words are too common to be evidence of a leak and are not searched.
 LEAST_WORDS = 5
 SAMPLES, WALKS = 3, 4
+#: Samplings of a walk at most, and words of items at most that are walked; beyond, stretches are verified directly.
+MOST_SAMPLINGS, LONGEST_WALKED = 256, 1_000
 #: Benchmark characters and items that go to the executors at once; a larger benchmark is searched in several passes.
 BLOCK_CHARS, BLOCK_ITEMS = 8_000_000, 20_000
 
@@ -55,6 +58,8 @@ class SizeClass:
     order: np.ndarray  # positions in `items` of the sorted keys
     slots: np.ndarray  # which low bits occur among the keys of a sampling
 
+    exact = False
+
     def meets(self, row: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the values equal a key of this sampling, with the items of that key."""
         hit = np.flatnonzero(self.slots[row, _low(values, self.slots.shape[1])])
@@ -65,6 +70,34 @@ class SizeClass:
         return hit[which], self.order[row, a[which] + offset]
 
 
+@dataclass
+class ExactClass:
+    """Items of `low` to `high` words that are verified wherever enough of their word pairs occur."""
+
+    low: int
+    high: int
+    items: list[int]  # numbers in the block
+    pairs: np.ndarray  # word pairs of the items, ascending
+    holders: np.ndarray  # position in `items` of each
+
+    exact = True
+
+    def hits(self, words: np.ndarray) -> np.ndarray:
+        """For every item, how many of the word pairs of `words` it holds."""
+        mine = _pairs(words)[:-1]
+        a = np.searchsorted(self.pairs, mine, side="left")
+        times = np.searchsorted(self.pairs, mine, side="right") - a
+        offset = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        return np.bincount(self.holders[np.repeat(a, times) + offset], minlength=len(self.items))
+
+
+def exact_class(low: int, high: int, items: list[int], words: list[np.ndarray]) -> ExactClass:
+    each = [np.unique(_pairs(words[i])[:-1]) for i in items]
+    pairs, holders = np.concatenate(each), np.repeat(np.arange(len(items)), [len(x) for x in each])
+    order = np.argsort(pairs, kind="stable")
+    return ExactClass(low, high, items, pairs[order], holders[order])
+
+
 def _low(keys: np.ndarray, slots: int) -> np.ndarray:
     return (keys & np.uint64(slots - 1)).astype(np.int64)
 
@@ -106,8 +139,10 @@ def _joined(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.concatenate(sequences), bounds[:-1], bounds[1:]
 
 
-def size_class(low: int, high: int, items: list[int], words: list[np.ndarray], target: float) -> SizeClass:
-    """Draw samplings until items changed by as many edits as allowed are met with the target recall."""
+def size_class(low: int, high: int, items: list[int], words: list[np.ndarray], target: float) -> SizeClass | ExactClass:
+    """Draw samplings until items changed by as many edits as allowed are met with the target recall, or give up walking."""
+    if high > LONGEST_WALKED:
+        return exact_class(low, high, items, words)
     rng = np.random.default_rng(low)
     steps = max(1, math.ceil(1.5 * low))
     own = _joined([words[i] for i in items])
@@ -118,8 +153,10 @@ def size_class(low: int, high: int, items: list[int], words: list[np.ndarray], t
     while True:
         places = np.sort(rng.integers(0, steps, (WALKS, each, SAMPLES)), axis=2)
         met = (walk_keys(*base, places) == walk_keys(*changed, places)).any(axis=0).mean()
-        if met >= target or each >= 256:
+        if met >= target:
             break
+        if each >= MOST_SAMPLINGS:
+            return exact_class(low, high, items, words)
         each *= 2
     keys = walk_keys(*own, places)
     order = np.argsort(keys, axis=1, kind="stable")
@@ -134,7 +171,7 @@ def size_class(low: int, high: int, items: list[int], words: list[np.ndarray], t
 class Index:
     ids: list
     words: list[np.ndarray]
-    classes: list[SizeClass]
+    classes: list[SizeClass | ExactClass]
     known: np.ndarray  # slots of word pairs that occur in the items
 
     def pairs_known(self, words: np.ndarray) -> np.ndarray:
@@ -142,9 +179,13 @@ class Index:
         return self.known[_pair_slots(words, len(self.known))]
 
 
-def _pair_slots(words: np.ndarray, slots: int) -> np.ndarray:
+def _pairs(words: np.ndarray) -> np.ndarray:
     following = np.concatenate([words[1:], np.zeros(min(1, len(words)), dtype=np.uint64)])
-    return _low(mixed(words + following * np.uint64(0x9E3779B97F4A7C15)), slots)
+    return mixed(words + following * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _pair_slots(words: np.ndarray, slots: int) -> np.ndarray:
+    return _low(_pairs(words), slots)
 
 
 def build_index(ids: list, texts: list[str], target: float) -> Index:
@@ -246,6 +287,29 @@ def _resolve(index: Index, group: SizeClass, windows: Windows, best: dict[tuple[
                 best[key] = min(found, best.get(key, found))
 
 
+def _verify_all(
+    index: Index, group: ExactClass, starts: np.ndarray, hashes: np.ndarray, first: np.ndarray, of_text: np.ndarray, offset: int,
+    best: dict[tuple[int, int], tuple[int, int, int]],
+) -> None:
+    """Compare every stretch of a text that screened windows cover with the items whose word pairs it holds."""
+    reach = group.high + edits_allowed(group.high)
+    for part in np.split(starts, np.flatnonzero((np.diff(starts) > reach) | (np.diff(of_text[starts]) != 0)) + 1):
+        if not len(part):
+            continue
+        text = int(of_text[part[0]])
+        begin, end = int(part[0]), min(int(part[-1]) + reach, int(first[text + 1]))
+        for item, held in enumerate(group.hits(hashes[begin:end]).tolist()):
+            own = index.words[group.items[item]]
+            allowed = edits_allowed(len(own))
+            if held < len(own) - 1 - 2 * allowed:
+                continue
+            cost, s, e = best_match(own, hashes[begin:end])
+            if cost <= allowed and e > s:
+                key, place = (text + offset, group.items[item]), begin - int(first[text])
+                found = (cost, place + e, place + s)
+                best[key] = min(found, best.get(key, found))
+
+
 def search(texts: list[str], index: Index) -> list[tuple[int, int, int, int, int, int]]:
     """(text, item, distance, item words, first word, end word) of every leak; the best place of each item in each text."""
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
@@ -260,6 +324,9 @@ def search(texts: list[str], index: Index) -> list[tuple[int, int, int, int, int
         ends = found.first[1:][of_text]
         for i, group in enumerate(index.classes):
             starts = _starts(inside, ends, group)
+            if group.exact:
+                _verify_all(index, group, starts, found.hashes, found.first, of_text, a, best)
+                continue
             for c in range(0, len(starts), TOGETHER):
                 _gather(group, waiting[i], starts[c: c + TOGETHER], found.hashes, found.first, of_text)
                 waiting[i].text[-1] = waiting[i].text[-1] + a

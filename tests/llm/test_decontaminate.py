@@ -74,3 +74,29 @@ def test_best_match_against_plain():
         cost, s, e = d.best_match(a, b)
         assert cost == plain.edit_distance_to_part(a.tolist(), b.tolist())
         assert cost == plain.edit_distance_to_part(a.tolist(), b[s:e].tolist())
+
+
+def test_long_items_are_all_found():
+    rng = random.Random(12)
+    some = lambda n: ["".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(n)]
+    items = [" ".join(some(2_560)) for _ in range(15)]
+    texts = []
+    for text in items:
+        w = text.split()
+        for _ in range(d.edits_allowed(len(w))):
+            k, at = rng.randrange(3), rng.randrange(len(w))
+            w[at:at + (k < 2)] = some(1) if k != 1 else []
+        texts.append(" ".join([*some(40), *w, *some(40)]))
+    index = d.build_index(list(range(15)), items, 0.99)
+    got = {(text, item) for text, item, *_ in d.search([*texts, " ".join(some(4_000))], index)}
+    assert got == {(i, i) for i in range(15)}
+
+
+def test_verified_directly_as_walked_and_very_long(monkeypatch):
+    texts = [" ".join(["before", edited(text, d.edits_allowed(len(text.split()))), "after"]) for _, text in ITEMS]
+    walked = d.search(texts, d.build_index([i for i, _ in ITEMS], [t for _, t in ITEMS], 0.99))
+    monkeypatch.setattr(d, "LONGEST_WALKED", 0)
+    direct = d.search(texts, d.build_index([i for i, _ in ITEMS], [t for _, t in ITEMS], 0.99))
+    assert set(walked) <= set(direct) and {(i, i) for i in range(len(ITEMS))} <= {r[:2] for r in direct}
+    monkeypatch.undo()
+    assert d.build_index([1], [" ".join(word() for _ in range(27_000))], 0.99).classes[0].exact
