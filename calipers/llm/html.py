@@ -40,6 +40,7 @@ CLOSED_BY = {
 
 _PIECE = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"""|<(?:svg|math)(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*(?<=/)>"""  # closes itself
     rf"|<(?P<raw>{'|'.join(sorted(RAW))})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"""|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)""",
     re.DOTALL | re.IGNORECASE,

@@ -107,3 +107,8 @@ def test_sample_is_drawn_among_labelled_pages(spark, monkeypatch):
     rows = [(i, "<article><p>one</p></article>" if i % 100 == 0 else "<p>none</p>") for i in range(3_000)]
     h.fit(spark.createDataFrame(rows, "page_id long, html string"), most=30)
     assert sum([b.text for b in blocks] == ["one"] for blocks in drawn[0]) >= 30
+
+
+def test_foreign_elements_that_close_themselves():
+    page = '<p>one <svg class="i"/>two</p><math/><p>three<svg a="/>"><p>no</p></svg> four<svg><p>no</p></svg></p><svg d=\'x\' /><p>five</p>'
+    assert [b.text for b in h.blocks_of(page)] == ["one two", "three four", "five"]
