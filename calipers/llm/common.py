@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,5 +52,16 @@ def stored_by(df: DataFrame, name: str, key: str, parts: int) -> DataFrame:
     return spark.table(label)
 
 
+def by_size(batches: Iterator[pa.RecordBatch], most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about `most_bytes` of text each (a longer text stands alone)."""
+    for batch in batches:
+        ends = np.cumsum(np.append(0, pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)), dtype=np.int64)
+        begin = 0
+        while begin < batch.num_rows:
+            end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + most_bytes, side="right")) - 1)
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
