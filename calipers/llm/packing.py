@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from calipers.llm.common import by_size, stored, text_of
+from calipers.llm.words import spaced_words
 from calipers.runtime import ship
 
 CAPACITY = 2048
@@ -63,15 +64,7 @@ class Encoder:
 
     def ids_of(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of every text as unsigned 32-bit numbers."""
-        chunks: list[bytes] = []
-        counts = []
-        for text in texts:
-            own = text.encode().split()
-            counts.append(len(own))
-            chunks += own
-        cells = np.empty(len(chunks), dtype=object)
-        cells[:] = chunks
-        number, distinct = pd.factorize(cells)
+        _, counts, number, distinct = spaced_words(texts)
         if len(self.known) > KEPT_CHUNKS:
             self.known.clear()
         new = [c for c in distinct if c not in self.known]
@@ -87,7 +80,7 @@ class Encoder:
         own = sizes[number]
         ends = np.append(0, np.cumsum(own))
         ids = ids[np.repeat(first[number] - ends[:-1], own) + np.arange(ends[-1])]
-        bounds = ends[np.cumsum([0, *counts])]
+        bounds = ends[np.append(0, np.cumsum(counts))]
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             yield ids[a:b]
 

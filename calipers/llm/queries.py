@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from calipers.llm import decontaminate, html, jaccard, licences, mixing, neighbours, packing, repeats, secrets, sharding, toxicity
+from calipers.llm import decontaminate, html, jaccard, licences, mixing, neighbours, packing, repeats, runs, secrets, sharding, toxicity
 from calipers.llm.common import table
 from calipers.llm.sql import MIX
 
@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "op3_curriculum_mix": lambda spark, sf: mixing.mix_rows(table(spark, sf, "documents")),
     "op10_crf_pages": lambda spark, sf: html.extract_rows(table(spark, sf, "pages")),
+    "op12_minimizer_runs": lambda spark, sf: runs.run_rows(table(spark, sf, "documents")),
     "op13_squares_packing": lambda spark, sf: packing.pack(
         table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")
     ),

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 
 _MASK = 2**64 - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -85,6 +86,20 @@ def shingles_of(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return values, np.searchsorted(owner, np.arange(len(counts) + 1))
 
 
+def spaced_words(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """All words between ASCII white space in order, how many each text has, the number of each word's form, and the forms."""
+    words: list[bytes] = []
+    counts = np.zeros(len(texts), dtype=np.int64)
+    for i, text in enumerate(texts):
+        own = text.encode("utf-8", "surrogatepass").split()
+        counts[i] = len(own)
+        words += own
+    cells = np.empty(len(words), dtype=object)
+    cells[:] = words
+    number, forms = pd.factorize(cells)
+    return words, counts, number, forms
+
+
 def groups_of(texts: list[str], most_chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts of about `most_chars` characters (a longer text stands alone)."""
     begin = size = 0
