@@ -8,9 +8,9 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from calipers.llm import decontaminate, html, jaccard, licences, mixing, neighbours, packing, repeats, runs, secrets, sharding, toxicity
+from calipers.llm import decontaminate, html, jaccard, licences, mixing, neighbours, packing, ranking, repeats, runs, secrets, sharding, toxicity
 from calipers.llm.common import table
-from calipers.llm.sql import MIX
+from calipers.llm.sql import MIX, RANK
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cgk_leaks": lambda spark, sf: decontaminate.leaks(
@@ -27,6 +27,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "op3_curriculum_mix": lambda spark, sf: mixing.mix_rows(table(spark, sf, "documents")),
     "op10_crf_pages": lambda spark, sf: html.extract_rows(table(spark, sf, "pages")),
+    "op11_best_position": lambda spark, sf: ranking.search(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    ),
     "op12_minimizer_runs": lambda spark, sf: runs.run_rows(table(spark, sf, "documents")),
     "op13_squares_packing": lambda spark, sf: packing.pack(
         table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -34,4 +37,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {"op3_curriculum_mix": MIX}
+SQL: dict[str, str] = {"op3_curriculum_mix": MIX, "op11_best_position": RANK}

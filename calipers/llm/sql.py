@@ -41,3 +41,33 @@ select doc_id, size, source_size, target, (copies * size)::bigint as taken, copi
         else (sqrt(greatest((1 - ramp) * (1 - ramp) + 4 * ramp * share, 0.0)) - (1 - ramp)) / (2 * ramp) end, 9) as position
 from x
 """
+
+RANK = r"""
+with d as (
+    select row_number() over () as r, doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'
+    )) as term from documents
+), held as (
+    select r, any_value(doc_id) as doc_id, term, count(*)::bigint as tf from d group by r, term
+), lengths as (
+    select r, sum(tf)::bigint as n from held group by r
+), totals as (
+    select count(*)::bigint as docs, sum(n)::bigint as terms from lengths
+), asked as (
+    select distinct item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'
+    )) as term from benchmark
+), weights as (
+    select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+    from held cross join totals where term in (select term from asked) group by term
+), scores as (
+    select a.item_id, h.r, any_value(h.doc_id) as doc_id,
+        sum(w.w * ((1000000000 * h.tf) // (1000 * h.tf + 20 * (50 + (50 * l.n * t.docs) // t.terms))))::bigint as score
+    from asked a join weights w using (term) join held h using (term) join lengths l using (r) cross join totals t
+    group by a.item_id, h.r
+), ranked as (
+    select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+    from scores where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 50
+"""
