@@ -10,8 +10,11 @@ a sequence or so, is opened again and packed with the leavings of the other grou
 
 from __future__ import annotations
 
+import json
 import math
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -34,46 +37,75 @@ END = 0
 GROUP = 4096
 #: Sequences with more free places than this part of the capacity are opened again.
 POOR = 1 / 16
-#: The encoder keeps the ids of so many chunks of text, of so many bytes at most.
+#: The encoder keeps the ids of so many chunks, and of so many words, of so many bytes at most.
 KEPT_CHUNKS, KEPT_BYTES = 300_000, 64
 
 _PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+# How the word tokenizer prepares a text, as its definition states it.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for lower-case text of the first 256 characters, all of which are stable under NFC.
+_LATIN = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+"
+)
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: visible ones for themselves, the others for letters from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
 class Encoder:
     """Token ids of many texts.
 
     White space always separates tokens, so the ids of a text are those of its chunks between
-    ASCII white space. Chunks recur, so each is given to the tokenizer once.
+    ASCII white space. Chunks recur, so each is encoded once; so are the words of chunks of Latin
+    letters, which the tokenizer's model gets one by one. Other chunks go through the whole tokenizer.
     """
 
     def __init__(self, tokenizer: str) -> None:
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, chunks: list[bytes]) -> None:
-        """Learn the ids of the chunks: many of them in one text, told apart by the offsets of the tokens."""
-        texts = [c.decode() for c in chunks]
-        ends = np.cumsum([len(t) + 1 for t in texts])
-        encoded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(encoded.ids, dtype="<u4")
-        begins = np.fromiter((a for a, _ in encoded.offsets), dtype=np.int64, count=len(ids))
-        bounds = np.searchsorted(begins, np.append(0, ends))
-        for chunk, a, b in zip(chunks, bounds[:-1], bounds[1:], strict=True):
-            self.known[chunk] = ids[a:b].tobytes()
+        self.words: dict[str, bytes] = {}
+        self.letters = byte_letters()
+        stated = json.loads(tokenizer)
+        normal, split = (stated.get(k) or {} for k in ("normalizer", "pre_tokenizer"))
+        first, *rest = split.get("pretokenizers") or [{}]
+        self.latin = normal.get("normalizers") == _NORMALIZER and (
+            first.get("pattern"), first.get("behavior"), first.get("invert"), [(r.get("type"), r.get("add_prefix_space"), r.get("use_regex")) for r in rest]
+        ) == ({"Regex": _SPLIT}, "Removed", True, [("ByteLevel", False, False)])
+
+    def _word(self, word: str) -> bytes:
+        if (ids := self.words.get(word)) is None:
+            spelt = word if word.isascii() and word.isalpha() else "".join(map(self.letters.__getitem__, word.encode()))
+            ids = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+            if len(word) <= KEPT_BYTES:
+                self.words[word] = ids
+        return ids
+
+    def _encode(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        if self.latin and "<|" not in text and (text.isascii() or max(text) < "\u0100"):
+            words = _LATIN.findall(text.lower())
+            return self._word(words[0]) if len(words) == 1 else b"".join(map(self._word, words))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def ids_of(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of every text as unsigned 32-bit numbers."""
         _, counts, number, distinct = spaced_words(texts)
-        if len(self.known) > KEPT_CHUNKS:
-            self.known.clear()
-        new = [c for c in distinct if c not in self.known]
-        for i in range(0, len(new), 256):
-            self._encode(new[i: i + 256])
-        parts = [self.known[c] for c in distinct]
-        for chunk in new:
-            if len(chunk) > KEPT_BYTES:
-                del self.known[chunk]
+        for kept in (self.known, self.words):
+            if len(kept) > KEPT_CHUNKS:
+                kept.clear()
+        parts = list(map(self.known.get, distinct))
+        for i in [i for i, ids in enumerate(parts) if ids is None]:
+            parts[i] = self._encode(distinct[i])
+            if len(distinct[i]) <= KEPT_BYTES:
+                self.known[distinct[i]] = parts[i]
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
         first = np.cumsum(sizes) - sizes
         ids = np.frombuffer(b"".join(parts), dtype="<u4")
@@ -107,7 +139,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, ids: bo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition.value)
         uid = TaskContext.get().partitionId() << 36
-        for part in by_size(batches):
+        for part in by_size(batches, 4 << 20):
             rows = []
             for doc_id, own in zip(part.column("doc_id").to_pylist(), encoder.ids_of(part.column("text").to_pylist()), strict=True):
                 own = np.append(own, np.uint32(END)).astype("<u4")

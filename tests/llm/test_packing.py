@@ -12,6 +12,7 @@ from calipers.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 PLAIN = Tokenizer.from_file(PATH)
+ENCODER = packing.Encoder(open(PATH).read())
 
 
 def checked(rows, docs, capacity):
@@ -66,12 +67,21 @@ def test_sequences_hold_the_ids(spark):
 @given(st.lists(st.text(max_size=40), max_size=8))
 @settings(max_examples=150, deadline=None)
 def test_chunks_give_the_plain_ids(texts):
-    encoder = packing.Encoder(open(PATH).read())
+    encoder = ENCODER
     for _ in range(2):
         for text, ids in zip(texts, encoder.ids_of(texts), strict=True):
             assert ids.tolist() == PLAIN.encode(text, add_special_tokens=False).ids
 
 
+@given(st.lists(st.text(st.characters(max_codepoint=255) | st.sampled_from("'stremvld <|½²\xa0\x85\x1c"), max_size=30), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_latin_chunks_give_the_plain_ids(texts):
+    encoder = ENCODER
+    assert encoder.latin
+    for text, ids in zip(texts, encoder.ids_of(texts), strict=True):
+        assert ids.tolist() == PLAIN.encode(text, add_special_tokens=False).ids
+
+
 def test_rule_against_plain_statement():
     rng = np.random.default_rng(4)
     for _ in range(40):
