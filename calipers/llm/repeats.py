@@ -13,9 +13,9 @@ of one entry per chunk and value at most, narrow down what has to be sorted:
    windows have equal anchors, so windows whose anchor occurs once in the corpus are done.
 2. Neighbouring windows with one anchor form a unit. A unit whose text stands in an earlier
    document is removed whole. Units that are the only text around their anchor are done.
-3. What is left are the ends of repeats. Their windows, suffixes cut at SPAN bytes, are
-   sorted in each chunk, resolved there by longest previous factors, and one of each is
-   compared with the other chunks.
+3. What is left are the ends of repeats. The distinct texts of these units are sent to the groups of
+   their anchors, where all windows of an anchor meet. There the windows, suffixes cut at SPAN bytes, are
+   put in suffix order and resolved by longest previous factors.
 
 So nothing is limited: a passage that stands in a third of all documents sends an entry per
 chunk, and a chunk's memory is bounded by its bytes (about 100 bytes each) or its longest
@@ -41,7 +41,9 @@ from calipers.llm.common import stored_by, text_of
 from calipers.llm.words import mixed, powers
 from calipers.runtime import settle, ship
 
-SPAN, GRAM = 50, 16
+SPAN, GRAM = 50, 24
+#: Windows that a group puts in suffix order at once, as far as their anchors differ.
+TOGETHER = 250_000
 #: Bytes of text in a chunk, and of corpus for each group of exchanged hashes.
 CHUNK_BYTES, GROUP_BYTES = 2_000_000, 16_000_000
 #: Null ids come after all others and do not precede each other.
@@ -53,12 +55,15 @@ _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _packed(values: np.ndarray, level: int = 1) -> bytes:
-    return values.nbytes.to_bytes(8, "little") + pa.Codec("zstd", level).compress(values.tobytes(), asbytes=True)
+    """Compressed, all first bytes before all second ones: ids and ascending keys differ little in some of them."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return values.nbytes.to_bytes(8, "little") + pa.Codec("zstd", level).compress(planes.tobytes(), asbytes=True)
 
 
 def _unpacked(data: bytes, dtype: str) -> np.ndarray:
     raw = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-    return np.frombuffer(raw, dtype=dtype)
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
 
 
 def chunks_of(docs: DataFrame, chunk_bytes: int) -> DataFrame:
@@ -124,7 +129,7 @@ _POWERS: dict[int, np.ndarray] = {}
 
 def _powers(base: int, n: int) -> np.ndarray:
     """The first n powers; the longest run so far is kept for the next chunk."""
-    if len(_POWERS.get(base, ())) < n:
+    if base not in _POWERS or len(_POWERS[base]) < n:
         _POWERS[base] = powers(base, n)
     return _POWERS[base][:n]
 
@@ -138,11 +143,11 @@ def opened(ids: bytes, sizes: bytes, data: bytes) -> Chunk:
         return Chunk(doc_ids, text, offsets, none, none, none.astype(np.uint64), none)
     raw = text.tobytes()
     eight = np.ndarray((n - 7,), "<u8", raw, 0, (1,))
-    least = eight[:-8] * _C1  # 16 bytes to 64 bits, in place from here on
-    least ^= least >> np.uint64(29)
-    least += eight[8:] * _C2
-    least *= _C1
-    least ^= least >> np.uint64(32)
+    least = np.zeros(n - GRAM + 1, dtype=np.uint64)
+    for at in range(0, GRAM, 8):  # GRAM bytes to 64 bits, in place
+        least += eight[at: at + len(least)] * _C2
+        least *= _C1
+        least ^= least >> np.uint64(29 + at // 8)
     least *= _C2
     reach = 1
     while reach * 2 <= SPAN - GRAM + 1:
@@ -340,36 +345,86 @@ def earlier_factors(data: np.ndarray, begin: np.ndarray, ids: np.ndarray) -> tup
 
 @dataclass
 class Ends:
-    begin: np.ndarray  # windows that need a look
-    hashes: np.ndarray  # distinct hashes of those without an earlier match in the chunk
-    least: np.ndarray
-    number: np.ndarray  # of each window's hash in `hashes`
-    matched: np.ndarray  # windows with an earlier match in the chunk
+    units: np.ndarray  # that need a look
+    text: np.ndarray  # the number of each one's text
+    anchor: np.ndarray  # of each text: its anchor's key,
+    least: np.ndarray  # the least document id,
+    start: np.ndarray  # a place where it stands,
+    length: np.ndarray  # and the number of its windows
     removed: np.ndarray  # units that are removed whole
 
 
 def ends_of(chunk: Chunk, groups: int, first: list, second: list) -> Ends:
     u = units_of(chunk, groups, first)
+    if not len(u.shared):
+        none = np.zeros(0, dtype=np.int64)
+        return Ends(none, none, none.astype(np.uint64), none, none, none, none)
     own = chunk.ids[chunk.doc[u.shared]]
-    gone = (own > u.least[u.text]) | _answers(u.texts, groups, 1, second)[u.text] if len(u.shared) else np.zeros(0, bool)
+    gone = (own > u.least[u.text]) | _answers(u.texts, groups, 1, second)[u.text]
     varied = _answers(u.anchors, groups, 2, second) | u.many
-    look = u.shared[~gone & varied[u.anchor]] if len(u.shared) else u.shared
-    length = chunk.length[look]
-    begin = np.repeat(chunk.start[look], length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-    ids = np.repeat(chunk.ids[chunk.doc[look]], length)
-    _, matched = earlier_factors(chunk.data, begin, ids)
-    hashes, least, number = _least_id(chunk.hashes(begin, np.full(len(begin), SPAN)), ids)
-    return Ends(begin, hashes, least, number, matched, u.shared[gone])
+    look = np.flatnonzero(~gone & varied[u.anchor])
+    texts, place, text = np.unique(u.text[look], return_index=True, return_inverse=True)
+    of_text = u.shared[look[place]]
+    key = u.anchors[u.anchor[look[place]]]
+    order = np.argsort(key, kind="stable")
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    of_text = of_text[order]
+    return Ends(u.shared[look], rank[text], key[order], u.least[texts[order]], chunk.start[of_text], chunk.length[of_text], u.shared[gone])
+
+
+def _ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... for each stretch, one after the other."""
+    return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
 
 
 def _windows(chunk: Chunk, groups: int, first: list, second: list) -> list[tuple]:
     e = ends_of(chunk, groups, first, second)
-    return _messages(e.hashes, groups, 3, e.hashes, e.least)
+    order, bounds = _by_group(e.anchor, groups)
+    short = (e.anchor // np.uint64(groups)).astype(np.uint32)
+    out = []
+    for g in range(groups):
+        part = order[bounds[g]: bounds[g + 1]]
+        if len(part):
+            data = chunk.data[_ragged(e.start[part], e.length[part] + SPAN - 1)]
+            out.append((g, 3, _packed(short[part]), _packed(e.least[part]), _packed(e.length[part].astype(np.uint32)), _packed(data)))
+    return out
+
+
+def _repeated(rows: pd.DataFrame) -> list[np.ndarray]:
+    """For each window of each text sent, whether a document with a smaller id has it."""
+    held = [[_unpacked(d, kind) for d in rows[c]] for c, kind in (("a", "<u4"), ("b", "<i8"), ("c", "<u4"), ("d", "u1"))]
+    anchor, ids, length, data = (np.concatenate(x) for x in held)
+    length = length.astype(np.int64)
+    start = np.cumsum(length + SPAN - 1) - (length + SPAN - 1)
+    first = np.cumsum(length) - length  # of each text's windows among all
+    order = np.argsort(anchor, kind="stable")
+    sums = np.cumsum(length[order])
+    ends = np.flatnonzero(np.append(anchor[order][1:] != anchor[order][:-1], True)) + 1  # where an anchor's texts end
+    out = np.zeros(int(length.sum()), dtype=bool)
+    begin = 0
+    while begin < len(order):
+        done = sums[begin - 1] if begin else 0
+        end = ends[min(np.searchsorted(sums[ends - 1], done + TOGETHER, side="right"), len(ends) - 1)]
+        part = order[begin:end]
+        _, matched = earlier_factors(data, _ragged(start[part], length[part]), np.repeat(ids[part], length[part]))
+        out[_ragged(first[part], length[part])] = matched
+        begin = end
+    counts = [int(c.sum()) for c in held[2]]
+    return np.split(out, np.cumsum(counts)[:-1])
 
 
 def removed_bytes(chunk: Chunk, groups: int, first: list, second: list, third: list) -> np.ndarray:
     e = ends_of(chunk, groups, first, second)
-    hit = e.begin[e.matched | _answers(e.hashes, groups, 3, third)[e.number]] if len(e.begin) else e.begin
+    order, bounds = _by_group(e.anchor, groups)
+    at = np.cumsum(e.length) - e.length  # of each text's windows
+    repeated = np.zeros(int(e.length.sum()), dtype=bool)
+    for reply in third or []:
+        part = order[bounds[reply["grp"]]: bounds[reply["grp"] + 1]]
+        own = _ragged(at[part], e.length[part])
+        repeated[own] = np.unpackbits(_unpacked(reply["bits"], "u1"), count=len(own)).astype(bool)
+    size = e.length[e.text]
+    hit = _ragged(chunk.start[e.units], size)[repeated[_ragged(at[e.text], size)]]
     marks = np.zeros(len(chunk.data) + 1, dtype=np.int32)
     np.add.at(marks, hit, 1)
     np.add.at(marks, hit + SPAN, -1)
@@ -378,20 +433,22 @@ def removed_bytes(chunk: Chunk, groups: int, first: list, second: list, third: l
     return np.cumsum(marks[:-1]) > 0
 
 
-_MESSAGE = "uid long, grp int, kind int, a binary, b binary, c binary"
+_MESSAGE = "uid long, grp int, kind int, a binary, b binary, c binary, d binary"
 _REPLY = "uid long, grp int, kind int, bits binary"
-_REPLIERS: dict[int, Callable[[pd.DataFrame], list[np.ndarray]]] = {0: _in_many, 1: _earlier, 2: _varied, 3: _earlier}
+_REPLIERS: dict[int, Callable[[pd.DataFrame], list[np.ndarray]]] = {0: _in_many, 1: _earlier, 2: _varied, 3: _repeated}
 
 
-def _exchange(chunks: DataFrame, ask: Callable[..., list[tuple]], groups: int, name: str, rounds: list[str]) -> DataFrame:
+def _exchange(
+    chunks: DataFrame, ask: Callable[..., list[tuple]], groups: int, parts: int, name: str, rounds: list[str]
+) -> DataFrame:
     """Each chunk asks every group of hashes; each group answers with a bit per entry. Adds the answers as a column."""
     def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.to_dict("records"):
                 sent = ask(opened(row["ids"], row["sizes"], row["data"]), groups, *(_listed(row[r]) for r in rounds))
                 yield pd.DataFrame(
-                    [(row["uid"], g, kind, *columns, *[None] * (3 - len(columns))) for g, kind, *columns in sent],
-                    columns=["uid", "grp", "kind", "a", "b", "c"],
+                    [(row["uid"], g, kind, *columns, *[None] * (4 - len(columns))) for g, kind, *columns in sent],
+                    columns=["uid", "grp", "kind", "a", "b", "c", "d"],
                 )
 
     def answered(rows: pd.DataFrame) -> pd.DataFrame:
@@ -400,7 +457,8 @@ def _exchange(chunks: DataFrame, ask: Callable[..., list[tuple]], groups: int, n
         out["bits"] = [_packed(np.packbits(b)) for b in bits]
         return out
 
-    replies = chunks.mapInPandas(asked, _MESSAGE).groupBy("grp", "kind").applyInPandas(answered, _REPLY)
+    sent = chunks.mapInPandas(asked, _MESSAGE).repartition(parts, "grp", "kind")
+    replies = sent.groupBy("grp", "kind").applyInPandas(answered, _REPLY).repartition(parts, "uid")
     listed = settle(replies.groupBy("uid").agg(F.collect_list(F.struct("grp", "kind", "bits")).alias(name)))
     return chunks.join(listed, "uid", "left")
 
@@ -420,10 +478,11 @@ def trimmed(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, group_bytes: int =
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     groups = max(16, math.ceil(total / group_bytes))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = stored_by(chunks_of(docs, chunk_bytes), "chunks", "uid", max(tasks, math.ceil(total / 16_000_000)))
-    with_anchors = _exchange(chunks, _anchors, groups, "first", [])
-    with_units = _exchange(with_anchors, _units, groups, "second", ["first"])
-    with_windows = _exchange(with_units, _windows, groups, "third", ["first", "second"])
+    parts = max(tasks, math.ceil(total / 16_000_000))
+    chunks = stored_by(chunks_of(docs, chunk_bytes), "chunks", "uid", parts)
+    with_anchors = _exchange(chunks, _anchors, groups, parts, "first", [])
+    with_units = _exchange(with_anchors, _units, groups, parts, "second", ["first"])
+    with_windows = _exchange(with_units, _windows, groups, parts, "third", ["first", "second"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

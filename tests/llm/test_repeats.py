@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import plain
 import pytest
 
@@ -31,6 +32,38 @@ def test_odd_rows(spark):
     assert repeats.trimmed(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rows", [
+    [(1, None)], [(1, "")], [(1, "short")], [(1, None), (2, ""), (3, None)], [(None, "x" * 60), (1, "x" * 60)],
+    [(i, None if i % 2 else "the same text of more than fifty bytes, in three rows of six") for i in range(6)],
+])
+def test_chunks_of_nothing(spark, rows):
+    repeats._POWERS.clear()
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, uid int, ids int")
+    for chunk in (1, 10**6):
+        assert rows_of(repeats.trimmed(docs.repartition(3), chunk)) == sorted(plain.trimmed(rows), key=str)
+
+
+def test_groups_in_parts(spark, monkeypatch):
+    """Many windows of a group, resolved a few at a time."""
+    rng = np.random.default_rng(8)
+    parts = ["".join(rng.choice(list("abcd "), 70)) for _ in range(12)]
+    rows = [(i, "".join(parts[k] for k in rng.integers(0, 12, 4))[rng.integers(9):]) for i in range(40)]
+    monkeypatch.setattr(repeats, "TOGETHER", 10)
+    chunks = [repeats.opened(*(repeats._packed(np.frombuffer(x, t)) for x, t in (
+        (np.array([i]).tobytes(), "<i8"), (np.array([len(t)]).tobytes(), "<i8"), (t.encode(), "u1")))) for i, t in rows]
+    seen = [(c.ids, np.arange(len(c.data) - 49)) for c in chunks]
+    message = pd.DataFrame([{
+        "a": repeats._packed(np.zeros(1, "<u4")), "b": repeats._packed(c.ids), "c": repeats._packed(np.array([len(c.data) - 49], "<u4")),
+        "d": repeats._packed(c.data)} for c in chunks])
+    got = repeats._repeated(message)
+    first = {}
+    for c, (_, at) in zip(chunks, seen):
+        for k in at:
+            first.setdefault(c.data[k: k + 50].tobytes(), int(c.ids[0]))
+    for c, bits in zip(chunks, got):
+        assert bits.tolist() == [first[c.data[k: k + 50].tobytes()] < c.ids[0] for k in range(len(c.data) - 49)]
+
+
 def test_kept_bytes(spark):
     line = "the same line of more than fifty bytes stands in both of them, " * 2
     docs = spark.createDataFrame([(1, "first " + line, 7), (2, "second " + line, 8)], "doc_id long, text string, n_bytes int")
