@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from calipers.llm.common import by_size, stored, text_of
-from calipers.llm.words import spaced_words
 from calipers.runtime import ship
 
 CAPACITY = 2048
@@ -37,8 +36,8 @@ END = 0
 GROUP = 4096
 #: Sequences with more free places than this part of the capacity are opened again.
 POOR = 1 / 16
-#: The encoder keeps the ids of so many chunks, and of so many words, of so many bytes at most.
-KEPT_CHUNKS, KEPT_BYTES = 300_000, 64
+#: The encoder keeps the ids of so many words, of so many letters at most.
+KEPT_WORDS, KEPT_LETTERS = 400_000, 64
 
 _PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -46,9 +45,9 @@ _PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32
 # How the word tokenizer prepares a text, as its definition states it.
 _NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: The same for lower-case text of the first 256 characters, all of which are stable under NFC.
+#: The same for lower-case text of the first 256 characters, all of which are stable under NFC; letters first.
 _LATIN = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+"
+    "[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|'(?:s|t|re|ve|m|ll|d)|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+"
 )
 
 
@@ -62,15 +61,13 @@ def byte_letters() -> dict[int, str]:
 class Encoder:
     """Token ids of many texts.
 
-    White space always separates tokens, so the ids of a text are those of its chunks between
-    ASCII white space. Chunks recur, so each is encoded once; so are the words of chunks of Latin
-    letters, which the tokenizer's model gets one by one. Other chunks go through the whole tokenizer.
+    Words recur, and the ids of a text are those of its words. So texts of Latin letters are cut into words
+    here, and the tokenizer's model gets each word once. Other texts go through the whole tokenizer.
     """
 
     def __init__(self, tokenizer: str) -> None:
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.model = self.tokenizer.model
-        self.known: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.letters = byte_letters()
         stated = json.loads(tokenizer)
@@ -81,31 +78,41 @@ class Encoder:
         ) == ({"Regex": _SPLIT}, "Removed", True, [("ByteLevel", False, False)])
 
     def _word(self, word: str) -> bytes:
-        if (ids := self.words.get(word)) is None:
-            spelt = word if word.isascii() and word.isalpha() else "".join(map(self.letters.__getitem__, word.encode()))
-            ids = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
-            if len(word) <= KEPT_BYTES:
-                self.words[word] = ids
+        spelt = word if word.isascii() and word.isalpha() else "".join(map(self.letters.__getitem__, word.encode()))
+        ids = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        if len(word) <= KEPT_LETTERS:
+            self.words[word] = ids
         return ids
 
-    def _encode(self, chunk: bytes) -> bytes:
-        text = chunk.decode()
-        if self.latin and "<|" not in text and (text.isascii() or max(text) < "\u0100"):
-            words = _LATIN.findall(text.lower())
-            return self._word(words[0]) if len(words) == 1 else b"".join(map(self._word, words))
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def ids_of(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def _cut(self, text: str) -> list[str] | None:
+        """The words of a text of the first 256 characters without special tokens; None for other texts."""
+        if not self.latin or "<|" in text:
+            return None
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        return _LATIN.findall(text.lower())
+
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text as unsigned 32-bit numbers."""
-        _, counts, number, distinct = spaced_words(texts)
-        for kept in (self.known, self.words):
-            if len(kept) > KEPT_CHUNKS:
-                kept.clear()
-        parts = list(map(self.known.get, distinct))
+        words: list[str] = []
+        counts = np.zeros(len(texts), dtype=np.int64)
+        others = {}
+        for i, text in enumerate(texts):
+            if (own := self._cut(text)) is None:
+                others[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            else:
+                counts[i] = len(own)
+                words += own
+        cells = np.empty(len(words), dtype=object)
+        cells[:] = words
+        number, forms = pd.factorize(cells)
+        if len(self.words) > KEPT_WORDS:
+            self.words.clear()
+        parts = list(map(self.words.get, forms))
         for i in [i for i, ids in enumerate(parts) if ids is None]:
-            parts[i] = self._encode(distinct[i])
-            if len(distinct[i]) <= KEPT_BYTES:
-                self.known[distinct[i]] = parts[i]
+            parts[i] = self._word(forms[i])
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
         first = np.cumsum(sizes) - sizes
         ids = np.frombuffer(b"".join(parts), dtype="<u4")
@@ -113,15 +120,14 @@ class Encoder:
         ends = np.append(0, np.cumsum(own))
         ids = ids[np.repeat(first[number] - ends[:-1], own) + np.arange(ends[-1])]
         bounds = ends[np.append(0, np.cumsum(counts))]
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            yield ids[a:b]
+        return [others[i] if i in others else ids[bounds[i]: bounds[i + 1]] for i in range(len(texts))]
 
 
 _ENCODERS: dict[int, Encoder] = {}
 
 
 def _encoder(tokenizer: str) -> Encoder:
-    """One encoder for each tokenizer and Python worker, so that later tasks find its chunks."""
+    """One encoder for each tokenizer and Python worker, so that later tasks find its words."""
     key = hash(tokenizer)
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(tokenizer)
@@ -226,8 +232,7 @@ def placements(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP)
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every row; docs: doc_id, text.
 
-    `tokenizer` is the path of a definition for the tokenizers library, whose tokens must not
-    cross white space. Every document ends with id 0. A null or empty text is that id alone, and
+    `tokenizer` is the path of a definition for the tokenizers library. Every document ends with id 0. A null or empty text is that id alone, and
     so is one without tokens. Repeated rows and null ids are packed like others. Texts of any length
     are cut into pieces of `capacity` ids. Equal lengths: any of them first. No rows: no rows.
     """

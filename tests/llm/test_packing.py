@@ -66,7 +66,7 @@ def test_sequences_hold_the_ids(spark):
 
 @given(st.lists(st.text(max_size=40), max_size=8))
 @settings(max_examples=150, deadline=None)
-def test_chunks_give_the_plain_ids(texts):
+def test_texts_give_the_plain_ids(texts):
     encoder = ENCODER
     for _ in range(2):
         for text, ids in zip(texts, encoder.ids_of(texts), strict=True):
@@ -75,7 +75,7 @@ def test_chunks_give_the_plain_ids(texts):
 
 @given(st.lists(st.text(st.characters(max_codepoint=255) | st.sampled_from("'stremvld <|½²\xa0\x85\x1c"), max_size=30), max_size=6))
 @settings(max_examples=300, deadline=None)
-def test_latin_chunks_give_the_plain_ids(texts):
+def test_latin_texts_give_the_plain_ids(texts):
     encoder = ENCODER
     assert encoder.latin
     for text, ids in zip(texts, encoder.ids_of(texts), strict=True):
