@@ -68,8 +68,8 @@ def _joined(parts: list[Runs]) -> Runs:
     return Runs(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("start", "end", "period"))).smallest()
 
 
-def _short(words: np.ndarray, short: int) -> Runs:
-    """Runs of periods below `short`, and of short/4 words at least, by direct lag scans."""
+def _short(words: np.ndarray, short: int, least: int) -> Runs:
+    """Runs of periods below `short`, and of `least` words, by direct lag scans."""
     starts, ends, periods = [], [], []
     for q in range(1, min(short, len(words))):
         same = np.flatnonzero(words[q:] == words[:-q])
@@ -78,7 +78,7 @@ def _short(words: np.ndarray, short: int) -> Runs:
         breaks = np.flatnonzero(np.diff(same) > 1)
         begin = same[np.append(0, breaks + 1)]
         end = same[np.append(breaks, len(same) - 1)] + 1
-        kept = end - begin >= max(q, short // 4 - q)
+        kept = end - begin >= max(q, least - q)
         starts.append(begin[kept])
         ends.append(end[kept] + q)
         periods.append(np.full(int(kept.sum()), q))
@@ -191,7 +191,7 @@ def runs_of(words: np.ndarray, counts: np.ndarray, least: int = LEAST, short: in
     first = np.cumsum(sizes + 1) - sizes  # of each text's words
     whole = -1 - np.arange(len(words) + len(sizes), dtype=np.int64)
     whole[np.arange(len(words)) + np.repeat(np.arange(len(counts)), counts) + 1] = words
-    known = _short(whole.astype(np.int32) if len(whole) < 2**31 else whole, short)
+    known = _short(whole.astype(np.int32) if len(whole) < 2**31 else whole, short, min(least, short // 4))
     p = short
     while (long_ := np.flatnonzero(counts >= 2 * p)).size:
         spans = counts[long_] + 1

@@ -3,23 +3,25 @@
 The guess cost of a value is the least number of guesses (as a logarithm) over all ways to
 cut it into words, dates, repeats, keyboard walks and brute-force spans: a shortest path
 over the positions of the value. Values that are cheap to guess (`token: string`) are talk;
-dear ones are secrets, whatever their form.
+dear ones are secrets, whatever their form. Words are ranked by the number of documents they stand in.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calipers.llm.common import text_of
+from calipers.llm.common import by_size, text_of
+from calipers.llm.runs import runs_of
 from calipers.runtime import ship
 
 # The patterns of the base kinds and the least lengths of their matches.
@@ -38,6 +40,8 @@ CONTEXT = re.compile(
 HINTS = ("pass", "pwd", "secret", "token", "api", "credential", "login", "auth", "bearer", "key", "pin")
 #: Values that need this many guesses (as a power of ten) count as secrets.
 LEAST_COST = 9.0
+#: So many words are learnt from the documents at most, each from so many documents at least.
+LEARNT_WORDS, LEARNT_FROM = 20_000, 3
 
 # Words tried first, most frequent first.
 WORDS = """
@@ -54,11 +58,7 @@ WORDS = """
 # The rows of a keyboard; each lower row is shifted to the right by half a key.
 KEYBOARD = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 
-#: A keyboard walk or a sequence is one part up to this length, then several.
-LONGEST_WALK = 64
-
 _RANK = {word: rank for rank, word in reversed(list(enumerate(WORDS, 1)))}
-_LONGEST_WORD = max(map(len, WORDS))
 _PLAIN = str.maketrans("0134578@$!", "oleastbasi")
 _DATES = tuple(map(re.compile, (
     r"(?:19|20)\d\d([./_-]?)[01]\d\1[0-3]\d", r"[0-3]\d[01]\d(?:19|20)\d\d",
@@ -82,61 +82,110 @@ def _walk_cost(length: int, turns: int) -> float:
     return math.log10(len(keys)) + math.log10(length) + turns * math.log10(degree)
 
 
-def _word_cost(part: str) -> float | None:
-    low = part.lower()
-    rank = _RANK.get(low) or _RANK.get(low.translate(_PLAIN))
-    if not rank:
+def _word_cost(part: str, low: str, plain: str, ranks: dict[str, int]) -> float | None:
+    """The cost of `part` as a word; low: in small letters; plain: with letters for digits and signs."""
+    rank = min(ranks.get(low, math.inf), ranks.get(plain, math.inf))
+    if rank == math.inf:
         return None
-    swaps = sum(c.isupper() for c in part[1:]) + sum(a != b for a, b in zip(low, low.translate(_PLAIN), strict=True)) * (low not in _RANK)
+    swaps = sum(c.isupper() for c in part[1:]) + sum(a != b for a, b in zip(low, plain, strict=True)) * (low not in ranks)
     return math.log10(rank) + (0.3 if part[:1].isupper() else 0.0) + 0.5 * swaps
 
 
-def _equal_runs(value: str, unit: int) -> list[int]:
-    """For each place, how many characters from there on equal the one `unit` places later."""
-    run = [0] * (len(value) + 1)
-    for i in range(len(value) - unit - 1, -1, -1):
-        run[i] = run[i + 1] + 1 if value[i] == value[i + unit] else 0
-    return run
+def _walk_ends(low: str) -> list[int]:
+    """For each character, the last one of the keyboard walk that begins with it."""
+    keys, ends = keyboard_neighbours(), list(range(len(low)))
+    for i in range(len(low) - 2, -1, -1):
+        if low[i + 1] in keys.get(low[i], ()):
+            ends[i] = ends[i + 1]
+    return ends
+
+
+def _sequence_ends(value: str) -> list[int]:
+    """For each character, the last one of the sequence of neighbouring code points, up or down, that begins with it."""
+    step = [0, *(ord(b) - ord(a) for a, b in itertools.pairwise(value)), 0]
+    ends = list(range(len(value)))
+    for i in range(len(value) - 2, -1, -1):
+        if step[i + 1] in (1, -1):
+            ends[i] = ends[i + 1] if step[i + 2] == step[i + 1] else i + 1
+    return ends
+
 
+def _repeats(value: str) -> list[tuple[int, int, int]]:
+    """(start, end, unit) of all stretches that repeat a unit at least twice and can't be extended; the least unit of each."""
+    letters = np.frombuffer(value.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    _, found = runs_of(letters, np.array([len(letters)]), least=2)
+    return list(zip(found.start.tolist(), found.end.tolist(), found.period.tolist(), strict=True))
 
-def guess_cost(value: str) -> float:
-    """The least power of ten of guesses over all cuts of the value into known kinds of parts."""
+
+def guess_cost(value: str, ranks: dict[str, int] = _RANK, enough: float = math.inf) -> float:
+    """The least power of ten of guesses over all cuts of the value into known kinds of parts.
+
+    A repeat costs its unit and the logarithm of the times; the unit has no smaller one, or is no longer than the
+    longest word. Costs of `enough` or more need not be exact. Where a place is reached best by a repeat, walk or
+    sequence, the same one is not begun anew there: its longer part from the same start is never dearer.
+    """
     n = len(value)
     low = value.lower()
+    low = low if len(low) == n else value
+    plain = low.translate(_PLAIN)
     best = [0.0] + [math.inf] * n
-    keys = keyboard_neighbours()
+    by: list[tuple | None] = [None] * (n + 1)  # the stretch that the best cut reaches a place by
     single = [math.log10(next(size for kind, size in _CLASS_SIZE if kind.match(c))) if c != "\n" else 1.5 for c in value]
-    again = {unit: _equal_runs(value, unit) for unit in range(1, min(8, n // 2) + 1)}
+    walks, sequences = _walk_ends(low), _sequence_ends(value)
+    longest = max(map(len, ranks), default=0)
+    repeats = _repeats(value) if n > 2 else []
+    units: dict[str, float] = {}
+
+    def reach(j: int, cost: float, stretch: tuple | None = None) -> None:
+        if cost < best[j]:
+            best[j], by[j] = cost, stretch
+
     for i in range(n):
         here = best[i]
-        best[i + 1] = min(best[i + 1], here + single[i])
-        for j in range(i + 3, min(n, i + _LONGEST_WORD) + 1):
-            if (cost := _word_cost(value[i:j])) is not None:
-                best[j] = min(best[j], here + cost)
+        if here >= enough:
+            continue
+        reach(i + 1, here + single[i])
+        for j in range(i + 3, min(n, i + longest) + 1):
+            if (cost := _word_cost(value[i:j], low[i:j], plain[i:j], ranks)) is not None:
+                reach(j, here + cost)
         for date in filter(None, (kind.match(value, i) for kind in _DATES)):
             days = 120 if len(date[0]) == 4 else 365 * 120
-            best[date.end()] = min(best[date.end()], here + math.log10(days))
-        for unit, run in again.items():
-            times = run[i] // unit + 1
-            if times >= 2 and times * unit >= 3:
-                j = i + times * unit
-                best[j] = min(best[j], here + sum(single[i: i + unit]) + math.log10(times))
-        j, turns, step = i + 1, 0, None
-        while j < min(n, i + LONGEST_WALK) and low[j] in keys.get(low[j - 1], ()):
-            turn = ord(low[j]) - ord(low[j - 1])
-            turns += step is not None and turn != step
-            step = turn
-            j += 1
-            if j - i >= 3:
-                best[j] = min(best[j], here + _walk_cost(j - i, turns))
-        j, gap = i + 1, ord(value[i + 1]) - ord(value[i]) if i + 1 < n else 0
-        while gap in (1, -1) and j < min(n, i + LONGEST_WALK) and ord(value[j]) - ord(value[j - 1]) == gap:
-            j += 1
-            if j - i >= 3:
-                best[j] = min(best[j], here + 1.5 + math.log10(j - i))
+            reach(date.end(), here + math.log10(days))
+        for start, end, least in repeats:
+            for unit in range(least, max(least, min(longest, (end - i) // 2)) + 1, least):
+                if start > i or i + 2 * unit > end:
+                    continue
+                part = value[i: i + unit]
+                if part not in units:
+                    units[part] = guess_cost(part, ranks, enough)
+                before = by[i]
+                if before and before[:3] == ("repeat", start, end) and unit % before[3] == 0 and (
+                    units[part] >= math.log10((1 + unit / before[3]) / 2)
+                ):
+                    continue
+                stretch = ("repeat", start, end, unit)
+                for times in range(2, (end - i) // unit + 1):
+                    if times * unit >= 3:
+                        reach(i + times * unit, here + units[part] + math.log10(times), stretch)
+        if walks[i] >= i + 2 and by[i] != ("walk", walks[i]):
+            turns, step = 0, None
+            for j in range(i + 1, walks[i] + 1):
+                turn = ord(low[j]) - ord(low[j - 1])
+                turns += step is not None and turn != step
+                step = turn
+                if j >= i + 2:
+                    reach(j + 1, here + _walk_cost(j + 1 - i, turns), ("walk", walks[i]))
+        if sequences[i] >= i + 2 and by[i] != ("sequence", sequences[i]):
+            for j in range(i + 3, sequences[i] + 2):
+                reach(j, here + 1.5 + math.log10(j - i), ("sequence", sequences[i]))
     return best[n]
 
 
+def is_dear(value: str, ranks: dict[str, int] = _RANK) -> bool:
+    """Whether the value takes LEAST_COST or more."""
+    return guess_cost(value, ranks, LEAST_COST) >= LEAST_COST
+
+
 def base_spans(text: str, named: bool, access: bool, long_hex: bool) -> list[tuple[int, int, str, int]]:
     """(start, order of the kind, kind, end) of the base kinds."""
     out = []
@@ -149,13 +198,13 @@ def base_spans(text: str, named: bool, access: bool, long_hex: bool) -> list[tup
     return sorted(out)
 
 
-def guessed_spans(text: str, known: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str, int]]:
-    """Values after a credential's name that are dear to guess and do not overlap a known span."""
+def guessed_spans(text: str, known: list[tuple[int, int, str, int]], ranks: dict[str, int]) -> list[tuple[int, int, str, int]]:
+    """Values after a credential's name that are dear to guess and do not lie inside a known span."""
     out = []
     for m in CONTEXT.finditer(text):
         start, end = m.span(1)
         end -= len(m[1]) - len(m[1].rstrip(".,;:!?)]}"))
-        if end - start >= 6 and not any(a < end and start < b for a, _, _, b in known) and guess_cost(text[start:end]) >= LEAST_COST:
+        if end - start >= 6 and not any(a <= start and end <= b for a, _, _, b in known) and is_dear(text[start:end], ranks):
             out.append((start, 3, "guess", end))
     return out
 
@@ -163,7 +212,7 @@ def guessed_spans(text: str, known: list[tuple[int, int, str, int]]) -> list[tup
 def with_long_hex(texts: list[str]) -> np.ndarray:
     """Which texts hold HEX_LEAST lower-case hex digits in a row."""
     parts = [t.encode("utf-8", "surrogatepass") for t in texts]
-    data = np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8)
+    data = np.frombuffer(b"\n".join(parts) + b"\n" * HEX_LEAST, dtype=np.uint8)
     run = ((data >= 48) & (data <= 57)) | ((data >= 97) & (data <= 102))
     reach = 1
     while reach < HEX_LEAST:
@@ -176,14 +225,14 @@ def with_long_hex(texts: list[str]) -> np.ndarray:
     return out
 
 
-def spans_of(texts: list[str]) -> list[list[tuple[int, int, str, int]]]:
+def spans_of(texts: list[str], ranks: dict[str, int] = _RANK) -> list[list[tuple[int, int, str, int]]]:
     """All spans of every text, base kinds and guessed ones, by start and kind."""
     out = []
     for text, long_hex in zip(texts, with_long_hex(texts), strict=True):
         low = text.lower()
         named = any(h in low for h in HINTS)
         base = base_spans(text, named, "AKIA" in text, bool(long_hex))
-        out.append(sorted(base + (guessed_spans(text, base) if named else [])))
+        out.append(sorted(base + (guessed_spans(text, base, ranks) if named else [])))
     return out
 
 
@@ -191,29 +240,38 @@ def _told(spans: list[tuple[int, int, str, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in spans)
 
 
+def word_ranks(docs: DataFrame, most: int = LEARNT_WORDS, least: int = LEARNT_FROM) -> dict[str, int]:
+    """Ranks of the known words, and of the `most` words of letters that stand in most documents, in `least` at least."""
+    words = F.array_distinct(F.split(F.lower(text_of(F.col("text"))), r"[^\p{L}]+", -1))
+    counts = docs.select(F.explode(words).alias("word")).where("length(word) between 3 and 40").groupBy("word").count()
+    learnt = counts.where(F.col("count") >= least).orderBy(F.desc("count"), "word").limit(most).collect()
+    ranks = dict(_RANK)
+    for rank, row in enumerate(learnt, 1):
+        ranks[row["word"]] = min(rank, ranks.get(row["word"], rank))
+    return ranks
+
+
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_guess of every row of docs.
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_guess of every row of docs; docs: doc_id, text.
 
-    Spans are code points of the whole text, end exclusive. Null text counts as empty; a
-    text without spans has the digest of the empty string. Repeated rows get equal rows.
+    Spans are code points of the whole text, end exclusive. Guessed values may overlap base spans, but do not lie inside
+    one. Null text counts as empty; a text without spans has the digest of the empty string. Repeated rows get
+    equal rows. Texts and values of any length are read whole. No rows: no rows.
     """
     ship(docs.sparkSession)
+    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = []
-            texts = batch["text"].tolist()
-            for begin in range(0, len(texts), 256):
-                found += spans_of(texts[begin: begin + 256])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in by_size(batches):
+            found = spans_of(part.column("text").to_pylist(), ranks.value)
             base = [[s for s in spans if s[1] < 3] for spans in found]
-            count = lambda kind, spans: np.array([sum(s[2] == kind for s in x) for x in spans], dtype=np.int64)
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "n_assign": count("assign", base), "n_access": count("access", base),
-                "n_hex": count("hex", base),
-                "base_sha256": [hashlib.sha256(_told(spans).encode()).hexdigest() for spans in base],
-                "spans": [_told(spans) for spans in found], "n_guess": count("guess", found),
-            })
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")).mapInPandas(
+            count = lambda kind, spans: pa.array([sum(s[2] == kind for s in x) for x in spans], pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                part.column("doc_id"), count("assign", base), count("access", base), count("hex", base),
+                pa.array([hashlib.sha256(_told(spans).encode()).hexdigest() for spans in base], pa.string()),
+                pa.array([_told(spans) for spans in found], pa.string()), count("guess", found),
+            ], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")).mapInArrow(
         run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long"
     )

@@ -1,6 +1,11 @@
 import hashlib
+import itertools
+import math
 import re
 
+import numpy as np
+import pytest
+
 from calipers.llm import secrets
 
 PATTERNS = {
@@ -52,3 +57,58 @@ def test_guess_cost():
     assert cost("password1") < 3 and cost("qwertyuiop") < 7 and cost("aaaaaaaaaaaa") < 4 and cost("2001-02-03") < 6
     assert cost("letmeinletmein") < 6 and cost("Xk9#mQ2$vL8pZr") > 15 and cost("b7db7aa4a5fcc78305") > 15
     assert cost("") == 0 and cost("ab" * 20_000) < 10
+    assert cost("correcthorse" * 30, {"correct": 90, "horse": 80}) < 6 and cost("xk9q" * 300) > cost("xk9q")
+    assert cost("mamamama", {"mama": 5}) == pytest.approx(math.log10(5) + math.log10(2))
+
+
+def part_cost(part, ranks):
+    """The least cost of a part that is not cut, by trying every kind on it."""
+    n, costs = len(part), [math.inf]
+    if n == 1:
+        return math.log10(10 if part.isdigit() else 26 if part.isalpha() else 33)
+    if n >= 3 and part.lower() in ranks:
+        costs.append(math.log10(ranks[part.lower()]) + 0.3 * part[0].isupper() + 0.5 * sum(c.isupper() for c in part[1:]))
+    if any(date.fullmatch(part) for date in secrets._DATES):
+        costs.append(math.log10(120 if n == 4 else 365 * 120))
+    for unit in range(1, n // 2 + 1):
+        if n >= 3 and part == part[:unit] * (n // unit):
+            costs.append(all_cuts(part[:unit], ranks) + math.log10(n // unit))
+    keys, steps = secrets.keyboard_neighbours(), [ord(b) - ord(a) for a, b in itertools.pairwise(part)]
+    if n >= 3 and all(b in keys.get(a, ()) for a, b in itertools.pairwise(part.lower())):
+        low = [ord(b) - ord(a) for a, b in itertools.pairwise(part.lower())]
+        costs.append(secrets._walk_cost(n, sum(a != b for a, b in itertools.pairwise(low))))
+    if n >= 3 and set(steps) in ({1}, {-1}):
+        costs.append(1.5 + math.log10(n))
+    return min(costs)
+
+
+def all_cuts(value, ranks):
+    """The least sum over all 2^(n-1) ways to cut the value."""
+    best = math.inf
+    for cuts in itertools.product((False, True), repeat=len(value) - 1):
+        bounds = [0, *(i + 1 for i, c in enumerate(cuts) if c), len(value)]
+        best = min(best, sum(part_cost(value[a:b], ranks) for a, b in itertools.pairwise(bounds)))
+    return best
+
+
+def test_guess_cost_against_all_cuts():
+    rng = np.random.default_rng(2)
+    ranks = {"abc": 4, "aba": 30, "pass": 2, "abab": 3, "sword": 5, "wordabcdefgh": 9}
+    pieces = ["a", "b", "ab", "pass", "Abc", "qw", "asd", "19", "99", "2001", "x", "7", "cba", "SS", "321", "sd"]
+    for _ in range(150):
+        value = "".join(rng.choice(pieces, rng.integers(1, 6)))[:9]
+        assert secrets.guess_cost(value, ranks) == pytest.approx(all_cuts(value, ranks)), value
+
+
+def test_tiny_tables_and_clashing_names(spark):
+    for texts in (["x"], [""], [None], ["ab cd"] * 256 + ["e"], [None] * 257, ["deadbeefdeadbeefdeadbeef"], ["token=abcdef"] * 257):
+        docs = spark.createDataFrame([(i, t, "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, spans string, n_hex int")
+        for parts in (1, 9):
+            check(secrets.scan(docs.repartition(parts)).collect(), texts)
+
+
+def test_overlaps_and_learnt_words(spark):
+    texts = ["password=hunter2!Xk9$Qz7", "the token is authentication", *["authentication of every user"] * 3, "token is Jx8!pQ2#vT"]
+    got = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+    spans = {r.doc_id: r.spans for r in got}
+    assert spans[0] == "assign:0:16,guess:9:24" and spans[1] == "" and spans[5] == "guess:9:19"
