@@ -38,11 +38,14 @@ CLOSED_BY = {
     "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option", "optgroup"}, "head": {"body"},
 }
 
+#: The rest of a tag: names, each with a value after `=` or without; a quote opens a value only there. An open value
+#: ends with the page.
+_ATTRIBUTES = r"""(?>[\s/]+|[^\s/>][^\s/>=]*(?:\s*=\s*(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>"'][^\s>]*)?)?)*+"""
 _PIECE = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"""|<(?:svg|math)(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*(?<=/)>"""  # closes itself
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
+    rf"|<(?:svg|math)(?=[\s/>])(?:{_ATTRIBUTES})(?<=/)>"  # closes itself
     rf"|<(?P<raw>{'|'.join(sorted(RAW))})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
-    r"""|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)""",
+    rf"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>{_ATTRIBUTES})(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -335,6 +338,10 @@ def laid_out(title: str, paragraphs: list[str], others: list[str], rng: random.R
     heading = f"<h1>{title}</h1>" if rng.random() < 0.85 else f"<h2>{title}</h2>"
     if rng.random() < 0.25:
         body.append(_wrapped(pick(_COMMENTS), [longer() for _ in range(rng.randint(1, 4))] + told("comment", 2), "p", False))
+    if rng.random() < 0.2:
+        body.insert(rng.randint(1, len(body)), _wrapped(pick(_FORMS), told("form", 3), pick(("label", "button", "p")), False))
+    if rng.random() < 0.2:
+        body.insert(rng.randint(1, len(body)), _wrapped(pick(_SIDE), told("side", 1) + [longer()], pick(("p", "div")), False))
     article = _wrapped("article" if rng.random() < 0.35 else pick(_ARTICLE), [heading + "".join(body)], "", True)
     maybe = lambda share, make: [make()] if rng.random() < share else []
     before = [
@@ -376,6 +383,19 @@ ENOUGH, VARIANTS = 60, 6
 _ARTICLE_TAG = r"<article[\s/>]"
 
 
+#: What is no part of the article's text, wherever it stands inside the article element.
+_APART = frozenset("aside form nav footer dialog menu button select".split())
+_APART_NAMES = frozenset("comment comments replies respond disqus advert adverts advertisement ad ads promo sponsored newsletter cookie hidden".split())
+
+
+def inside_article(block: Block) -> bool:
+    """Whether a block of a page that marks its article belongs to it: below the element, and in none of its other parts."""
+    if "article" not in block.above:
+        return False
+    below = block.above[block.above.index("article") + 1:]
+    return _APART.isdisjoint(below) and _APART_NAMES.isdisjoint(block.names)
+
+
 def fixed_pages(number: int, seed: int = 5) -> list[list[Block]]:
     """Labelled pages that need no table: layouts of fixed texts."""
     rng = random.Random(seed)
@@ -394,11 +414,11 @@ def labelled_pages(sources: list[str], variants: int = VARIANTS, seed: int = 7)
     own = [blocks_of(s) for s in sources if len(re.findall(_ARTICLE_TAG, s, re.IGNORECASE)) == 1]
     own = [blocks for blocks in own if any("article" in b.above for b in blocks)]
     pages: list[list[Block]] = []
-    others = [b.text for blocks in own for b in blocks if "article" not in b.above] or ["more"]
-    bodies = [b.text for blocks in own for b in blocks if "article" in b.above]
+    others = [b.text for blocks in own for b in blocks if not inside_article(b)] or ["more"]
+    bodies = [b.text for blocks in own for b in blocks if inside_article(b)]
     for blocks in own:
         for b in blocks:
-            b.gold = int("article" in b.above)
+            b.gold = int(inside_article(b))
         pages.append(blocks)
         main = [entities.escape(b.text, quote=False) for b in blocks if b.gold]
         for _ in range(variants if main else 0):
@@ -411,6 +431,7 @@ def labelled_pages(sources: list[str], variants: int = VARIANTS, seed: int = 7)
 def fit(pages: DataFrame, most: int = 150) -> Field:
     """Train on about `most` pages of the table with one article element, chosen by a hash, and their layouts.
 
+    Pages of 200,000 characters and more are not trained on.
     Where fewer than ENOUGH of them have an article with text, layouts of fixed texts stand in for the others.
     """
     usable = pages.where(

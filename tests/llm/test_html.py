@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from calipers.llm import html as h
 
@@ -112,3 +113,48 @@ def test_sample_is_drawn_among_labelled_pages(spark, monkeypatch):
 def test_foreign_elements_that_close_themselves():
     page = '<p>one <svg class="i"/>two</p><math/><p>three<svg a="/>"><p>no</p></svg> four<svg><p>no</p></svg></p><svg d=\'x\' /><p>five</p>'
     assert [b.text for b in h.blocks_of(page)] == ["one two", "three four", "five"]
+
+
+ARTICLE = "<h1>About tides</h1><p>The first part tells of it.</p><p>The second part, too.</p>"
+TEXTS = ["About tides", "The first part tells of it.", "The second part, too."]
+
+
+@pytest.mark.parametrize("page", [
+    '<article class="x"">' + ARTICLE + "</article>", "<article title=it's>" + ARTICLE + "</article>", "<!--><article>" + ARTICLE + "</article>",
+    "<!---><article>" + ARTICLE + "</article>", '<article a"b c\'d>' + ARTICLE + "</article>", '<article class="a"class=b x=>' + ARTICLE + "</article>",
+    "<article data-x = 'a > b' y=\"c > d\">" + ARTICLE + "</article>", '<svg a=b" /><article>' + ARTICLE, "<article =\">" + ARTICLE,
+    "<article a==b>" + ARTICLE, "<!-- a -- > b --!><article>" + ARTICLE,
+])
+def test_bad_markup_keeps_the_article(page):
+    got = h.blocks_of("<body>" + page + "</body>")
+    assert [b.text for b in got] == TEXTS and all("article" in b.above for b in got)
+
+
+def test_bare_signs_and_open_values():
+    assert [b.text for b in h.blocks_of("<p>a < b and c <3 d</p><p>e</p>")] == ["a < b and c <3 d", "e"]
+    assert [b.text for b in h.blocks_of('<p>a</p><p title="open>b</p>')] == ["a"]
+
+
+def nested(source, rng):
+    """A page with reader comments, a form and an aside put inside its article element, and their texts."""
+    parts = [
+        '<div class="comments"><p>Reader one does not agree.</p><p>Reader two says so as well.</p></div>',
+        '<form action="/s"><label>Your mail address</label><button>Send it</button></form>', "<aside><p>See what others have read today.</p></aside>",
+    ]
+    at = source.index("</article>")
+    rng.shuffle(parts)
+    return source[:at] + "".join(parts) + source[at:]
+
+
+def test_parts_inside_the_article_are_left_out(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").select("html").limit(160).collect()
+    rng = random.Random(3)
+    sources = [nested(r.html, rng) for r in pages if "</article>" in r.html]
+    model = h.train(h.labelled_pages(sources[:60]))
+    found = wrong = missed = 0
+    for source in sources[60:]:
+        got = set(h.main_text(source, model).split("\n"))
+        want = {b.text for b in h.blocks_of(source) if h.inside_article(b)}
+        found, wrong, missed = found + len(got & want), wrong + len(got - want), missed + len(want - got)
+        assert not got & {"Reader one does not agree.", "Send it", "See what others have read today."}
+    assert 2 * found / (2 * found + wrong + missed) > 0.97
