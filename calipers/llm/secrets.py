@@ -17,10 +17,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from calipers.llm.common import by_size, text_of
+from calipers.llm.common import by_size, stored, text_of
 from calipers.llm.runs import runs_of
 from calipers.runtime import ship
 
@@ -241,12 +241,19 @@ def _told(spans: list[tuple[int, int, str, int]]) -> str:
 
 
 def word_ranks(docs: DataFrame, most: int = LEARNT_WORDS, least: int = LEARNT_FROM) -> dict[str, int]:
-    """Ranks of the known words, and of the `most` words of letters that stand in most documents, in `least` at least."""
+    """Ranks of the known words, and of the words of letters that stand in most documents.
+
+    They stand in `least` documents at least, and in so many that `most` words do at most.
+    """
     words = F.array_distinct(F.split(F.lower(text_of(F.col("text"))), r"[^\p{L}]+", -1))
     counts = docs.select(F.explode(words).alias("word")).where("length(word) between 3 and 40").groupBy("word").count()
-    learnt = counts.where(F.col("count") >= least).orderBy(F.desc("count"), "word").limit(most).collect()
+    counts = stored(counts.where(F.col("count") >= least), "words")
+    spread = Window.orderBy(F.desc("count")).rowsBetween(Window.unboundedPreceding, 0)
+    reached = counts.groupBy("count").agg(F.count(F.lit(1)).alias("words")).withColumn("words", F.sum("words").over(spread))
+    cut = reached.where(F.col("words") <= most).agg(F.min("count")).first()[0]
+    learnt = counts.where(F.col("count") >= cut).collect() if cut else []
     ranks = dict(_RANK)
-    for rank, row in enumerate(learnt, 1):
+    for rank, row in enumerate(sorted(learnt, key=lambda r: (-r["count"], r["word"])), 1):
         ranks[row["word"]] = min(rank, ranks.get(row["word"], rank))
     return ranks
 
