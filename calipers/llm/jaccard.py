@@ -1,10 +1,11 @@
 """N-gram Jaccard join by a MinHash LSH forest, with exact verification.
 
 Every distinct shingle set is a node. Its signature is cut into trees; in each tree the
-nodes are sorted into a prefix trie. Nodes meet that share a prefix in a tree; the prefix is
-the longest at which a pair of the least similarity still meets with the target recall, so
-that no pair's chance depends on what else is in the table. Pairs that meet are verified on
-the shingle sets.
+nodes are sorted by prefix, as in a trie. Nodes meet that share a prefix in a tree. The prefix is
+shortened from the whole depth on, level by level, until pairs of the least similarity meet with the
+target recall; this is measured on sets of the table and changed copies of them, of just that similarity, so
+that no pair's chance depends on how many others are more alike. Pairs that meet are verified on the
+shingle sets, each where it meets first.
 
 A trie node may hold very many members. It is cut into blocks, and each pair of blocks is a
 task of its own; tasks give back counts per member and a spanning forest, never pairs.
@@ -12,21 +13,25 @@ task of its own; tasks give back counts per member and a spanning forest, never
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calipers.llm.common import packed, stored, text_of
+from calipers.llm.common import by_size, packed, stored, text_of
 from calipers.llm.words import groups_of, mixed, shingles_of, words_of
 from calipers.operators.components import component_labels
 from calipers.runtime import settle, ship
 
 WIDTH, SIMILARITY = 5, 0.8
-#: A pair at 0.8 meets with 0.9996 at the full depth, and with 0.99998 one step above.
-TREES, DEPTH = 15, 4
+#: Trees, and minima in each one's whole prefix; of each minimum the lower 16 bits are kept.
+TREES, DEPTH = 15, 6
+#: Texts whose sets are changed to measure the recall of a level, copies of each, and shingles taken of each.
+MEASURED, COPIES, TAKEN = 300, 40, 150
 BLOCK = 512
 
 _SALTS = mixed(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -49,11 +54,13 @@ def shingle_sets(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray
 
 
 def _signatures(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """One row of TREES * DEPTH minima of 32 bits for each text; every text has a shingle."""
-    out = np.empty((len(first) - 1, len(_SALTS)), dtype=np.uint32)
+    """One row of TREES * DEPTH minima, their lower 16 bits, for each text; every text has a shingle."""
+    out = np.empty((len(first) - 1, len(_SALTS)), dtype=np.uint16)
+    spread = values ^ (values >> np.uint64(29))
+    ranks = np.empty_like(spread)
     for k, salt in enumerate(_SALTS):
-        ranks = ((values ^ (values >> np.uint64(29))) * salt >> np.uint64(32)).astype(np.uint32)
-        out[:, k] = np.minimum.reduceat(ranks, first[:-1])
+        np.multiply(spread, salt, out=ranks)
+        out[:, k] = (np.minimum.reduceat(ranks, first[:-1]) >> np.uint64(32)).astype(np.uint16)
     return out
 
 
@@ -61,45 +68,72 @@ def sketches(docs: DataFrame) -> DataFrame:
     """doc_id, text key, node (128-bit key of the shingle set, null without a word), signature."""
     ship(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = batch["text"].tolist()
-            nodes: list = [None] * len(texts)
-            signs: list = [None] * len(texts)
-            for begin, end in groups_of(texts):
-                values, first = shingles_of(words_of(texts[begin:end]), WIDTH)
-                filled = np.flatnonzero(np.diff(first))
-                if not len(filled):
-                    continue
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in by_size(batches, 1 << 18):
+            values, first = shingles_of(words_of(part.column("text").to_pylist()), WIDTH)
+            nodes: list = [None] * part.num_rows
+            signs: list = [None] * part.num_rows
+            filled = np.flatnonzero(np.diff(first))
+            if len(filled):
                 sets = [np.unique(values[first[i]: first[i + 1]]) for i in filled]
                 bounds = np.cumsum([0, *(len(s) for s in sets)])
                 joined = np.concatenate(sets)
+                del values, sets
                 rows = _signatures(joined, bounds)
                 sums = np.stack([np.add.reduceat(mixed(joined + np.uint64(c)), bounds[:-1]) for c in (1, 2)], axis=1)
                 for j, i in enumerate(filled):
-                    nodes[begin + i] = sums[j].tobytes()
-                    signs[begin + i] = rows[j].tobytes()
-            out = batch[["doc_id", "text_hash", "text_crc"]].copy()
-            out["node"], out["signature"] = nodes, signs
-            yield out
+                    nodes[i], signs[i] = sums[j].tobytes(), rows[j].tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in ("doc_id", "text_hash", "text_crc")), pa.array(nodes, pa.binary()), pa.array(signs, pa.binary())],
+                ["doc_id", "text_hash", "text_crc", "node", "signature"],
+            )
 
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text")), text_of(F.col("text")).alias("text")
     )
-    return texts.mapInPandas(run, "doc_id long, text_hash long, text_crc long, node binary, signature binary")
-
-
-def _meets(similarity: float, depth: int) -> float:
-    """The chance that a pair shares a prefix of this length in at least one tree."""
-    return 1 - (1 - similarity**depth) ** TREES
-
-
-def longest_prefix(target: float) -> int:
-    """The longest prefix at which the pairs hardest to meet, those at SIMILARITY, meet with the target recall."""
-    for depth in range(DEPTH, 0, -1):
-        if _meets(SIMILARITY, depth) >= target:
-            return depth
-    raise ValueError(f"{TREES} trees meet a pair at {SIMILARITY} with {_meets(SIMILARITY, 1)} at most, not {target}")
+    return texts.mapInArrow(run, "doc_id long, text_hash long, text_crc long, node binary, signature binary")
+
+
+def changed_pairs(sets: list[np.ndarray], copies: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of the sets, `copies` times each, and of copies changed until their similarity is only just SIMILARITY."""
+    rng = np.random.default_rng(seed)
+    left, right = [], []
+    for own in sets:
+        n = len(own)
+        common = math.ceil(2 * n * SIMILARITY / (1 + SIMILARITY) - 1e-9)
+        for _ in range(copies):
+            left.append(own)
+            right.append(np.concatenate([rng.permutation(own)[:common], rng.integers(0, 2**63, n - common, dtype=np.uint64)]))
+    bounds = np.cumsum([0, *map(len, left)])
+    return _signatures(np.concatenate(left), bounds), _signatures(np.concatenate(right), bounds)
+
+
+def measured_recalls(sets: list[np.ndarray]) -> list[float]:
+    """For prefixes of 1 to DEPTH minima: which part of the changed pairs shares one in some tree."""
+    left, right = changed_pairs(sets, COPIES)
+    same = (left == right).reshape(len(left), TREES, DEPTH)
+    return [float(same[:, :, :depth].all(axis=2).any(axis=1).mean()) for depth in range(1, DEPTH + 1)]
+
+
+def shortened(recalls: list[float], target: float) -> int:
+    """The prefix length at which to stop, going down from the whole depth until the recall reaches the target."""
+    depth = len(recalls)
+    while recalls[depth - 1] < target:
+        depth -= 1
+        if not depth:
+            raise ValueError(f"{TREES} trees meet {recalls[0]} of the pairs at {SIMILARITY} at most, not {target}")
+    return depth
+
+
+def sampled_sets(docs: DataFrame) -> list[np.ndarray]:
+    """Shingle sets of up to about MEASURED texts, chosen by a hash, TAKEN shingles of each; random sets where there are fewer."""
+    usable = docs.select(F.col("text").cast("string").alias("text")).where("length(text) between 1000 and 50000")
+    share, among = min(1.0, MEASURED / max(1, usable.count())), 1 << 40
+    sample = usable.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(among)) < math.ceil(share * among))
+    texts = sorted(r.text for r in sample.limit(2 * MEASURED).collect())
+    rng = np.random.default_rng(7)
+    sets = [rng.permutation(own)[:TAKEN] for _, _, own in shingle_sets(texts) if len(own) >= TAKEN][:MEASURED]
+    return sets + [rng.integers(0, 2**63, TAKEN, dtype=np.uint64) for _ in range(MEASURED - len(sets))]
 
 
 def _pairs(begin: np.ndarray, size: np.ndarray, left: np.ndarray, both: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -123,7 +157,7 @@ def _pairs(begin: np.ndarray, size: np.ndarray, left: np.ndarray, both: np.ndarr
 
 def _candidates(rows: pd.DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row numbers i, j of the likely pairs that first meet in their cell, and their cell's number."""
-    signs = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint32).reshape(len(rows), -1)
+    signs = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint16).reshape(len(rows), -1)
     tree = rows["tree"].to_numpy()
     number, begin = _cell_numbers(rows)
     size = np.diff(np.append(begin, len(rows)))
@@ -191,7 +225,7 @@ def _cells(members: DataFrame) -> DataFrame:
 
 def _screen(nodes: DataFrame, depth: int) -> DataFrame:
     """Members that have a likely partner in a cell."""
-    prefix = lambda t: F.substring("signature", t * DEPTH * 4 + 1, depth * 4)
+    prefix = lambda t: F.substring("signature", t * DEPTH * 2 + 1, depth * 2)
     members = nodes.select("node", F.explode(F.array(*(
         F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), prefix(t)).alias("bucket")) for t in range(TREES)
     ))).alias("m")).select("m.bucket", "m.tree", "node")
@@ -208,12 +242,6 @@ def _screen(nodes: DataFrame, depth: int) -> DataFrame:
     )
 
 
-def forest_candidates(nodes: DataFrame, target: float) -> tuple[DataFrame, int]:
-    """Screened cells at the longest prefix that reaches the target recall, and its length."""
-    depth = longest_prefix(target)
-    return stored(_screen(nodes, depth), "forest"), depth
-
-
 def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of sets i and j, for a few pairs one by one, else by products of 0/1 matrices."""
     if len(i) <= 4 * len(sets):
@@ -270,7 +298,7 @@ def _verify(rows: pd.DataFrame, depth: int) -> pd.DataFrame:
     return pd.DataFrame({"node": node[touched], "links": links[touched].astype(np.int64), "root": node[root[touched]]})
 
 
-def near_duplicates(docs: DataFrame, target: float = 0.9995) -> DataFrame:
+def near_duplicates(docs: DataFrame, target: float = 0.999) -> DataFrame:
     """text key, label, class_id, links of every distinct text with a word; docs: doc_id, text.
 
     Two documents are linked when the Jaccard similarity of their sets of five-word
@@ -284,7 +312,8 @@ def near_duplicates(docs: DataFrame, target: float = 0.9995) -> DataFrame:
         F.min(F.struct("text_hash", "text_crc")).alias("key"),
     )
     nodes = stored(nodes, "nodes")
-    cells, depth = forest_candidates(nodes.select("node", "signature"), target)
+    depth = shortened(measured_recalls(sampled_sets(docs)), target)
+    cells = stored(_screen(nodes.select("node", "signature"), depth), "forest")
     wanted = nodes.join(cells.select("node").distinct(), "node", "left_semi").select("node", "copies", "key.*")
     texts = docs.select(*text_key(F.col("text")), text_of(F.col("text")).alias("text"))
     texts = texts.join(wanted, ["text_hash", "text_crc"]).groupBy("node", "copies").agg(F.first("text").alias("text"))

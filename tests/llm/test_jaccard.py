@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import plain
 import pytest
 
@@ -64,8 +65,20 @@ def test_recall_of_far_pairs_beside_a_hot_group(spark):
     assert sum(got[10_001 + 2 * k] == (10_000 + 2 * k, 1) for k in range(1000)) >= 998
 
 
-def test_prefix_from_the_least_similarity():
-    assert jaccard._meets(0.8, jaccard.longest_prefix(0.9995)) >= 0.9995
-    assert jaccard._meets(0.8, jaccard.longest_prefix(0.9999)) >= 0.9999
-    with pytest.raises(ValueError, match="trees"):
-        jaccard.longest_prefix(1.0)
+def test_prefix_is_shortened_to_the_target():
+    rng = np.random.default_rng(1)
+    sets = [rng.integers(0, 2**63, 150, dtype=np.uint64) for _ in range(jaccard.MEASURED)]
+    recalls = jaccard.measured_recalls(sets)
+    for depth, recall in enumerate(recalls, 1):  # of pairs at 0.8, by chance
+        assert abs(recall - (1 - (1 - 0.8**depth) ** jaccard.TREES)) < 0.006
+    depths = [jaccard.shortened(recalls, target) for target in (0.98, 0.995, 0.999)]
+    assert depths == [6, 5, 4]
+    with pytest.raises(ValueError):
+        jaccard.shortened([0.9, 0.8], 0.95)
+
+
+def test_changed_pairs_are_at_the_least_similarity():
+    own = np.arange(1, 46, dtype=np.uint64)
+    left, right = jaccard.changed_pairs([own], 200)
+    assert left.shape == right.shape == (200, jaccard.TREES * jaccard.DEPTH)
+    assert abs((left == right).mean() - 40 / 50) < 0.02
