@@ -7,6 +7,7 @@ it moves into the new shard.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -99,8 +100,10 @@ def shard_rows(docs: DataFrame, shards: int = 8) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """The columns of docs, then shard and slot (a document column of that name comes first, as it is)."""
-    names = set(docs.columns)
-    free = {name: name if name not in names else f"{name}_of_{shards}" for name in ("shard", "slot")}
+    """The columns of docs, then shard and slot; where docs has columns of these names, under the next free ones."""
+    taken, free = {name.lower() for name in docs.columns}, {}
+    for name in ("shard", "slot"):
+        tries = itertools.chain([name, f"{name}_of_{shards}"], (f"{name}_of_{shards}_{i}" for i in itertools.count(2)))
+        free[name] = next(t for t in tries if t not in taken)
     placed = place(docs, shards)
     return placed.select("row.*", *(F.col(name).alias(alias) for name, alias in free.items()))

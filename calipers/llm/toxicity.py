@@ -10,17 +10,18 @@ matches, and further insults, are learnt from labelled rows.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calipers.llm.common import packed, text_of
+from calipers.llm.common import by_size, packed, stored, text_of
 from calipers.runtime import ship
 
 # The words that the grammar knows before it has seen any label.
@@ -57,8 +58,8 @@ NEGATION_SCOPE, TARGET_SCOPE, THREAT_SCOPE = 3, 4, 4
 _TOKEN = re.compile(r"[^\W_]+(?:[@$0-9]+[^\W_]+)*|[.!?;:\n]")
 _CLAUSE_ENDS = frozenset(".!?;:\n")
 _PLAIN_LETTERS = tuple(str.maketrans("013457@$", "o" + one + "eastas") for one in "il")
-#: Counts of matching clauses above this count as this, so that feature vectors are few.
-MOST_CLAUSES = 3
+#: Matching clauses beyond so many count less and less: n more as log(1 + n).
+FULL_CLAUSES = 3
 
 
 @dataclass(frozen=True)
@@ -179,17 +180,16 @@ def match_counts(texts: DataFrame, learnt: list[str]) -> DataFrame:
     known = lexicon(learnt)
     moves, outputs = compiled(GRAMMAR, range(6))
     keys = [f for f in texts.schema.fields if f.name != "text"]
+    names = [f.name for f in keys]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [clause_matches(t, known, moves, outputs) for t in batch["text"]]
-            out = batch[[f.name for f in keys]].copy()
-            for name in MATCHES:
-                out[name] = np.array([min(c[name], MOST_CLAUSES) for c in found], dtype=np.int32)
-            yield out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_size(batches):
+            found = [clause_matches(t, known, moves, outputs) for t in batch.column("text").to_pylist()]
+            counts = [pa.array([c[name] for c in found], pa.int32()) for name in MATCHES]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *counts], [*names, *MATCHES])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys), *(f"{m} int" for m in MATCHES)])
-    return texts.mapInPandas(run, schema)
+    return texts.mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -201,9 +201,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     """text, toxic of at most about `most` labelled rows that are not held out, chosen by a hash of the id."""
     marks = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    share = min(1.0, most / max(1, marks.count()))
-    chosen = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    return docs.select("doc_id", text_of(F.col("text")).alias("text")).join(chosen, "doc_id").select("text", "toxic")
+    share, among = min(1.0, most / max(1, marks.count())), 1 << 40
+    chosen = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(among)) < math.ceil(share * among))
+    rows = docs.select("doc_id", text_of(F.col("text")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    return stored(rows.select("text", "toxic"), "labelled")
 
 
 def learn_insults(rows: DataFrame, least: int = 8, purity: float = 0.95, most: int = 1_000) -> list[str]:
@@ -228,6 +229,11 @@ def learn_insults(rows: DataFrame, least: int = 8, purity: float = 0.95, most: i
     return sorted(r.word for r in passed.orderBy(F.desc("bad"), "word").limit(most).select("word").collect())
 
 
+def damped(counts: np.ndarray) -> np.ndarray:
+    """Counts of clauses as features."""
+    return np.where(counts <= FULL_CLAUSES, counts, FULL_CLAUSES + np.log1p(np.maximum(0, counts - FULL_CLAUSES)))
+
+
 def fit_weights(counts: list[tuple], prior: float = 4.0, rounds: int = 60) -> tuple[float, list[float]]:
     """Bias and weights of a logistic model by Newton's method, drawn to the grammar's own weights.
 
@@ -237,7 +243,7 @@ def fit_weights(counts: list[tuple], prior: float = 4.0, rounds: int = 60) -> tu
     if not counts:
         return own[0], list(own[1:])
     data = np.array(counts, dtype=float)
-    x = np.hstack([np.ones((len(data), 1)), data[:, : len(MATCHES)]])
+    x = np.hstack([np.ones((len(data), 1)), damped(data[:, : len(MATCHES)])])
     y, n = data[:, -2], data[:, -1]
     w = own.copy()
     for _ in range(rounds):
@@ -260,7 +266,9 @@ class Model:
     def score(self) -> Column:
         linear = F.lit(self.bias)
         for name, weight in zip(MATCHES, self.weights, strict=True):
-            linear = linear + F.lit(weight) * F.col(name)
+            count = F.col(name)
+            feature = F.when(count <= FULL_CLAUSES, count.cast("double")).otherwise(FULL_CLAUSES + F.log1p(count - FULL_CLAUSES))
+            linear = linear + F.lit(weight) * feature
         return F.round(1 / (1 + F.exp(-linear)), 12)
 
 
@@ -298,10 +306,13 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     moves, outputs = compiled(GRAMMAR, range(6))
     names, weights, bias = list(MATCHES), model.weights, model.bias
 
-    @F.pandas_udf("boolean")
-    def clean(texts: pd.Series) -> pd.Series:
-        found = [clause_matches(t, known, moves, outputs) for t in texts]
-        counts = np.array([[min(c[n], MOST_CLAUSES) for n in names] for c in found], dtype=float).reshape(-1, len(names))
-        return pd.Series(counts @ np.array(weights) + bias < 0)
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        out = []
+        for part in by_size(iter([pa.RecordBatch.from_arrays([texts], ["text"])])):
+            found = [clause_matches(t, known, moves, outputs) for t in part.column("text").to_pylist()]
+            counts = np.array([[c[n] for n in names] for c in found], dtype=float).reshape(-1, len(names))
+            out.append(damped(counts) @ np.array(weights) + bias < 0)
+        return pa.array(np.concatenate([np.zeros(0, dtype=bool), *out]))
 
     return packed(docs).where(clean(text_of(F.col("row.text")))).select("row.*")

@@ -94,3 +94,8 @@ def test_order_follows_the_schedule(spark):
     assert early.count("s0") > 1.5 * late.count("s0") and late.count("s2") > 1.2 * early.count("s2")
     assert mixing.training_order(spark.createDataFrame([], DOCS)).count() == 0
     assert mixing.mix_rows(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_free_names_of_shards(spark):
+    docs = spark.createDataFrame([(1, "a", 5, 6, 7)], "doc_id long, text string, shard int, shard_of_8 int, SLOT int")
+    assert sharding.shard_documents(docs).columns == ["doc_id", "text", "shard", "shard_of_8", "SLOT", "shard_of_8_2", "slot_of_8"]

@@ -1,5 +1,8 @@
 import zlib
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from calipers.llm import toxicity as t
 
 SF = "/root/testdata/sf0.01"
@@ -67,3 +70,15 @@ def test_learnt_insults_need_many_contexts(spark):
     rows = [(i, f"{chr(97 + i) * 4} zarg {chr(97 + i) * 5}", 1) for i in range(26)] + [(100 + i, "plain copied words stay", 1) for i in range(30)]
     rows += [(200 + i, f"nice{i} talk here", 0) for i in range(300)]
     assert t.learn_insults(spark.createDataFrame(rows, "id long, text string, toxic int").select("text", "toxic")) == ["zarg"]
+
+
+def test_many_clauses_count_more(spark):
+    text = lambda n: " ".join(["you are an idiot."] * n)
+    docs = spark.createDataFrame([(n, text(n)) for n in (0, 1, 3, 4, 40)], "doc_id long, text string")
+    model = t.Model([], -8.0, list(t.MATCHES.values()))
+    rows = sorted(t.score(docs, model).collect())
+    assert [r.aimed for r in rows] == [0, 1, 3, 4, 40]
+    linear = [-8.0, -5.0, 1.0, -8 + 3 * (3 + np.log(2)), -8 + 3 * (3 + np.log(38))]
+    assert np.allclose([r.score for r in rows], 1 / (1 + np.exp(-np.array(linear))))
+    kept = {r.doc_id for r in t.drop_toxic(docs.withColumn("aimed", F.lit(1)), model).collect()}
+    assert kept == {r.doc_id for r in rows if r.score < 0.5}
