@@ -9,15 +9,19 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parent
+#: Bytes of rows that go to a Python worker at once; Spark bounds only their number by itself, and texts may be long.
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once for each Spark context.
 
     Python workers import kernels by name, so they need the package wherever the
-    driver was started.
+    driver was started. Where the session does not bound the bytes of their batches, that is set, too.
     """
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, str(2**31 - 1), "2147483647b"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if getattr(sc, "_calipers_shipped", False):
         return
     archive = Path(tempfile.mkdtemp(prefix="calipers-ship-")) / "calipers_package.zip"
