@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calipers.functions.shapes import whole
-from calipers.operators.tiles import label_runs
+from calipers.operators.tiles import forest_runs, label_runs
 from calipers.runtime import settle
 
 # Luminance weights of r, g, b (in 1/10000), and the 14-bit grey weights.
@@ -136,39 +136,6 @@ def _entry_cutoff() -> Column:
     return F.greatest(percent, F.lit(FIRST_CUTOFF))
 
 
-def _merged(pieces: DataFrame) -> DataFrame:
-    """Join pieces of a row that follow each other without a gap."""
-    row = Window.partitionBy("image_id", "y").orderBy("x0").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    start = F.col("x1") - F.sum(F.col("x1") - F.col("x0") + 1).over(row)
-    return (
-        pieces.withColumn("island", start)
-        .groupBy("image_id", "y", "island")
-        .agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"))
-        .drop("island")
-    )
-
-
-def _judged(pieces: DataFrame, tried: DataFrame, speck_share: float) -> DataFrame:
-    """Labelled runs of the (image, cutoff) pairs whose components cover enough of the image.
-
-    The pair takes the place of the image in the component search.
-    """
-    picture = F.struct("image_id", "cutoff").alias("image_id")
-    masks = pieces.join(tried.select("image_id", "cutoff"), on="image_id").where("level <= cutoff")
-    runs = label_runs(_merged(masks.select(picture, "y", "x0", "x1")))
-    sizes = tried.select(picture, "img_w", "img_h")
-    kept = settle(drop_specks(component_areas(runs), sizes, speck_share))
-    passed = (
-        kept.groupBy("image_id", "img_w", "img_h").agg(F.sum("area").alias("covered"))
-        .where(F.col("covered") > F.col("img_w") * F.col("img_h") * F.lit(MIN_FOREGROUND_SHARE))
-        .groupBy("image_id.image_id").agg(F.min("image_id.cutoff").alias("cutoff"))
-    )
-    chosen = kept.select("image_id", "label", "area").join(passed.select(picture), on="image_id")
-    return runs.join(chosen, on=["image_id", "label"]).select(
-        "image_id.image_id", "image_id.cutoff", "y", "x0", "x1", "label", "area"
-    )
-
-
 def adaptive_runs(
     pixels: DataFrame, sizes: DataFrame | None = None, speck_share: float = MIN_COMPONENT_SHARE
 ) -> DataFrame:
@@ -176,42 +143,52 @@ def adaptive_runs(
 
     The cutoff is the first one, from 95 % in steps of 1 %, whose components (without
     specks) cover more than a tenth of the image; at 100 % all pixels count. Pixels are
-    read once and packed into runs that enter at the same cutoff. An image starts at the
-    first cutoff with enough dark pixels; the few images that fail there (too much of it
-    in specks) are tried at all later cutoffs together. `sizes` (image_id, img_w, img_h)
-    saves measuring the images.
+    read once and packed into runs that enter at the same cutoff; the components of all cutoffs come from
+    one merge forest. `sizes` (image_id, img_w, img_h) gives the sizes of the images; without it an image is as
+    large as its pixels reach, so it has to be given where white pixels have no rows.
     Columns: image_id, cutoff, y, x0, x1, label, area.
     """
     steps = list(range(FIRST_CUTOFF, LAST_CUTOFF))
     dark = pixels.select("image_id", "x", "y", _entry_cutoff().alias("level")).where(F.col("level") < LAST_CUTOFF)
-    pieces = settle(mask_runs(dark, "level"))
-    length = F.col("x1") - F.col("x0") + 1
-    counts = pieces.groupBy("image_id").agg(
-        *[F.sum(F.when(F.col("level") <= c, length).otherwise(0)).alias(f"n{c}") for c in steps]
-    )
     sizes = image_sizes(pixels) if sizes is None else sizes.select("image_id", "img_w", "img_h")
-    enough = F.col("img_w") * F.col("img_h") * F.lit(MIN_FOREGROUND_SHARE)
-    first = F.coalesce(*[F.when(F.col(f"n{c}") > enough, F.lit(c)) for c in steps], F.lit(LAST_CUTOFF))
-    images = settle(sizes.join(counts, on="image_id", how="left").select("image_id", "img_w", "img_h",
-                                                                         first.alias("cutoff")))
-    found = settle(_judged(pieces, images.where(F.col("cutoff") < LAST_CUTOFF), speck_share))
-    open_images = settle(images.join(found.select("image_id").distinct(), on="image_id", how="left_anti"))
-    later = open_images.where(F.col("cutoff") < LAST_CUTOFF - 1)
-    if not later.isEmpty():
-        tries = later.withColumn("cutoff", F.explode(F.sequence(F.col("cutoff") + 1, F.lit(LAST_CUTOFF - 1))))
-        more = settle(_judged(pieces, tries, speck_share))
-        found = found.unionByName(more)
-        open_images = open_images.join(more.select("image_id").distinct(), on="image_id", how="left_anti")
-    everything = open_images.select(
+    pieces, whole = forest_runs(mask_runs(dark, "level"), steps)
+    parts = pieces.select(
+        "image_id", (F.col("x1") - F.col("x0") + 1).alias("length"), F.posexplode("labels").alias("k", "label")
+    ).where("label is not null").groupBy("image_id", (F.col("k") + FIRST_CUTOFF).alias("cutoff"), "label").agg(
+        F.sum("length").alias("area")
+    )
+    if whole is not None:
+        parts = _whole(parts, whole).groupBy("image_id", "cutoff", "label").agg(F.sum("area").alias("area"))
+    kept = settle(drop_specks(parts, sizes, speck_share))
+    passed = (
+        kept.groupBy("image_id", "img_w", "img_h", "cutoff").agg(F.sum("area").alias("covered"))
+        .where(F.col("covered") > F.col("img_w") * F.col("img_h") * F.lit(MIN_FOREGROUND_SHARE))
+        .groupBy("image_id").agg(F.min("cutoff").alias("cutoff"))
+    )
+    chosen = settle(sizes.join(passed, on="image_id", how="left").fillna({"cutoff": LAST_CUTOFF}))
+    labelled = pieces.join(chosen.where(F.col("cutoff") < LAST_CUTOFF), on="image_id").select(
+        "image_id", "cutoff", "y", "x0", "x1", F.get("labels", F.col("cutoff") - FIRST_CUTOFF).alias("label")
+    ).where("label is not null")
+    if whole is not None:
+        labelled = _whole(labelled, whole)
+    found = labelled.join(kept.select("image_id", "cutoff", "label", "area"), on=["image_id", "cutoff", "label"])
+    everything = chosen.where(F.col("cutoff") == LAST_CUTOFF).select(
         "image_id",
-        F.lit(LAST_CUTOFF).alias("cutoff"),
+        "cutoff",
         F.explode(F.sequence(F.lit(0), (F.col("img_h") - 1).cast("int"))).alias("y"),
         F.lit(0).alias("x0"),
         (F.col("img_w") - 1).cast("int").alias("x1"),
         F.lit(0).cast("long").alias("label"),
         (F.col("img_w") * F.col("img_h")).cast("long").alias("area"),
     )
-    return found.unionByName(everything)
+    return found.select(everything.columns).unionByName(everything)
+
+
+def _whole(parts: DataFrame, whole: DataFrame) -> DataFrame:
+    """The labels of components that cross tile borders in place of those of their parts."""
+    return parts.join(whole, on=["image_id", "cutoff", "label"], how="left").withColumn(
+        "label", F.coalesce("least", "label")
+    ).drop("least")
 
 
 def silhouette_boxes(runs: DataFrame) -> DataFrame:

@@ -27,8 +27,8 @@ def run_id() -> Column:
     return F.col("y").cast("long") * 2**32 + F.col("x0")
 
 
-def _spread(tile: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
-    """Index of the first run of each run's component; runs sorted by tile, row and column."""
+def _touching(tile: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of runs in neighbouring rows that overlap; runs sorted by tile, row and column."""
     width = TILE + 2
     row = (tile * (TILE + 1) + y) * width
     below = row + width
@@ -37,16 +37,47 @@ def _spread(tile: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray) ->
     count = np.maximum(last - first, 0)
     a = np.repeat(np.arange(len(y)), count)
     b = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
-    label = np.arange(len(y))
+    return a, b
+
+
+def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Let joined runs share the least label, in place; `label` holds the index of each run's root, before and after."""
     while True:
         la, lb = label[a], label[b]
         open_ = la != lb
         if not open_.any():
-            return label
+            return
         la, lb = la[open_], lb[open_]
         np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))
         while (label[label] != label).any():
-            label = label[label]
+            label[:] = label[label]
+
+
+def _spread(tile: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
+    """Index of the first run of each run's component; runs sorted by tile, row and column."""
+    label = np.arange(len(y))
+    _unite(label, *_touching(tile, y, x0, x1))
+    return label
+
+
+def _grown(
+    tile: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray, level: np.ndarray, cutoffs: list[int]
+) -> np.ndarray:
+    """For each run and cutoff, the index of the first run of its component then, or -1 before it enters.
+
+    The merge forest of the tile: edges are taken by the level at which both ends are there, each once.
+    """
+    a, b = _touching(tile, y, x0, x1)
+    beside = np.flatnonzero((tile[1:] == tile[:-1]) & (y[1:] == y[:-1]) & (x1[:-1] + 1 == x0[1:]))
+    a, b = np.append(a, beside), np.append(b, beside + 1)
+    both = np.maximum(level[a], level[b])
+    label, out, before = np.arange(len(y)), [], np.iinfo(np.int64).min
+    for cutoff in cutoffs:
+        now = (both > before) & (both <= cutoff)
+        _unite(label, a[now], b[now])
+        out.append(np.where(level <= cutoff, label, -1))
+        before = cutoff
+    return np.stack(out, axis=1)
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -59,10 +90,26 @@ def _tile_labels(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> I
         yield pd.Series([label[s : s + n] - s for s, n in zip(start, sizes)])
 
 
-def _in_tiles(runs: DataFrame) -> DataFrame:
+def _tile_forest(cutoffs: list[int]):
+    """The labels of each run of a tile at each cutoff, run by run."""
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def labels(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            sizes = columns[0].str.len().to_numpy()
+            y, x0, x1, level = (np.concatenate(c.to_list()).astype(np.int64) for c in columns)
+            found = _grown(np.repeat(np.arange(len(sizes)), sizes), y % TILE, x0 % TILE, x1 % TILE, level, cutoffs)
+            start = np.cumsum(sizes) - sizes
+            yield pd.Series([
+                np.where(own < 0, -1, own - s).ravel() for s, own in ((s, found[s: s + n]) for s, n in zip(start, sizes))
+            ])
+
+    return labels
+
+
+def _in_tiles(runs: DataFrame, *more: str) -> DataFrame:
     """Runs cut at the tile borders, with tile column tx and tile row ty."""
     cut = runs.select(
-        "image_id", "y", "x0", "x1", F.floor(F.col("y") / TILE).alias("ty"),
+        "image_id", "y", "x0", "x1", *more, F.floor(F.col("y") / TILE).alias("ty"),
         F.explode(F.sequence(F.floor(F.col("x0") / TILE), F.floor(F.col("x1") / TILE))).alias("tx"),
     )
     return cut.withColumns({
@@ -71,16 +118,16 @@ def _in_tiles(runs: DataFrame) -> DataFrame:
     })
 
 
-def _across_borders(pieces: DataFrame) -> DataFrame:
-    """Pairs of tile components that touch over a tile border: to the right or downwards."""
+def _across_borders(pieces: DataFrame, label: str = "label") -> DataFrame:
+    """Pairs of labels of pieces that touch over a tile border: to the right or downwards."""
     inner = lambda c: F.pmod(F.col(c), F.lit(TILE))
     left = pieces.where(inner("x1") == TILE - 1).select(
-        "image_id", "y", (F.col("x1") + 1).alias("x0"), F.col("label").alias("a"))
-    right = pieces.where(inner("x0") == 0).select("image_id", "y", "x0", F.col("label").alias("b"))
+        "image_id", "y", (F.col("x1") + 1).alias("x0"), F.col(label).alias("a"))
+    right = pieces.where(inner("x0") == 0).select("image_id", "y", "x0", F.col(label).alias("b"))
     upper = pieces.where(inner("y") == TILE - 1).select(
         "image_id", "tx", (F.col("y") + 1).alias("y"), F.col("x0").alias("ax0"), F.col("x1").alias("ax1"),
-        F.col("label").alias("a"))
-    lower = pieces.where(inner("y") == 0).select("image_id", "tx", "y", "x0", "x1", F.col("label").alias("b"))
+        F.col(label).alias("a"))
+    lower = pieces.where(inner("y") == 0).select("image_id", "tx", "y", "x0", "x1", F.col(label).alias("b"))
     sideways = left.join(right, on=["image_id", "y", "x0"]).select("image_id", "a", "b")
     down = upper.join(lower, on=["image_id", "tx", "y"]).where("ax0 <= x1 and x0 <= ax1").select("image_id", "a", "b")
     return sideways.unionByName(down).distinct()
@@ -109,3 +156,35 @@ def label_runs(runs: DataFrame) -> DataFrame:
     return pieces.join(whole, on=["image_id", "label"], how="left").select(
         "image_id", "y", "x0", "x1", F.coalesce("least", "label").alias("label")
     )
+
+
+def forest_runs(runs: DataFrame, cutoffs: list[int]) -> tuple[DataFrame, DataFrame | None]:
+    """Components of a mask that grows from cutoff to cutoff, in one labelling pass.
+
+    runs: image_id, y, x0, x1, level (the first cutoff at which the run is there). Gives the runs, cut at
+    tile borders, with `labels`: the label of the run's tile component at each cutoff, null before it enters; and, where
+    components cross tile borders, (image_id, cutoff, label, least): the label of the whole component.
+    """
+    packed = _in_tiles(runs, "level").groupBy("image_id", "ty", "tx").agg(
+        F.array_sort(F.collect_list(F.struct("y", "x0", "x1", "level"))).alias("r")
+    )
+    roots = packed.select("image_id", "tx", "r", _tile_forest(cutoffs)("r.y", "r.x0", "r.x1", "r.level").alias("root"))
+
+    def label(i: Column, k: int) -> Column:
+        root = F.get("root", i * len(cutoffs) + k)
+        head = F.get("r", root)
+        return F.when(root >= 0, head["y"].cast("long") * 2**32 + head["x0"])
+
+    pieces = settle(roots.select("image_id", "tx", F.inline(F.transform("r", lambda p, i: F.struct(
+        *(p[c].alias(c) for c in ("y", "x0", "x1", "level")),
+        F.array(*(label(i, k) for k in range(len(cutoffs)))).alias("labels"),
+    )))))
+    pairs = F.arrays_zip(F.array(*map(F.lit, cutoffs)).alias("cutoff"), F.col("a"), F.col("b"))
+    edges = _across_borders(pieces, "labels").select("image_id", F.inline(pairs)).where("a is not null and b is not null")
+    found = component_labels(
+        edges.select(F.struct("image_id", "cutoff").alias("image_id"), "a", "b").distinct(), "image_id"
+    )
+    whole = None if found is None else found.select(
+        "image_id.image_id", "image_id.cutoff", F.col("node").alias("label"), F.col("label").alias("least")
+    )
+    return pieces, whole

@@ -76,6 +76,33 @@ def boxes_with_border(boxes: DataFrame, config: L.DrawingConfig) -> DataFrame:
     return moved.withColumns({n: F.col(n) + F.col("border") for n in names})
 
 
+def measured_boxes(
+    pixels: DataFrame, images: DataFrame, speck_share: float = I.MIN_COMPONENT_SHARE
+) -> DataFrame:
+    """`images` (image_id, img_w, img_h and any more) with the boxes of their silhouettes, measured on the pixels.
+
+    Pixels are shuffled once, for their runs; boxes are reduced where the runs are. An image without a pixel
+    that is dark enough is measured whole.
+    """
+    runs = I.adaptive_runs(pixels, images, speck_share)
+    return I.silhouette_boxes(runs).join(images, on="image_id")
+
+
+def measured_plan(
+    pixels: DataFrame, images: DataFrame, segments: DataFrame, side_images: DataFrame, views: DataFrame, dims: DataFrame,
+    config: L.DrawingConfig, speck_share: float = I.MIN_COMPONENT_SHARE,
+) -> DataFrame:
+    """From pixels to the annotation plan in one lineage: boxes, border, front lines, side lines where they apply, labels.
+
+    `images`: image_id, oms_id, product_type, img_w, img_h of the front pictures; `segments` and `side_images`
+    are those of `side_layouts`, with image_id the item's number; `views`: oms_id, image_type; `dims` has <dim>_in.
+    """
+    boxes = boxes_with_border(measured_boxes(pixels, images, speck_share).drop("image_id"), config)
+    side = side_layouts(segments, side_images).withColumn("oms_id", F.col("image_id").cast("string")).drop("image_id")
+    modes = layout_by_mode(L.front_layout(boxes, config).join(views, on="oms_id"), side, config)
+    return annotation_plan(modes, dims, config)
+
+
 def side_layouts(segments: DataFrame, images: DataFrame) -> DataFrame:
     """Segments of side pictures -> dimension lines: group, order, filter, match, name."""
     edges = settle(S.edges_of(segments))

@@ -364,18 +364,24 @@ def _place(rows: str, box: float = CONFIG.text_box) -> str:
 
 
 _b = "cast(trunc(greatest(img_w, img_h) * 0.15::double) as bigint)"
-V["bordered"] = (["boxes"], f"""select *, img_w + 2 * border as bordered_w, img_h + 2 * border as bordered_h
-    from (select *, {_b} as border from boxes)""")
 _corner_names = [f"{m}_{a}{s}" for s in ("", "_bb") for a in "xy" for m in ("min", "max")]
-V["specs"] = (["bordered"], f"""select oms_id, product_type, border, bordered_w, bordered_h,
-    {', '.join(f'{n} + border as {n}' for n in _corner_names)},
-    cast(trunc(0.05::double * greatest(bordered_w, bordered_h)) as bigint) as line_margin,
-    cast(trunc(0.005::double * greatest(bordered_w, bordered_h)) as bigint) as line_width,
-    cast(trunc(0.04::double * greatest(img_w, img_h)) as bigint) as font_size from bordered""")
+
+
+def _spec_views(boxes: str, bordered: str) -> tuple[tuple[list[str], str], tuple[list[str], str]]:
+    """Boxes with a border, and everything moved into it, with the line sizes."""
+    return ([boxes], f"""select *, img_w + 2 * border as bordered_w, img_h + 2 * border as bordered_h
+        from (select *, {_b} as border from {boxes})"""), ([bordered], f"""select oms_id, product_type, border, bordered_w, bordered_h,
+        {', '.join(f'{n} + border as {n}' for n in _corner_names)},
+        cast(trunc(0.05::double * greatest(bordered_w, bordered_h)) as bigint) as line_margin,
+        cast(trunc(0.005::double * greatest(bordered_w, bordered_h)) as bigint) as line_width,
+        cast(trunc(0.04::double * greatest(img_w, img_h)) as bigint) as font_size from {bordered}""")
+
+
+V["bordered"], V["specs"] = _spec_views("boxes", "bordered")
 _tan = abs(math.tan(135 * math.pi / 180))
 
 
-def _front_rows(rug: bool) -> str:
+def _front_rows(rug: bool, specs: str = "specs") -> str:
     low, up = ("min_y * {0}::double + max_y * {1}::double".format(s, 1.0 - s) for s in (0.1, 0.3))
     depth = f"select *, min_x_bb as x1, {low} as y1, min_x_bb - (({low}) - ({up})) / {_tan!r}::double as x2, {up} as y2"
     if rug:
@@ -390,7 +396,7 @@ def _front_rows(rug: bool) -> str:
     keep = "oms_id, product_type, border, bordered_w, bordered_h, line_margin, line_width, font_size"
     return " union all ".join(
         f"""select {keep}, '{n}' as dim_name, {cols}, (min_x + max_x) / 2.0::double as center_x,
-        (min_y + max_y) / 2.0::double as center_y from ({p} from specs)""" for n, p in parts.items()
+        (min_y + max_y) / 2.0::double as center_y from ({p} from {specs})""" for n, p in parts.items()
     )
 
 
@@ -671,7 +677,11 @@ V["side_flag"] = (["side"], f"""select image_id, status, coalesce(least(h, d) *
     {_length('depth')} as d, {_dh['x']} * {_dd['x']} + {_dh['y']} * {_dd['y']} as dot from side group by image_id, status)""")
 add("really_front", "side_flag", """select image_id, status, case when fronted then 'yes' else 'no' end as really_front
     from side_flag""")
-V["mode"] = (["side_flag", "side", "front", "view_labels"], """select f.oms_id, f.product_type, f.border, f.bordered_w, f.bordered_h,
+
+
+def _plan_views(p: str, front: str) -> None:
+    """<p>mode: each item's lines by its view; <p>plan_why: everything that is drawn, with the reasons of failures."""
+    V[f"{p}mode"] = (["side_flag", "side", front, "view_labels"], f"""select f.oms_id, f.product_type, f.border, f.bordered_w, f.bordered_h,
     f.line_margin, f.line_width, f.font_size, f.dim_name, v.image_view as image_type,
     case when v.image_view = 'SIDE' and not g.fronted then 'SIDE' else 'FRONT' end as mode,
     case when v.image_view = 'SIDE' and g.status <> 'ok' then 'failed' else 'ok' end as status,
@@ -679,23 +689,26 @@ V["mode"] = (["side_flag", "side", "front", "view_labels"], """select f.oms_id,
         y1 := s.y1 + f.border, x2 := s.x2 + f.border, y2 := s.y2 + f.border,
         center_x := s.center_x + f.border, center_y := s.center_y + f.border) else struct_pack(x1 := f.x1, y1 := f.y1, x2 := f.x2, y2 := f.y2,
         center_x := f.center_x, center_y := f.center_y) end as spot
-    from front f join view_labels v using (oms_id) join side s on cast(s.image_id as varchar) = f.oms_id
+    from {front} f join view_labels v using (oms_id) join side s on cast(s.image_id as varchar) = f.oms_id
         and s.dim_name = f.dim_name join side_flag g on g.image_id = s.image_id where v.image_view <> 'neither'""")
+    V[f"{p}mode_swap"] = ([f"{p}mode", "item_numbers"], f"""select oms_id, image_type = 'FRONT' and product_type in ({_types}) and
+        coalesce(abs(m - depth_in / nullif(width_in, 0)) / nullif(depth_in / nullif(width_in, 0), 0)
+            <= abs(m - height_in / nullif(width_in, 0)) / nullif(height_in / nullif(width_in, 0), 0) * 0.6::double, false)
+            as swapped from (select oms_id, product_type, image_type,
+            {_measured} as m from (select *, spot.* from {p}mode) group by all)
+        join item_numbers using (oms_id)""")
+    V[f"{p}swapped_lines"] = ([f"{p}mode_swap"], f"""select m.* exclude (dim_name), s.swapped, spot.*,
+        case when s.swapped and dim_name = 'height' then 'depth' when s.swapped and dim_name = 'depth' then 'height'
+            else dim_name end as dim_name from {p}mode m join {p}mode_swap s using (oms_id)""")
+    _annotated_views(f"{p}plan", f"{p}swapped_lines", "texts")
+    V[f"{p}plan_why"] = ([f"{p}plan_moved"], f"""select *, case when min(status) over w <> 'ok' then 'no corners'
+        when bool_or(label is null) over w then 'no dimensions' when bool_or(px1 is null) over w then 'empty line' end as reason
+        from {p}plan_moved window w as (partition by oms_id)""")
+
+
+_plan_views("", "front")
 add("layout_mode", "mode", f"""select oms_id, image_type, mode, status, dim_name,
     {', '.join(f"{r6('spot.' + k)} as {k}" for k in ("x1", "y1", "x2", "y2", "center_x", "center_y"))} from mode""")
-V["mode_swap"] = (["mode", "item_numbers"], f"""select oms_id, image_type = 'FRONT' and product_type in ({_types}) and
-    coalesce(abs(m - depth_in / nullif(width_in, 0)) / nullif(depth_in / nullif(width_in, 0), 0)
-        <= abs(m - height_in / nullif(width_in, 0)) / nullif(height_in / nullif(width_in, 0), 0) * 0.6::double, false)
-        as swapped from (select oms_id, product_type, image_type,
-        {_measured} as m from (select *, spot.* from mode) group by all)
-    join item_numbers using (oms_id)""")
-V["swapped_lines"] = (["mode_swap"], """select m.* exclude (dim_name), s.swapped, spot.*,
-    case when s.swapped and dim_name = 'height' then 'depth' when s.swapped and dim_name = 'depth' then 'height'
-        else dim_name end as dim_name from mode m join mode_swap s using (oms_id)""")
-_annotated_views("plan", "swapped_lines", "texts")
-V["plan_why"] = (["plan_moved"], """select *, case when min(status) over w <> 'ok' then 'no corners'
-    when bool_or(label is null) over w then 'no dimensions' when bool_or(px1 is null) over w then 'empty line' end as reason
-    from plan_moved window w as (partition by oms_id)""")
 # The depth text stands beside its line without a box, the others in the middle of theirs.
 _beside = {"x": "least(mpx1, mpx2) * 0.4::double", "y": "(mpy1 + mpy2) * 0.5 + abs(mpx1 - mpx2) * 0.1::double"}
 _plan_xy = ", ".join([
@@ -703,10 +716,29 @@ _plan_xy = ", ".join([
     *(f"{r6(f"case when dim_name <> 'depth' then m{k} end")} as {k}" for k in ("bx1", "by1", "bx2", "by2")),
     *(f"{r6(f"case when dim_name = 'depth' then {_beside[k]} else (mb{k}1 + mb{k}2) / 2 end")} as text_{k}" for k in "xy"),
 ])
-add("annotation_plan", "plan_why", f"""select oms_id, product_type, mode, case when swapped then 'yes' else 'no' end as swapped,
+
+
+def _plan_rows(p: str) -> str:
+    return f"""select oms_id, product_type, mode, case when swapped then 'yes' else 'no' end as swapped,
     cw as canvas_w, ch as canvas_h, line_width, font_size, case when reason is null then 'ok' else 'failed' end as status,
     reason, dim_name, label, case when dim_name = 'depth' then 'left' else 'center' end as text_align, {_plan_xy}
-    from plan_why""")
+    from {p}plan_why"""
+
+
+add("annotation_plan", "plan_why", _plan_rows(""))
+# The pictures of several sizes are the small ones, scaled, and so are the boxes measured on them.
+V["sized"] = (["cut_boxes"], f"""select image_id, cast(image_id as varchar) as oms_id, p_type as product_type, k * 24 as img_w,
+    k * 20 as img_h, min(min_x) {_big} * k as min_x, (max(max_x) {_big} + 1) * k - 1 as max_x, min(min_y) {_big} * k as min_y,
+    (max(max_y) {_big} + 1) * k - 1 as max_y, min(min_x) * k as min_x_bb, (max(max_x) + 1) * k - 1 as max_x_bb,
+    min(min_y) * k as min_y_bb, (max(max_y) + 1) * k - 1 as max_y_bb from (select *, max(area) over (partition by image_id) as largest,
+        case when image_id % 100 = 7 then 12 else p_size % 3 + 1 end as k from cut_boxes join part on p_partkey = image_id)
+    group by image_id, p_type, k""")
+add("measured_boxes", "sized", f"""select image_id, cast(img_w as int) as img_w, cast(img_h as int) as img_h,
+    {', '.join(f'cast({n} as int) as {n}' for n in _corner_names)} from sized""")
+V["m_bordered"], V["m_specs"] = _spec_views("sized", "m_bordered")
+V["m_front"] = (["m_specs"], _front_rows(False, "m_specs"))
+_plan_views("m_", "m_front")
+add("measured_plan", "m_plan_why", _plan_rows("m_"))
 V["rug_numbers"] = (["rug_rows"], """select oms_id, min(width_in) as width_in, min(height_in) as height_in,
     min(depth_in) as depth_in from rug_rows group by oms_id""")
 V["rug_labels_of"] = (["rug_numbers"], f"""select oms_id, dim_name, case dim_name

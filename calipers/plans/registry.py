@@ -562,6 +562,25 @@ def annotation_plan(spark, d):
     return rounded(plan.select(*[c for c in plan.columns if c != "at"], "at.*"))
 
 
+@query
+def measured_boxes(spark, d):
+    boxes = jobs.measured_boxes(V.picture_pixels(spark, d), V.pictures(spark, d), SPECK_SHARE)
+    return boxes.select("image_id", "img_w", "img_h", *[f"{m}_{a}{s}" for s in ("", "_bb") for a in "xy" for m in ("min", "max")])
+
+
+@query
+def measured_plan(spark, d):
+    """The annotation plan of pictures of several sizes, measured on their pixels."""
+    views = V.view_labels(spark, d).where(F.col("image_view") != "neither").select(
+        "oms_id", F.col("image_view").alias("image_type")
+    )
+    plan = jobs.measured_plan(
+        V.picture_pixels(spark, d), V.pictures(spark, d), V.outline_segments(spark, d), _outline_images(spark, d), views,
+        _dims(spark, d), CONFIG, SPECK_SHARE,
+    ).withColumn("swapped", _flag(F.col("swapped")))
+    return rounded(plan.select(*[c for c in plan.columns if c != "at"], "at.*"))
+
+
 @query
 def rug_plan(spark, d):
     """One row per line and end cap."""

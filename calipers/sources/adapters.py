@@ -206,6 +206,27 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.join(palette, on=["p_size", "kind"]).select("image_id", "x", "y", "r", "g", "b")
 
 
+def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Front pictures of several sizes, one per part: 1 to 3 times the small one, a few 12 times (288 x 240)."""
+    key = F.col("p_partkey")
+    scale = F.when(key % 100 == 7, 12).otherwise(F.col("p_size") % 3 + 1)
+    return table(spark, sf_dir, "part").select(
+        key.alias("image_id"), _text(key).alias("oms_id"), F.col("p_type").alias("product_type"),
+        (scale * IMAGE_WIDTH).alias("img_w"), (scale * IMAGE_HEIGHT).alias("img_h"),
+    )
+
+
+def picture_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pixels of `pictures`: those of the small ones, each a square of pixels."""
+    sizes = pictures(spark, sf_dir).select("image_id", (F.col("img_w") / IMAGE_WIDTH).cast("int").alias("k"))
+    steps = F.sequence(F.lit(0), F.col("k") - 1)
+    wide = pixels(spark, sf_dir).join(sizes, on="image_id").withColumn("dx", F.explode(steps))
+    return wide.withColumn("dy", F.explode(steps)).select(
+        "image_id", (F.col("x") * F.col("k") + F.col("dx")).alias("x"), (F.col("y") * F.col("k") + F.col("dy")).alias("y"),
+        "r", "g", "b",
+    )
+
+
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short line segments, one per order and line number (the least row where several share them)."""
     least = (
@@ -302,5 +323,5 @@ def stored_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Temp views under the feed names, for SQL users."""
     for make in (items, attributes, item_attributes, merged_images, image_urls, attribute_snapshots, rugs, boxes,
-                 pixels, segments, outline_segments, view_candidates, view_labels, stored_images, feed_paths):
+                 pixels, pictures, picture_pixels, segments, outline_segments, view_candidates, view_labels, stored_images, feed_paths):
         make(spark, sf_dir).createOrReplaceTempView(make.__name__)

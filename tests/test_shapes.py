@@ -4,6 +4,7 @@ hold many segments, or exceed the sizes handled in one call."""
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from calipers.operators import rings as R
 from calipers.operators import segments as S
 from calipers.operators import silhouette as I
 from calipers.operators import tiles
+from calipers.plans import jobs
 
 
 def _flood(points):
@@ -248,3 +250,49 @@ def test_renumber_over_blocks(spark, monkeypatch):
     ring = spark.createDataFrame([(1, p, str(p)) for p in (0, 2, 3, 7, 8, 11)], "image_id int, pos int, v string")
     got = [(r.pos, r.v) for r in R.renumber(ring).orderBy("pos").collect()]
     assert got == list(enumerate(["0", "2", "3", "7", "8", "11"]))
+
+
+def test_merge_forest_over_tiles(spark):
+    """Random pictures of several tiles: at every cutoff the forest has the components of a plain flood."""
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for image, (w, h) in enumerate([(300, 20), (20, 290), (270, 270), (5, 5)]):
+        grey = rng.choice([0, 244, 246, 249, 251, 255], (h, w), p=[0.3, 0.15, 0.1, 0.1, 0.05, 0.3])
+        level = np.maximum(95, np.ceil(grey * 100 / 255).astype(int))
+        ys, xs = np.nonzero(level < 100)
+        rows += [(image, int(x), int(y), *[int(grey[y, x])] * 3) for y, x in zip(ys, xs)]
+        for cutoff in range(95, 100):
+            own = {(y, x) for y, x in zip(*np.nonzero(level <= cutoff))}
+            sizes = []
+            while own:
+                todo, size = [own.pop()], 0
+                while todo:
+                    y, x = todo.pop()
+                    size += 1
+                    for near in ((y + 1, x), (y - 1, x), (y, x + 1), (y, x - 1)):
+                        if near in own:
+                            own.remove(near)
+                            todo.append(near)
+                sizes.append(size)
+            want[image, cutoff] = sorted(sizes)
+    pixels = spark.createDataFrame(rows, "image_id int, x int, y int, r int, g int, b int")
+    pieces, whole = tiles.forest_runs(I.mask_runs(pixels.select("image_id", "x", "y", I._entry_cutoff().alias("level")).where("level < 100"), "level"),
+                                   [95, 96, 97, 98, 99])
+    parts = pieces.select("image_id", (F.col("x1") - F.col("x0") + 1).alias("n"), F.posexplode("labels").alias("k", "label")).where("label is not null")
+    parts = I._whole(parts.withColumn("cutoff", F.col("k") + 95), whole)
+    got = {}
+    for r in parts.groupBy("image_id", "cutoff", "label").agg(F.sum("n").alias("n")).collect():
+        got.setdefault((r.image_id, r.cutoff), []).append(r.n)
+    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in want.items() if v}
+
+
+def test_sizes_hold_without_white_pixels(spark):
+    """An image whose white pixels have no rows is as large as `sizes` says."""
+    rows = [(1, x, y, 0, 0, 0) for x in range(10) for y in range(10)]
+    pixels = spark.createDataFrame(rows, "image_id int, x int, y int, r int, g int, b int")
+    sizes = spark.createDataFrame([(1, 100, 100, "a"), (2, 3, 2, "b")], "image_id int, img_w int, img_h int, oms_id string")
+    got = {r.image_id: r for r in jobs.measured_boxes(pixels, sizes).collect()}
+    assert (got[1].max_x, got[1].max_y) == (99, 99)  # 1 % of the picture: measured whole
+    assert (got[2].max_x, got[2].max_y_bb, got[2].oms_id) == (2, 1, "b")
+    small = spark.createDataFrame([(1, 20, 20)], "image_id int, img_w int, img_h int")
+    assert jobs.measured_boxes(pixels, small).first().max_x == 9
