@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calipers.functions.shapes import whole
-from calipers.operators.tiles import forest_runs, label_runs
+from calipers.operators.tiles import forest_runs, label_runs, smooth_tiles
 from calipers.runtime import settle
 
 # Luminance weights of r, g, b (in 1/10000), and the 14-bit grey weights.
@@ -48,28 +48,10 @@ def grey(weights: tuple[int, int, int] = GREY_RGB) -> Column:
     return F.shiftright(total.cast("long"), GREY_BITS)
 
 
-def _neighbours(value: str, by: str, along: str) -> Column:
-    """Twice `value` plus both neighbours along an axis; the picture is mirrored at its edges.
-
-    A missing pixel counts as an edge. One row or column is one window group.
-    """
-    w = Window.partitionBy("image_id", by).orderBy(along)
-    back = F.when(F.lag(along).over(w) == F.col(along) - 1, F.lag(value).over(w))
-    ahead = F.when(F.lead(along).over(w) == F.col(along) + 1, F.lead(value).over(w))
-    centre = F.col(value)
-    return centre * 2 + F.coalesce(back, ahead, centre) + F.coalesce(ahead, back, centre)
-
-
 def smoothed(pixels: DataFrame, weights: tuple[int, int, int] = GREY_SWAPPED) -> DataFrame:
-    """(image_id, x, y, level): grey values after a 3x3 smoothing with weights 1 2 1 both ways.
-
-    Columns first, then rows: the runs taken afterwards are grouped by row too and
-    need no further exchange.
-    """
-    grey_px = pixels.select("image_id", "x", "y", grey(weights).alias("v"))
-    down = grey_px.select("image_id", "x", "y", _neighbours("v", "x", "y").alias("v"))
-    across = down.select("image_id", "x", "y", _neighbours("v", "y", "x").alias("v"))
-    return across.select("image_id", "x", "y", F.shiftright(F.col("v") + 8, 4).alias("level"))
+    """(image_id, x, y, level): grey values after a 3x3 smoothing with weights 1 2 1 both ways."""
+    total = smooth_tiles(pixels.select("image_id", "x", "y", grey(weights).alias("v")))
+    return total.select("image_id", "x", "y", F.shiftright(F.col("v") + 8, 4).alias("level"))
 
 
 def contour_mask(pixels: DataFrame, threshold: int = CONTOUR_THRESHOLD) -> DataFrame:

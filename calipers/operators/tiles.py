@@ -12,12 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from calipers.operators.components import component_labels
-from calipers.runtime import settle
+from calipers.runtime import settle, ship
 
 TILE = 256  # pixels; a tile holds at most 256 * 128 runs
 
@@ -27,6 +28,88 @@ def run_id() -> Column:
     return F.col("y").cast("long") * 2**32 + F.col("x0")
 
 
+def _places(image: np.ndarray, ty: np.ndarray, tx: np.ndarray) -> np.ndarray:
+    """Where a new tile begins; rows of a tile stand together."""
+    new = np.ones(len(ty), dtype=bool)
+    new[1:] = (image[1:] != image[:-1]) | (ty[1:] != ty[:-1]) | (tx[1:] != tx[:-1])
+    return np.flatnonzero(new)
+
+
+def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """The rows of a partition that is sorted by tile, cut where a tile ends, with the number of each row's tile."""
+    rest: list[pa.RecordBatch] = []
+    held = 0
+
+    def numbered(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+        begins = _places(*(table.column(c).to_numpy() for c in ("image_id", "ty", "tx")))
+        number = np.zeros(table.num_rows, dtype=np.int64)
+        number[begins[1:]] = 1
+        return table, np.cumsum(number)
+
+    for batch in batches:
+        rest.append(batch)
+        held += batch.num_rows
+        if held >= 2 * TILE * TILE:
+            table = pa.Table.from_batches(rest)
+            last = int(_places(*(table.column(c).to_numpy() for c in ("image_id", "ty", "tx")))[-1])
+            if last:
+                yield numbered(table.slice(0, last))
+                rest = table.slice(last).to_batches()
+                held = table.num_rows - last
+    if held:
+        yield numbered(pa.Table.from_batches(rest))
+
+
+def _blurred(key: np.ndarray, value: np.ndarray, step: int, column: np.ndarray) -> np.ndarray:
+    """Twice the value plus both neighbours at `step` keys; a missing neighbour is the other one, or else the pixel itself.
+
+    The keys ascend; a step to the side stays in the row, as the outermost columns have no neighbour beyond.
+    """
+    def beside(shift: int, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(key, key + shift), len(key) - 1)
+        return (key[at] == key + shift) & inside, value[at]
+
+    there = np.ones(len(key), dtype=bool)
+    (has_back, back), (has_ahead, ahead) = (
+        beside(-step, column > 0 if step == 1 else there), beside(step, column < TILE + 1 if step == 1 else there)
+    )
+    first = np.where(has_back, back, np.where(has_ahead, ahead, value))
+    second = np.where(has_ahead, ahead, np.where(has_back, back, value))
+    return 2 * value + first + second
+
+
+def smooth_tiles(pixels: DataFrame) -> DataFrame:
+    """(image_id, x, y, v): sixteen times the mean of v with weights 1 2 1 both ways; the picture is mirrored at its edges.
+
+    Tiles get the pixels next to their border as well (a halo), so one exchange is enough, and a picture of
+    any size is many tiles. A missing pixel counts as an edge.
+    """
+    ship(pixels.sparkSession)
+    near = lambda c: F.array_distinct(F.array(*(F.floor((F.col(c) + d) / TILE).cast("int") for d in (-1, 0, 1))))
+    kinds = {f.name: f.dataType.simpleString() for f in pixels.schema.fields}
+    dealt = pixels.select("image_id", "x", "y", F.col("v").cast("long").alias("v"), F.explode(near("y")).alias("ty")).select(
+        "*", F.explode(near("x")).alias("tx")
+    ).where("tx >= 0 and ty >= 0")
+    key = ["image_id", "ty", "tx"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, tile in _whole_tiles(batches):
+            x, y, ty, tx, v = (table.column(c).to_numpy().astype(np.int64) for c in ("x", "y", "ty", "tx", "v"))
+            row, column = y - ty * TILE + 1, x - tx * TILE + 1
+            width = TILE + 2
+            at = (tile * width + row) * width + column
+            # a row above or below belongs to another tile only beyond the halo, where no own pixel looks
+            down = _blurred(at, v, width, column)
+            across = _blurred(at, down, 1, column)
+            own = pa.array((row > 0) & (row <= TILE) & (column > 0) & (column <= TILE))
+            out = table.select(["image_id", "x", "y"]).append_column("v", pa.array(across)).filter(own)
+            yield from out.to_batches()
+
+    return dealt.repartition(*key).sortWithinPartitions(*key, "y", "x").mapInArrow(
+        run, f"image_id {kinds['image_id']}, x {kinds['x']}, y {kinds['y']}, v long"
+    )
+
+
 def _touching(tile: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of runs in neighbouring rows that overlap; runs sorted by tile, row and column."""
     width = TILE + 2

@@ -296,3 +296,29 @@ def test_sizes_hold_without_white_pixels(spark):
     assert (got[2].max_x, got[2].max_y_bb, got[2].oms_id) == (2, 1, "b")
     small = spark.createDataFrame([(1, 20, 20)], "image_id int, img_w int, img_h int")
     assert jobs.measured_boxes(pixels, small).first().max_x == 9
+
+
+def test_smoothing_over_tiles(spark):
+    """Pictures of several tiles, some with holes, against a plain filter that mirrors at missing pixels."""
+    rng = np.random.default_rng(4)
+    rows, want = [], {}
+    for image, (w, h, holes) in enumerate([(300, 6, 0), (5, 520, 0), (258, 259, 0.3), (1, 1, 0), (2, 3, 0), (257, 257, 0.05)]):
+        value = {(x, y): int(rng.integers(256)) for x in range(w) for y in range(h) if rng.random() >= holes}
+
+        def filtered(of, dx, dy):
+            out = {}
+            for (x, y), v in of.items():
+                back, ahead = of.get((x - dx, y - dy)), of.get((x + dx, y + dy))
+                first = back if back is not None else ahead if ahead is not None else v
+                second = ahead if ahead is not None else back if back is not None else v
+                out[x, y] = 2 * v + first + second
+            return out
+
+        rows += [(image, x, y, v, v, v) for (x, y), v in value.items()]
+        want |= {(image, x, y): (v + 8) >> 4 for (x, y), v in filtered(filtered(value, 0, 1), 1, 0).items()}
+    pixels = spark.createDataFrame(rows, "image_id int, x int, y int, r int, g int, b int").repartition(7)
+    got = {(r.image_id, r.x, r.y): r.level for r in I.smoothed(pixels).collect()}
+    assert got == want
+    plan = I.smoothed(pixels)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2  # one is that of repartition(7)
+    assert I.smoothed(pixels.limit(0)).count() == 0
