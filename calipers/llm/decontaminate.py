@@ -23,15 +23,16 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calipers.llm.common import packed, text_of
+from calipers.llm.common import packed, stored, text_of
 from calipers.llm.words import groups_of, mixed, words_of
 from calipers.runtime import ship
 
 SIMILARITY = 0.8
-#: Items of fewer words are too common to be evidence of a leak and are not searched.
+#: Items of fewer words allow no edit and are found by equality. They are too common to drop a document for.
 LEAST_WORDS = 5
 SAMPLES, WALKS = 3, 4
 #: Samplings of a walk at most, and words of items at most that are walked; beyond, stretches are verified directly.
@@ -172,6 +173,7 @@ class Index:
     ids: list
     words: list[np.ndarray]
     classes: list[SizeClass | ExactClass]
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # by number of words: hashes of whole items, ascending, and their numbers
     known: np.ndarray  # slots of word pairs that occur in the items
 
     def pairs_known(self, words: np.ndarray) -> np.ndarray:
@@ -188,20 +190,37 @@ def _pair_slots(words: np.ndarray, slots: int) -> np.ndarray:
     return _low(_pairs(words), slots)
 
 
-def build_index(ids: list, texts: list[str], target: float) -> Index:
+def _sequences(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash for every run of n words."""
+    out = np.zeros(max(0, len(words) - n + 1), dtype=np.uint64)
+    for k in range(n):
+        out = mixed(out + words[k: k + len(out)])
+    return out
+
+
+def build_index(ids: list, texts: list[str], target: float, least_words: int = 1) -> Index:
+    """Items of fewer than `least_words` words are left out."""
     found = words_of(texts)
     words = [found.hashes[found.first[i]: found.first[i + 1]] for i in range(len(texts))]
     known = np.zeros(1 << max(20, (32 * len(found.hashes)).bit_length()), dtype=bool)
     by_class: dict[int, list[int]] = {}
+    by_size: dict[int, list[int]] = {}
     for i, w in enumerate(words):
-        if len(w) >= LEAST_WORDS:
+        if least_words <= len(w) < LEAST_WORDS and len(w):
+            by_size.setdefault(len(w), []).append(i)
+        elif len(w) >= max(LEAST_WORDS, least_words):
             known[_pair_slots(w, len(known))[:-1]] = True
             by_class.setdefault(int(math.log(len(w)) / math.log(1.15)), []).append(i)
     classes = []
     for items in by_class.values():
         sizes = [len(words[i]) for i in items]
         classes.append(size_class(min(sizes), max(sizes), items, words, target))
-    return Index(ids, words, classes, known)
+    short = {}
+    for n, items in by_size.items():
+        keys = np.concatenate([_sequences(words[i], n) for i in items])
+        order = np.argsort(keys, kind="stable")
+        short[n] = keys[order], np.array(items)[order]
+    return Index(ids, words, classes, short, known)
 
 
 def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -310,6 +329,23 @@ def _verify_all(
                 best[key] = min(found, best.get(key, found))
 
 
+def _equal(
+    index: Index, hashes: np.ndarray, first: np.ndarray, of_text: np.ndarray, offset: int, best: dict[tuple[int, int], tuple[int, int, int]],
+) -> None:
+    """The first place of every short item in every text that holds it."""
+    for n, (keys, items) in index.short.items():
+        runs = _sequences(hashes, n)
+        at = np.flatnonzero(of_text[: len(runs)] == of_text[n - 1: n - 1 + len(runs)])
+        a = np.searchsorted(keys, runs[at], side="left")
+        times = np.searchsorted(keys, runs[at], side="right") - a
+        hit = np.flatnonzero(times)
+        for place, begin, number in zip(at[hit].tolist(), a[hit].tolist(), times[hit].tolist(), strict=True):
+            text = int(of_text[place])
+            start = place - int(first[text])
+            for item in items[begin: begin + number].tolist():
+                best.setdefault((text + offset, item), (0, start + n, start))
+
+
 def search(texts: list[str], index: Index) -> list[tuple[int, int, int, int, int, int]]:
     """(text, item, distance, item words, first word, end word) of every leak; the best place of each item in each text."""
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
@@ -320,6 +356,7 @@ def search(texts: list[str], index: Index) -> list[tuple[int, int, int, int, int
         if not len(found.hashes):
             continue
         of_text = np.repeat(np.arange(b - a), np.diff(found.first))
+        _equal(index, found.hashes, found.first, of_text, a, best)
         inside = index.pairs_known(found.hashes)
         ends = found.first[1:][of_text]
         for i, group in enumerate(index.classes):
@@ -341,26 +378,27 @@ def search(texts: list[str], index: Index) -> list[tuple[int, int, int, int, int
     ]
 
 
-def _indexes(benchmark: DataFrame, target: float) -> Iterator[Index]:
-    """The benchmark in blocks of bounded size, one after the other."""
+def _indexes(benchmark: DataFrame, target: float, least_words: int = 1) -> Iterator[tuple[Index, bool]]:
+    """The benchmark in blocks of bounded size, one after the other, and whether there are several."""
     items = benchmark.select("item_id", text_of(F.col("text")).alias("text"))
     total = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("c")).first()
     passes = max(1, math.ceil(total.n / BLOCK_ITEMS), math.ceil(total.c / BLOCK_CHARS))
     for number in range(passes):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == number)
         rows = block.orderBy("item_id", "text").collect()
-        yield build_index([r.item_id for r in rows], [r.text for r in rows], target)
+        yield build_index([r.item_id for r in rows], [r.text for r in rows], target, least_words), passes > 1
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, target: float = 0.99) -> DataFrame:
     """doc_id, item_id, distance, item_words, similarity, first_word, end_word: every document row with every item it holds.
 
     An item of n words is held where the word edit distance to some part of the document
-    is at most 0.2 n; the least distance found is given, at its earliest end.
+    is at most 0.2 n; the least distance found is given, at its earliest end. Items of under five words
+    thus have to stand there word by word.
 
-    Null or wordless documents hold nothing; items that are null or have under five words
-    are not searched. Repeated documents and items are reported each. Long documents are
-    searched whole. Without documents or items: no rows.
+    Null or wordless documents hold nothing, null or wordless items are held by none. Repeated documents and
+    items are reported each. Long documents are searched whole. Without documents or items: no rows.
+    Of a benchmark of several blocks, one is in memory at a time; the rows of each are written.
     """
     ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
@@ -380,25 +418,36 @@ def leaks(docs: DataFrame, benchmark: DataFrame, target: float = 0.99) -> DataFr
 
         return texts.mapInPandas(run, schema)
 
-    parts = [searched(index) for index in _indexes(benchmark, target)]
+    parts = [stored(searched(index), "leaks") if several else searched(index) for index, several in _indexes(benchmark, target)]
     return reduce(DataFrame.unionByName, parts)
 
 
-def drop_leaking(docs: DataFrame, benchmark: DataFrame, target: float = 0.99) -> DataFrame:
-    """The rows of docs, with all their columns, whose text holds no benchmark item."""
+def drop_leaking(
+    docs: DataFrame, benchmark: DataFrame, target: float = 0.99, least_words: int = LEAST_WORDS
+) -> DataFrame:
+    """The rows of docs, with all their columns, whose text holds no benchmark item of `least_words` words or more.
+
+    Shorter items are no evidence of a leak: plain phrases would take clean documents away.
+    """
     ship(docs.sparkSession)
-    kept = packed(docs)
+    rows = packed(docs)
+    text = text_of(F.col("row.text"))
 
     def holds(index: Index) -> Column:
-        @F.pandas_udf("boolean")
-        def held(texts: pd.Series) -> pd.Series:
+        @F.arrow_udf("boolean")
+        def held(texts: pa.Array) -> pa.Array:
             out = np.zeros(len(texts), dtype=bool)
-            for text, *_ in search(texts.tolist(), index):
-                out[text] = True
-            return pd.Series(out)
-
-        return held(text_of(F.col("row.text")))
-
-    for index in _indexes(benchmark, target):
-        kept = kept.where(~holds(index))
-    return kept.select("row.*")
+            for leak in search(texts.to_pylist(), index):
+                out[leak[0]] = True
+            return pa.array(out)
+
+        return held(text)
+
+    key = [F.xxhash64(text).alias("text_hash"), F.crc32(text.cast("binary")).alias("text_crc"), F.octet_length(text).alias("size")]
+    found = []
+    for index, several in _indexes(benchmark, target, least_words):
+        if not several:
+            return rows.where(~holds(index)).select("row.*")
+        found.append(stored(rows.where(holds(index)).select(*key).distinct(), "leaking"))
+    leaking = reduce(DataFrame.unionByName, found).distinct()
+    return rows.select("row", *key).join(leaking, ["text_hash", "text_crc", "size"], "left_anti").select("row.*")

@@ -55,7 +55,7 @@ def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (None, "a one two three four five six b"), (3, "x y z u v w"), (3, "x y z u v w"), (4, "too short"), (5, "w " * 50_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(((r.doc_id, r.item_id, r.distance, r.first_word, r.end_word) for r in d.leaks(docs, items).collect()), key=str)
-    assert got == [(3, None, 0, 0, 6), (3, None, 0, 0, 6), (None, 1, 0, 1, 7)]
+    assert got == [(3, None, 0, 0, 6), (3, None, 0, 0, 6), (4, 3, 0, 0, 2), (None, 1, 0, 1, 7)]
     assert d.leaks(docs.limit(0), items).count() == 0 and d.leaks(docs, items.limit(0)).count() == 0
     assert d.drop_leaking(docs.selectExpr("*", "1 as row", "2 as item_id"), items).columns == ["doc_id", "text", "row", "item_id"]
 
@@ -67,6 +67,34 @@ def test_several_passes(spark, monkeypatch):
     assert {(i, i) for i, _ in ITEMS} <= got
 
 
+def test_short_items_stand_word_by_word(spark):
+    rng = random.Random(4)
+    some = lambda n: " ".join(rng.choice("abc") for _ in range(n))
+    items = [(i, some(1 + i % 4)) for i in range(24)] + [(24, "what is it"), (24, "what is it"), (25, "...")]
+    docs = [(i, some(rng.randrange(12))) for i in range(60)] + [(60, "answer: what is it ok"), (61, "What, is it? what is it"), (62, "what is")]
+    want = []
+    for doc, text in docs:
+        words = plain.words(text)
+        for item, own in items:
+            n = len(w := plain.words(own))
+            place = next((k for k in range(len(words) - n + 1) if words[k: k + n] == w), None) if n else None
+            want += [(doc, item, 0, n, place, place + n)] if place is not None else []
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [(r.doc_id, r.item_id, r.distance, r.item_words, r.first_word, r.end_word) for r in d.leaks(frame.repartition(3), bench).collect()]
+    assert sorted(got) == sorted(want) and (60, 24, 0, 3, 1, 4) in got
+    assert d.drop_leaking(frame, bench).count() == len(docs)
+    kept = {r.doc_id for r in d.drop_leaking(frame, bench, least_words=3).collect()}
+    assert kept == {doc for doc, _ in docs} - {doc for doc, _, _, n, *_ in want if n >= 3}
+
+
+def test_drop_in_several_passes(spark, monkeypatch):
+    docs = [(i, "before " + t + " after") for i, t in ITEMS] + [(100, "clean text without any item"), (101, None), (101, None)]
+    frame = spark.createDataFrame([(*r, 1, 2) for r in docs], "doc_id long, text string, text_hash int, size int")
+    monkeypatch.setattr(d, "BLOCK_ITEMS", 7)
+    kept = d.drop_leaking(frame, spark.createDataFrame(ITEMS, "item_id long, text string"))
+    assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == [100, 101, 101]
+
+
 def test_best_match_against_plain():
     rng = np.random.default_rng(2)
     for _ in range(200):
