@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +19,13 @@ from calipers.functions.shapes import (
     near_parallel,
 )
 from calipers.operators.components import pointer_roots
-from calipers.runtime import settle
+from calipers.operators.tiles import whole_groups
+from calipers.runtime import settle, ship
 
 ANGLE_CELLS = 45  # cells per half turn: 4 degrees each
 OFFSET_CELL = 128.0  # pixels
+#: Earlier segments that a sweep takes at a time, and later ones that are compared with them at once.
+EARLIER, LATER = 256, 4096
 
 
 def with_angle(segments: DataFrame) -> DataFrame:
@@ -95,16 +101,122 @@ def similar_segments(
     )
 
 
-def segment_groups(segments: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def _similar(i: np.ndarray, j: np.ndarray, theta_limit: float, dist_limit: float) -> np.ndarray:
+    """The rule of `similar_segments` on rows (x1, y1, x2, y2, theta) along the last axis."""
+    def off(line: np.ndarray, seg: np.ndarray) -> np.ndarray:
+        dx, dy = line[..., 2] - line[..., 0], line[..., 3] - line[..., 1]
+        length = np.sqrt(dx * dx + dy * dy)
+        one, two = (
+            (dx * (seg[..., k + 1] - line[..., 1]) - dy * (seg[..., k] - line[..., 0])) / length for k in (0, 2)
+        )
+        return np.where(one * two <= 0, 0.0, np.maximum(np.abs(one), np.abs(two)))
+
+    with np.errstate(all="ignore"):  # no length: NaN, which is similar to nothing
+        gap = i[..., 4] - j[..., 4]
+        turn = np.minimum(np.abs(gap), np.minimum(np.abs(gap + math.pi), np.abs(gap - math.pi)))
+        return (turn < theta_limit) & (off(i, j) < dist_limit) & (off(j, i) < dist_limit)
+
+
+def _sweep(
+    seg: np.ndarray, place: np.ndarray, later: np.ndarray, earlier: np.ndarray, theta_limit: float, dist_limit: float
+) -> np.ndarray:
+    """For each of the rows `later`, the first of the rows `earlier` it is similar to, or -1; both ascend.
+
+    The earlier rows are taken a few at a time, and a row that has found its first one is done: a cell of
+    segments on one line takes one step.
+    """
+    first = np.full(len(later), -1, dtype=np.int64)
+    for begin in range(0, len(earlier), EARLIER):
+        some = earlier[begin: begin + EARLIER]
+        open_ = np.flatnonzero((first < 0) & (seg[later] > seg[some[0]]))
+        for part in np.array_split(open_, max(1, len(open_) // LATER)):
+            rows = later[part]
+            hit = _similar(place[rows][:, None], place[some][None, :], theta_limit, dist_limit)
+            hit &= seg[rows][:, None] > seg[some][None, :]
+            found = hit.any(axis=1)
+            first[part[found]] = some[hit[found].argmax(axis=1)]
+    return first
+
+
+def _firsts(
+    cell: np.ndarray, is_later: np.ndarray, seg: np.ndarray, place: np.ndarray, theta_limit: float, dist_limit: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of later segments and the row of the first earlier one each is similar to; rows by cell, then segment."""
+    later, earlier = np.flatnonzero(is_later), np.flatnonzero(~is_later)
+    cells = int(cell[-1]) + 1
+    n_later, n_earlier = np.bincount(cell[later], minlength=cells), np.bincount(cell[earlier], minlength=cells)
+    at_later, at_earlier = np.cumsum(n_later) - n_later, np.cumsum(n_earlier) - n_earlier
+    small = n_later * n_earlier <= EARLIER * EARLIER
+    rows, first = [later[:0]], [later[:0]]
+    own = later[small[cell[later]]]
+    times = n_earlier[cell[own]]
+    for a, b in _bounded(times, LATER * EARLIER):
+        i = np.repeat(own[a:b], times[a:b])
+        offset = np.arange(len(i)) - np.repeat(np.cumsum(times[a:b]) - times[a:b], times[a:b])
+        j = earlier[at_earlier[cell[i]] + offset]
+        hit = np.flatnonzero((seg[i] > seg[j]) & _similar(place[i], place[j], theta_limit, dist_limit))
+        found, at = np.unique(i[hit], return_index=True)
+        rows.append(found)
+        first.append(j[hit[at]])
+    for c in np.flatnonzero(~small):
+        mine = later[at_later[c]: at_later[c] + n_later[c]]
+        found = _sweep(seg, place, mine, earlier[at_earlier[c]: at_earlier[c] + n_earlier[c]], theta_limit, dist_limit)
+        rows.append(mine[found >= 0])
+        first.append(found[found >= 0])
+    return np.concatenate(rows), np.concatenate(first)
+
+
+def _bounded(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of stretches of about `most` in total."""
+    ends = np.cumsum(sizes)
+    begin = 0
+    while begin < len(sizes):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield begin, end
+        begin = end
+
+
+def first_similar(
+    segments: DataFrame, theta_limit: float = PARALLEL_LIMIT, dist_limit: float = DISTANCE_LIMIT
+) -> DataFrame:
+    """(image_id, seg_id, first): the first earlier segment that each segment is similar to, where there is one.
+
+    The same as the least seg_j in `similar_segments`, without its pairs: in every cell the later segments sweep over
+    the earlier ones in order, and each stops at the first that is similar.
+    """
+    ship(segments.sparkSession)
+    base = with_angle(segments).select(
+        "image_id", "seg_id", *(F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2", "theta"))
+    )
+    cells = ["image_id", "angle_cell", "offset_cell"]
+    columns = [*cells, "seg_id", "later", "x1", "y1", "x2", "y2", "theta"]
+    both = _line_cells(base).withColumn("later", F.lit(True)).select(columns).unionByName(
+        _reach_cells(base, theta_limit, dist_limit).withColumn("later", F.lit(False)).select(columns)
+    )
+    kinds = {f.name: f.dataType.simpleString() for f in segments.schema.fields}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, cell in whole_groups(batches, cells):
+            seg, later = rows.column("seg_id").to_numpy(), rows.column("later").to_numpy()
+            place = np.stack([rows.column(c).to_numpy() for c in ("x1", "y1", "x2", "y2", "theta")], axis=1)
+            own, first = _firsts(cell, later, seg, place, theta_limit, dist_limit)
+            if len(own):
+                found = rows.select(["image_id", "seg_id"]).take(pa.array(own))
+                yield from found.append_column("first", rows.column("seg_id").take(pa.array(first))).combine_chunks().to_batches()
+
+    return both.repartition(*cells).sortWithinPartitions(*cells, "seg_id").mapInArrow(
+        run, f"image_id {kinds['image_id']}, seg_id {kinds['seg_id']}, first {kinds['seg_id']}"
+    )
+
+
+def segment_groups(segments: DataFrame) -> DataFrame:
     """(image_id, seg_id, edge_id): every segment joins the group of the first earlier one it is similar to.
 
     This is not the transitive closure: only the earliest similar segment counts.
     edge_id is the segment that opened the group.
     """
-    if pairs is None:
-        pairs = similar_segments(segments)
-    first = pairs.groupBy("image_id", F.col("seg_i").alias("seg_id")).agg(F.min("seg_j").alias("first"))
-    parents = segments.join(first, on=["image_id", "seg_id"], how="left").select(
+    parents = segments.join(first_similar(segments), on=["image_id", "seg_id"], how="left").select(
         "image_id", F.col("seg_id").alias("node"), F.coalesce("first", "seg_id").alias("parent")
     )
     return pointer_roots(parents, "image_id").select(

@@ -28,34 +28,35 @@ def run_id() -> Column:
     return F.col("y").cast("long") * 2**32 + F.col("x0")
 
 
-def _places(image: np.ndarray, ty: np.ndarray, tx: np.ndarray) -> np.ndarray:
-    """Where a new tile begins; rows of a tile stand together."""
-    new = np.ones(len(ty), dtype=bool)
-    new[1:] = (image[1:] != image[:-1]) | (ty[1:] != ty[:-1]) | (tx[1:] != tx[:-1])
+def _begins(table: pa.Table, key: list[str]) -> np.ndarray:
+    """Where a new group begins; rows of a group stand together."""
+    new = np.ones(table.num_rows, dtype=bool)
+    values = [table.column(c).to_numpy() for c in key]
+    new[1:] = np.any([v[1:] != v[:-1] for v in values], axis=0)
     return np.flatnonzero(new)
 
 
-def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """The rows of a partition that is sorted by tile, cut where a tile ends, with the number of each row's tile."""
+def whole_groups(batches: Iterator[pa.RecordBatch], key: list[str], least: int = 2 * TILE * TILE) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """The rows of a partition that is sorted by `key`, about `least` at a time, cut where a group ends, with their groups' numbers."""
     rest: list[pa.RecordBatch] = []
     held = 0
 
     def numbered(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
-        begins = _places(*(table.column(c).to_numpy() for c in ("image_id", "ty", "tx")))
         number = np.zeros(table.num_rows, dtype=np.int64)
-        number[begins[1:]] = 1
+        number[_begins(table, key)[1:]] = 1
         return table, np.cumsum(number)
 
     for batch in batches:
+        if not batch.num_rows:
+            continue
         rest.append(batch)
         held += batch.num_rows
-        if held >= 2 * TILE * TILE:
+        if held >= least:
             table = pa.Table.from_batches(rest)
-            last = int(_places(*(table.column(c).to_numpy() for c in ("image_id", "ty", "tx")))[-1])
+            last = int(_begins(table, key)[-1])
             if last:
                 yield numbered(table.slice(0, last))
-                rest = table.slice(last).to_batches()
-                held = table.num_rows - last
+                rest, held = table.slice(last).to_batches(), table.num_rows - last
     if held:
         yield numbered(pa.Table.from_batches(rest))
 
@@ -93,7 +94,7 @@ def smooth_tiles(pixels: DataFrame) -> DataFrame:
     key = ["image_id", "ty", "tx"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, tile in _whole_tiles(batches):
+        for table, tile in whole_groups(batches, key):
             x, y, ty, tx, v = (table.column(c).to_numpy().astype(np.int64) for c in ("x", "y", "ty", "tx", "v"))
             row, column = y - ty * TILE + 1, x - tx * TILE + 1
             width = TILE + 2

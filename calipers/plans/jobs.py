@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,7 @@ from calipers.operators import rings as R
 from calipers.operators import segments as S
 from calipers.operators import silhouette as I
 from calipers.runtime import settle
+from calipers.sources import feeds
 
 
 def dimension_lookup(
@@ -30,6 +32,23 @@ def dimension_lookup(
     return wide.withColumns({f"{d}_text": inches_label(F.col(f"{d}_in"), places) for d in A.DIMENSIONS})
 
 
+def dimension_job(
+    images: DataFrame, feed_folder: str, config: Mapping[str, Mapping[str, str]], start: dt.date, out_folder: str,
+    max_retries: int = 30,
+) -> tuple[dt.date, str]:
+    """From the feed to the written dimension table: the look-back day is found, its dimensions are looked up and stored.
+
+    Gives the day that was read and the folder that was written, which is named by `start`. No day within the look-back is an error, and
+    so is a folder that exists.
+    """
+    feed = feeds.read_lookback(images.sparkSession, feed_folder, start, max_retries)
+    if feed is None:
+        raise LookupError(f"no day with data in the {max_retries + 1} days up to {start} below {feed_folder}")
+    day = feed.select("snapshot_date").first()[0]
+    found = dimension_lookup(images, feed.drop("snapshot_date"), config)
+    return day, feeds.write_dimensions(found, out_folder, start)
+
+
 def collection_dimensions(
     feed: DataFrame, items: DataFrame, dictionary: DataFrame, values: Sequence[str], columns: Mapping[str, str]
 ) -> DataFrame:

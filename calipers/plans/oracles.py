@@ -108,6 +108,8 @@ def add(name: str, views: str, body: str) -> None:
 
 _in_text = ", ".join(f"{r6(f'{n}_in')} as {n}_in, {_label(f'{n}_in', 2)} as {n}_text" for n in ("width", "height", "depth"))
 add("dim_lookup", "image_numbers", f"select oms_id, width, height, depth, {_in_text} from image_numbers")
+add("dimension_job", "image_numbers", """select oms_id, width_in as width, height_in as height, depth_in as depth,
+    '2021-05-07' as day from image_numbers""")
 add("dim_guids", "image_choice", "select * from image_choice")
 add("pivot_dims", "item_dims", "select * from item_dims")
 add("eav_product", "item_attributes", f"select * from {_product(Q.EAV_COLUMNS)}")

@@ -20,9 +20,9 @@ from calipers.operators import segments as S
 from calipers.operators import silhouette as I
 from calipers.operators import snapshots as N
 from calipers.plans import jobs
-from calipers.runtime import settle
+from calipers.runtime import scratch, settle
 from calipers.sources import adapters as V
-from calipers.sources import sql
+from calipers.sources import feeds, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,6 +72,17 @@ def dim_lookup(spark, d):
     return rounded(found)
 
 
+@query
+def dimension_job(spark, d):
+    """The feed is stored as a day within the look-back and one before it; what the job writes is read back."""
+    folder, feed = scratch(spark, "feed"), V.item_attributes(spark, d)
+    start, used = dt.date(2021, 5, 10), dt.date(2021, 5, 7)
+    feeds.write_snapshot(feed, folder, used)
+    feeds.write_snapshot(feed.withColumn("attribute_value", F.lit("1 in")), folder, dt.date(2021, 4, 1))
+    day, target = jobs.dimension_job(V.merged_images(spark, d), folder, V.DIMENSION_CONFIG, start, scratch(spark, "dims"))
+    return feeds.read_dimensions(spark, target, 2).withColumn("day", F.lit(f"{day:%Y-%m-%d}"))
+
+
 @query
 def dim_guids(spark, d):
     return A.dimension_attributes(V.merged_images(spark, d), V.DIMENSION_CONFIG)

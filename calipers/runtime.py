@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -45,6 +46,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path for a new folder that every executor can reach."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Materialise `df` reliably and cut its lineage.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,6 +96,30 @@ def write_snapshot(df: DataFrame, folder: str, day: dt.date) -> None:
     )
 
 
+def snapshot_days(spark: SparkSession, folder: str) -> list[dt.date]:
+    """The days of a table written by `write_snapshot`, oldest first, from the names of its folders; no file is opened."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(path)]
+    return sorted(dt.date.fromisoformat(n.split("=")[1]) for n in names if re.fullmatch(r"snapshot_date=\d{4}-\d\d-\d\d", n))
+
+
+def read_lookback(spark: SparkSession, folder: str, start: dt.date, max_retries: int = 30) -> DataFrame | None:
+    """The newest day with rows in the `max_retries` + 1 days up to `start`; None when the whole look-back is empty.
+
+    The day comes from the folder names, so the files of other days are not opened. A day whose files hold
+    no row is passed over.
+    """
+    first = start - dt.timedelta(days=max_retries)
+    for day in reversed([d for d in snapshot_days(spark, folder) if first <= d <= start]):
+        rows = spark.read.option("basePath", folder).parquet(f"{folder.rstrip('/')}/snapshot_date={day:%Y-%m-%d}")
+        if not rows.isEmpty():
+            return rows
+    return None
+
+
 def write_review(records: DataFrame, folder: str) -> None:
     records.write.mode("errorifexists").json(folder)
 

@@ -206,3 +206,18 @@ def test_chosen_images_and_review_sink(spark, tmp_path):
     records = spark.createDataFrame([("7", ["g1"])], "oms_id string, all_image_guids array<string>")
     feeds.write_review(records, str(tmp_path / "review"))
     assert spark.read.json(str(tmp_path / "review")).first().asDict() == {"oms_id": "7", "all_image_guids": ["g1"]}
+
+
+def test_lookback_from_folder_names(spark, tmp_path, feed):
+    folder = str(tmp_path / "snap")
+    assert feeds.read_lookback(spark, folder, dt.date(2021, 5, 1)) is None
+    for day, rows in ((dt.date(2021, 3, 1), feed), (dt.date(2021, 4, 10), feed.limit(1)), (dt.date(2021, 4, 20), feed.limit(0))):
+        feeds.write_snapshot(rows, folder, day)
+    (tmp_path / "snap" / "snapshot_date=2021-04-30").mkdir()
+    (tmp_path / "snap" / "snapshot_date=2021-04-30" / "part-0.parquet").write_bytes(b"")  # unreadable if it were opened
+    assert feeds.snapshot_days(spark, folder)[0] == dt.date(2021, 3, 1)
+    got = feeds.read_lookback(spark, folder, dt.date(2021, 4, 29))
+    assert [r.snapshot_date for r in got.collect()] == [dt.date(2021, 4, 10)] and len(got.inputFiles()) == 1
+    assert feeds.read_lookback(spark, folder, dt.date(2021, 4, 9), 7) is None
+    with pytest.raises(LookupError):
+        jobs.dimension_job(spark.createDataFrame([], "product_type string, oms_id string"), folder, CONFIG, dt.date(2020, 1, 1), str(tmp_path / "out"))

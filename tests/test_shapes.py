@@ -322,3 +322,25 @@ def test_smoothing_over_tiles(spark):
     plan = I.smoothed(pixels)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 2  # one is that of repartition(7)
     assert I.smoothed(pixels.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("n", "size"), [(60, 120), (700, 200)])
+def test_first_similar_is_the_least_of_the_pairs(spark, n, size):
+    rng = np.random.default_rng(n)
+    rows = []
+    for image in range(3):
+        for seg in range(n):
+            x, y, angle, length = rng.uniform(0, size), rng.uniform(0, size), rng.choice([0, 0.05, 1.5, 3.1]) + rng.normal() / 40, rng.uniform(0, 60)
+            rows.append((image, seg, x, y, x + length * math.cos(angle), y + length * math.sin(angle)))
+        rows += [(image, n, 5.0, 5.0, 5.0, 5.0), (image, n + 1, None, 1.0, 2.0, 3.0)]
+    df = spark.createDataFrame(rows, "image_id int, seg_id int, x1 double, y1 double, x2 double, y2 double").repartition(5)
+    want = {(r.image_id, r.seg_i): r.j for r in S.similar_segments(df).groupBy("image_id", "seg_i").agg(F.min("seg_j").alias("j")).collect()}
+    assert {(r.image_id, r.seg_id): r.first for r in S.first_similar(df).collect()} == want and len(want) > n
+
+
+def test_segments_on_one_line(spark):
+    """20,000 segments on one line are one group; no list of their 200 million pairs is made."""
+    df = spark.range(20_000).selectExpr("1 as image_id", "id as seg_id", "double(id % 977) as x1", "3d as y1", "id % 977 + 9d as x2", "3d as y2")
+    got = S.segment_groups(df)
+    assert got.select("edge_id").distinct().count() == 1 and got.count() == 20_000
+    assert "Join" not in S.first_similar(df)._jdf.queryExecution().executedPlan().toString()
