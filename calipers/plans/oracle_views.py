@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from calipers.sources.adapters import ATTRIBUTE_NAMES, DIMENSION_CONFIG
 
 GUID = "md5(cast(l_partkey as varchar) || '-' || cast(l_suppkey as varchar))"
@@ -133,5 +136,9 @@ def with_views(names: str, body: str, views: dict[str, tuple[list[str], str]] =
 
     for name in names.split():
         add(name)
-    ctes = ",\n".join(f"{n} as ({views[n][1]})" for n in ordered)
+    # what several others read is computed once, and its size is known to them
+    used = Counter(dep for name in ordered for dep in set(views[name][0])) + Counter(names.split())
+    loops = {name for name in ordered if re.search(rf"\bfrom {name}\b|\bjoin {name}\b", views[name][1])}
+    kind = {name: "materialized " if used[name] > 1 and name not in loops else "" for name in ordered}
+    ctes = ",\n".join(f"{n} as {kind[n]}({views[n][1]})" for n in ordered)
     return f"with recursive {ctes}\n{body}"

@@ -164,12 +164,11 @@ add("lighting_items", "collection", "select * from collection")
 V["chosen_values"] = (["collection", "item_attributes"],
                       "select v.* from item_attributes v semi join collection c on v.oms_id = c.oms_id")
 _wanted = list(Q.COLLECTION_COLUMNS.items())
-_tables = ", ".join(f"chosen_values v{k}" for k in range(len(_wanted)))
-_same_item = " and ".join(f"v{k}.oms_id = p.oms_id and v{k}.attribute_id = '{a}'" for k, (_, a) in enumerate(_wanted))
-add("collection_dims", "chosen_values attributes", f"""select p.oms_id, p.attribute_value as image_guid,
-    {", ".join(f"v{k}.attribute_value as {n}" for k, (n, _) in enumerate(_wanted))}
-    from chosen_values p, {_tables} where {_same_item} and p.attribute_id in
-        (select attribute_id from attributes where lower(displayname) = 'product image')""")
+_wide = " ".join(
+    f"join (select oms_id, attribute_value as {n} from chosen_values where attribute_id = '{a}') using (oms_id)" for n, a in _wanted)
+add("collection_dims", "chosen_values attributes", f"""select oms_id, p.attribute_value as image_guid, {", ".join(n for n, _ in _wanted)}
+    from (select oms_id, attribute_value from chosen_values semi join (
+        select attribute_id from attributes where lower(displayname) = 'product image') using (attribute_id)) p {_wide}""")
 _front = {"width": "a-width", "depth": "a-depth", "height": "a-height", "canopy": "a-canopy", "image_guid": "a-image"}
 add("front_items", "items image_urls item_attributes top_style_rows", f"""select distinct oms_id, taxonomy, width, depth,
     height, canopy, image_guid, style, {r6("try_cast(canopy as double)")} as canopy_in
