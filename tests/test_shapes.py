@@ -169,9 +169,7 @@ def _edges(spark, segs, image=1):
                                        f"length double, theta double, seg1 {seg}, seg2 {seg}")
 
 
-@pytest.mark.parametrize("n", [7, 90])
-def test_greedy_matching(spark, n):
-    segs = _random_segments(n, 500, n)
+def _greedy(segs):
     ends = [(i, k, s[2 * k - 2], s[2 * k - 1]) for i, s in enumerate(segs) for k in (1, 2)]
     pairs = sorted(((a[2] - b[2]) ** 2 + (a[3] - b[3]) ** 2, a[0], b[0], a[1], b[1])
                    for a in ends for b in ends if a[0] > b[0])
@@ -180,8 +178,42 @@ def test_greedy_matching(spark, n):
         if (i, si) not in used and (j, sj) not in used:
             used |= {(i, si), (j, sj)}
             want.add((i, si, j, sj, d2))
-    got = [(r.edge_i, r.side_i, r.edge_j, r.side_j, r.d2) for r in C.match_corners(_edges(spark, segs)).collect()]
-    assert len(got) == len(set(got)) and set(got) == want
+    return want
+
+
+@pytest.mark.parametrize(("n", "most"), [(7, 256), (90, 256), (90, 8), (300, 16)])
+def test_greedy_matching(spark, n, most):
+    segs = _random_segments(n, 500, n)
+    got = [(r.edge_i, r.side_i, r.edge_j, r.side_j, r.d2) for r in C.match_corners(_edges(spark, segs), most).collect()]
+    assert len(got) == len(set(got)) and set(got) == _greedy(segs)
+
+
+def test_greedy_matching_of_a_crowd_and_an_outlier(spark):
+    """All ends but one stand in a thousandth of the picture: the cells are cut there, and only there."""
+    rng = random.Random(3)
+    near = lambda: rng.randrange(100) / 10
+    segs = [(near(), near(), near(), near()) for _ in range(150)] + [(9_000.0, 9_000.0, 3.0, 4.0)] + [(5.0, 5.0, 5.0, 5.0)] * 9
+    edges = _edges(spark, segs)
+    got = [(r.edge_i, r.side_i, r.edge_j, r.side_j, r.d2) for r in C.match_corners(edges, 24).collect()]
+    assert len(got) == len(set(got)) and set(got) == _greedy(segs)
+    cells = C._split(C.endpoints(edges), 24).groupBy(*C.CELL).count().collect()
+    assert len(cells) > 15 and max(c.level for c in cells) > 8 and sum(c["count"] for c in cells) == 2 * len(segs)
+    lost = _edges(spark, segs[:2]).withColumn("ex1", F.lit(None).cast("double"))
+    assert C.match_corners(lost).count() == 1 and C.match_corners(edges.limit(0)).count() == 0
+
+
+def test_reach_grows_in_a_large_cell():
+    """A cell of many ends lists its pairs within a growing reach; the result is that of one list."""
+    rng = np.random.default_rng(6)
+    x, y = rng.integers(0, 90, (2, 700)).astype(float)
+    edge, side = np.repeat(np.arange(350), 2), np.tile([1, 2], 350)
+    cell = np.repeat([0, 1, 2], [300, 10, 390])
+    sure = np.where(cell == 2, np.inf, rng.uniform(0, 20, 700))
+    small = C._decided(cell, edge, side, x, y, sure)
+    most, C.TOGETHER = C.TOGETHER, 10_000
+    whole = C._decided(cell, edge, side, x, y, sure)
+    C.TOGETHER = most
+    assert sorted(zip(*(v.tolist() for v in small))) == sorted(zip(*(v.tolist() for v in whole)))
 
 
 def _plain_walk(segs):
