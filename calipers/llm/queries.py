@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from calipers.llm import decontaminate, html, jaccard, licences, mixing, neighbours, packing, ranking, repeats, runs, secrets, sharding, toxicity
 from calipers.llm.common import table
-from calipers.llm.sql import MIX, RANK
+from calipers.llm.sql import MIX, RANK, SHARD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cgk_leaks": lambda spark, sf: decontaminate.leaks(
@@ -37,4 +37,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {"op3_curriculum_mix": MIX, "op11_best_position": RANK}
+SQL: dict[str, str] = {"op2_jump_shards": SHARD, "op3_curriculum_mix": MIX, "op11_best_position": RANK}

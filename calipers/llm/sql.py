@@ -42,6 +42,31 @@ select doc_id, size, source_size, target, (copies * size)::bigint as taken, copi
 from x
 """
 
+# The checksum is CRC-32 byte by byte; its table follows from the reversed polynomial.
+SHARD = r"""
+with recursive step as (
+    select list_transform(range(256), lambda b: list_reduce([b::bigint, 0, 1, 2, 3, 4, 5, 6, 7],
+        lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end)) as crc_of
+), counted as (
+    select doc_id, coalesce(strlen(text), 0) as bytes, coalesce(doc_id, -1)::bigint as key,
+        list_transform(regexp_extract_all(hex(coalesce(text, '')), '..'), lambda p: ('0x' || p)::bigint) as octets from documents
+), summed as (
+    select doc_id, key, bytes + 1 as size, case when bytes = 0 then 0 else xor(4294967295::bigint, list_reduce(octets,
+        lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255)::bigint + 1]), 4294967295::bigint)) end::bigint as text_crc32 from counted, step
+), jump as (
+    select key, shards, case when key < 0 then key::hugeint + 18446744073709551616 else key end::uhugeint as state, -1::bigint as spot, 0::bigint as ahead
+    from (select distinct key from counted), (select unnest([8, 9]) as shards)
+    union all
+    select key, shards, turned, ahead, floor((ahead + 1) * (2147483648.0::double / ((turned >> 33)::double + 1.0)))::bigint
+    from (select *, (state * 2862933555777941757::uhugeint + 1) % 18446744073709551616::uhugeint as turned from jump where ahead < shards)
+), placed as (
+    select key, max(spot) filter (where shards = 8)::int as shard, max(spot) filter (where shards = 9)::int as grown_shard from jump group by key
+)
+select doc_id, size::bigint as size, text_crc32, 'key' as law, shard,
+    row_number() over (partition by shard order by doc_id nulls first, text_crc32, size) - 1 as slot, grown_shard
+from summed join placed using (key)
+"""
+
 RANK = r"""
 with d as (
     select row_number() over () as r, doc_id, unnest(regexp_extract_all(
