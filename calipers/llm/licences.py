@@ -3,7 +3,8 @@
 A text is reduced to a canonical form (case, copyright notices, links, equivalent spellings,
 punctuation and white space), and the digest of the form is joined with the digests of known
 licence texts and statements. Units of the scan are whole texts and, where a text has
-several, its lines; a unit is compared as a whole, never in part.
+several, its lines; a unit is compared as a whole, never in part. A whole text with copyright notices has a second
+form, in which lines are joined before the notices go, so that texts with notices inside are found however they are wrapped.
 """
 
 from __future__ import annotations
@@ -173,12 +174,24 @@ def _whole(lines: Column) -> Column:
     return F.regexp_replace(form, r"\b(?:ver|v) (?=[0-9])", "version ")
 
 
+def _joined(text: Column) -> Column:
+    """The form of the whole text with its lines joined before notices are taken out, so that it does not depend on line ends."""
+    return _whole(forms(F.regexp_replace(text, r"[\t-\r\x20]+", " ")))
+
+
+def _noticed(text: Column) -> Column:
+    """Whether a notice may stand in the text; without one, both forms of the whole text say the same."""
+    return _hinted(F.lower(text), PATTERNS[0][2])
+
+
 def known_digests(spark: SparkSession) -> DataFrame:
-    """digest, licence: one row per canonical form of the fixed texts and statements."""
+    """digest, licence: one row per canonical form of the fixed texts and statements, taken line by line and with lines joined."""
     rows = [(licence, text) for licence, texts in TEXTS.items() for text in texts]
     rows += [(licence, form.format(name)) for licence, names in NAMES.items() for name in names for form in STATEMENTS]
-    texts = spark.createDataFrame(rows, "licence string, text string").select("licence", forms(F.col("text")).alias("lines"))
-    return texts.select("licence", F.sha2(_whole(F.col("lines")), 256).alias("digest")).groupBy("digest").agg(F.min("licence").alias("licence"))
+    texts = spark.createDataFrame(rows, "licence string, text string")
+    both = F.explode(F.array(_whole(forms(F.col("text"))), _joined(F.col("text")))).alias("form")
+    digests = texts.select("licence", both).where("form <> ''").select("licence", F.sha2("form", 256).alias("digest"))
+    return digests.groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -191,12 +204,23 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """
     own = known is None
     known = known_digests(docs.sparkSession) if own else known.select("digest", "licence")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), forms(text_of(F.col("text"))).alias("lines"))
-    unit = lambda line, form: F.struct(line.cast("int").alias("line"), F.sha2(form, 256).alias("digest"))
-    several = F.when(F.size("lines") > 1, F.transform("lines", lambda x, i: F.when(x != "", unit(i + 1, x))))
-    units = F.concat(F.array(unit(F.lit(0), _whole(F.col("lines")))), F.coalesce(several, F.array()))
-    digests = texts.select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.line", "u.digest")
-    # the built-in table is fixed and has under 800 rows; a caller's is left to the optimiser
-    return digests.join(F.broadcast(known) if own else known, "digest").select(
-        "doc_id", F.when(F.col("line") == 0, "text").otherwise("line").alias("unit"), "line", "licence", "digest"
+    text = text_of(F.col("text"))
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), forms(text).alias("lines"),
+        F.when(_noticed(text), F.sha2(_joined(text), 256)).alias("joined"),
+    )
+    unit = lambda line, digest, joined: F.struct(
+        line.cast("int").alias("line"), digest.alias("digest"), joined.cast("string").alias("joined")
     )
+    none = F.lit(None)
+    several = F.when(F.size("lines") > 1, F.transform("lines", lambda x, i: F.when(x != "", unit(i + 1, F.sha2(x, 256), none))))
+    units = F.concat(F.array(unit(F.lit(0), F.sha2(_whole(F.col("lines")), 256), F.col("joined"))), F.coalesce(several, F.array()))
+    digests = texts.select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.*")
+    # the built-in table is fixed and has under 1,000 rows; a caller's is left to the optimiser
+    table = F.broadcast(known) if own else known
+    other = table.select(F.col("digest").alias("joined"), F.col("licence").alias("joined_licence"))
+    return digests.join(table, "digest", "left").join(other, "joined", "left").select(
+        "doc_id", F.when(F.col("line") == 0, "text").otherwise("line").alias("unit"), "line",
+        F.coalesce("licence", "joined_licence").alias("licence"),
+        F.when(F.col("licence").isNotNull(), F.col("digest")).otherwise(F.col("joined")).alias("digest"),
+    ).where("licence is not null")

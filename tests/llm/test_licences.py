@@ -19,13 +19,22 @@ def plain(text):
     return " ".join(x for x in out if x)
 
 
+def joined(text):
+    return plain(regex.sub(r"[\t-\r\x20]+", " ", text or ""))
+
+
+def digest(form):
+    return hashlib.sha256(form.encode()).hexdigest()
+
+
 def known():
     out = {}
     rows = [(k, t) for k, texts in licences.TEXTS.items() for t in texts]
     rows += [(k, s.format(n)) for k, names in licences.NAMES.items() for n in names for s in licences.STATEMENTS]
     for licence, text in rows:
-        d = hashlib.sha256(plain(text).encode()).hexdigest()
-        out[d] = min(licence, out.get(d, licence))
+        for form in (plain(text), joined(text)):
+            if form:
+                out[digest(form)] = min(licence, out.get(digest(form), licence))
     return out
 
 
@@ -34,8 +43,10 @@ def want(rows):
     for doc_id, text in rows:
         lines = (text or "").split("\n")
         for k, part in enumerate([text or "", *(lines if len(lines) > 1 else [])]):
-            d = hashlib.sha256(plain(part).encode()).hexdigest()
-            if d in table:
+            d, other = digest(plain(part)), digest(joined(part))
+            noticed = not k and any(h in (text or "").lower() for h in licences.PATTERNS[0][2])
+            if d in table or (noticed and other in table):
+                d = d if d in table else other
                 out.append((doc_id, "line" if k else "text", k, table[d], d))
     return sorted(out, key=str)
 
@@ -97,3 +108,17 @@ def test_full_texts_with_and_without_title(spark):
     got = licences.scan(spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")).where("unit = 'text'").collect()
     assert {r.doc_id: r.licence for r in got} == {i: name for i, name, _ in rows}
     assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0", "Unlicense"} <= set(licences.FULL)
+
+
+def test_full_texts_wrapped_anew(spark):
+    """Every full text, GNU texts with their notices included, in any wrapping and in one line."""
+    rows, names = [], {}
+    for name, text in licences.FULL.items():
+        paragraphs = [" ".join(p.split()) for p in text.split("\n\n")]
+        for width in (25, 40, 60, 72, 80, 100, 120, 10**6):
+            names[len(rows)] = name
+            rows.append((len(rows), "\n\n".join(textwrap.fill(p, width, break_on_hyphens=False, break_long_words=False) for p in paragraphs)))
+        names[len(rows)] = name
+        rows.append((len(rows), " ".join(paragraphs)))
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("unit = 'text'").collect()
+    assert {r.doc_id: r.licence for r in got} == names
