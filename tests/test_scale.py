@@ -1,10 +1,14 @@
 """Steps that fail only on large tables, told from their plans or from how often they run."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from calipers.operators import attributes as A
 from calipers.operators import rings as R
 from calipers.operators import segments as S
+from calipers.plans.registry import QUERIES
+from calipers.sources import adapters as V
 
 
 def _optimized(df):
@@ -54,3 +58,39 @@ def test_the_filter_walks_once(spark, monkeypatch):
     edges = settle(S.edges_of(_segments(spark)))
     assert R.ring_filter(edges, R.ring_order(edges)).count() == 160
     assert sum(plan.count("MapInPandas") for plan in plans) == 1
+
+
+@pytest.fixture(scope="module")
+def parts(spark, tmp_path_factory):
+    """A folder with a small table of parts, in one file."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    rows = [(k, f"old widget {k}", "Brand#11", "LARGE" if k % 2 else "PROMO", k % 7 + 8, 900.0 + k) for k in range(12)]
+    kinds = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    spark.createDataFrame(rows, kinds).coalesce(1).write.parquet(f"{folder}/part.parquet")
+    return folder
+
+
+def test_pixels_are_made_on_all_cores(spark, parts):
+    pixels = V.pixels(spark, parts)
+    assert pixels.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert pixels.count() == 12 * V.IMAGE_WIDTH * V.IMAGE_HEIGHT
+
+
+def test_canopy_query_takes_hulls_once(spark, parts):
+    ends = QUERIES["canopy_ends"](spark, parts)
+    assert ends.columns[-2:] == ["line_y1", "line_y2"] and ends.count() == 12
+    assert _optimized(ends).toString().count("Join") == 1
+
+
+def test_the_dictionary_is_known_to_be_small(spark):
+    names = V.attributes(spark, "")
+    assert {tuple(r) for r in names.collect()} == set(V.ATTRIBUTE_NAMES.items())
+    assert int(_optimized(names).stats().sizeInBytes()) < 1 << 20
+
+
+def test_unwanted_attributes_are_left_out_before_the_least_values(spark):
+    wanted = spark.createDataFrame([("1", "w", "width"), ("2", None, "width")], "oms_id string, dimension_guid string, dimension_name string")
+    feed = spark.createDataFrame([("1", "w", "3"), ("1", "w", "2"), ("1", "image", "x"), ("2", None, "5")], "oms_id string, attribute_id string, attribute_value string")
+    found = A.pivot_dimensions(wanted, feed)
+    assert sorted(map(tuple, found.collect())) == [("1", "2", None, None), ("2", None, None, None)]
+    assert "LeftSemi" in _optimized(found).toString()
