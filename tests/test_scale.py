@@ -94,3 +94,14 @@ def test_unwanted_attributes_are_left_out_before_the_least_values(spark):
     found = A.pivot_dimensions(wanted, feed)
     assert sorted(map(tuple, found.collect())) == [("1", "2", None, None), ("2", None, None, None)]
     assert "LeftSemi" in _optimized(found).toString()
+
+
+def test_pictures_of_few_segments_are_one_cell(spark, monkeypatch):
+    """Small and large pictures together give the firsts of the list of all pairs."""
+    monkeypatch.setattr(S, "FEW", 10)
+    rng = np.random.default_rng(3)
+    rows = [(i, k, *map(float, rng.integers(0, 60, 4))) for i, n in enumerate((3, 10, 11, 40)) for k in range(n)]
+    df = spark.createDataFrame(rows, "image_id long, seg_id int, x1 double, y1 double, x2 double, y2 double")
+    sized = df.join(df.groupBy("image_id").agg(F.count("*").alias("n")), on="image_id")
+    want = S.similar_segments(df).groupBy("image_id", "seg_i").agg(F.min("seg_j").alias("j"))
+    assert {tuple(r) for r in S.first_similar(sized, held="n").collect()} == {tuple(r) for r in want.collect()}
