@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from calipers.operators import attributes as A
+from calipers.operators import corners as C
 from calipers.operators import rings as R
 from calipers.operators import segments as S
 from calipers.plans.registry import QUERIES
@@ -105,3 +106,26 @@ def test_pictures_of_few_segments_are_one_cell(spark, monkeypatch):
     sized = df.join(df.groupBy("image_id").agg(F.count("*").alias("n")), on="image_id")
     want = S.similar_segments(df).groupBy("image_id", "seg_i").agg(F.min("seg_j").alias("j"))
     assert {tuple(r) for r in S.first_similar(sized, held="n").collect()} == {tuple(r) for r in want.collect()}
+
+
+def _parts(spark, folder, n=60):
+    """`part` and `lineitem` of a few rows, as the views read them."""
+    size = (F.col("id") % 50 + 1).cast("int")
+    kind = F.element_at(F.array(*map(F.lit, ("PROMO", "LARGE", "SMALL", "ECONOMY"))), (F.col("id") % 4 + 1).cast("int"))
+    spark.range(1, n + 1).select(
+        F.col("id").alias("p_partkey"), F.lit("red widget").alias("p_name"), F.concat(F.lit("Brand#"), F.col("id") % 15 + 10).alias("p_brand"),
+        kind.alias("p_type"), size.alias("p_size"), (F.col("id") * 1.5 + 900).alias("p_retailprice"),
+    ).write.parquet(f"{folder}/part.parquet")
+    spark.range(1, n + 1).select(F.col("id").alias("l_partkey"), (F.col("id") % 7).alias("l_suppkey")).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_rows_of_all_pictures_are_not_broadcast(spark, tmp_path, monkeypatch):
+    seen = []
+    settle = C.settle
+    monkeypatch.setattr(C, "settle", lambda df: seen.append(_physical(df)) or settle(df))
+    folder = _parts(spark, tmp_path)
+    for name in ("really_front", "annotation_plan"):
+        seen.append(_physical(QUERIES[name](spark, folder)))
+    joins = [plan for plan in seen if "Join" in plan]
+    assert len(joins) > 4 and not any("BroadcastHashJoin" in plan for plan in joins)
