@@ -1,13 +1,19 @@
 """Steps that fail only on large tables, told from their plans or from how often they run."""
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from calipers.operators import attributes as A
 from calipers.operators import corners as C
 from calipers.operators import rings as R
 from calipers.operators import segments as S
+from calipers.operators import silhouette as I
+from calipers.operators import tiles as T
+from calipers.plans import jobs
 from calipers.plans.registry import QUERIES
 from calipers.sources import adapters as V
 
@@ -129,3 +135,41 @@ def test_rows_of_all_pictures_are_not_broadcast(spark, tmp_path, monkeypatch):
         seen.append(_physical(QUERIES[name](spark, folder)))
     joins = [plan for plan in seen if "Join" in plan]
     assert len(joins) > 4 and not any("BroadcastHashJoin" in plan for plan in joins)
+
+
+def test_measured_pictures_are_not_broadcast(spark, tmp_path):
+    folder = _parts(spark, tmp_path)
+    assert "Broadcast" not in _physical(V.picture_pixels(spark, folder))
+    boxes = jobs.measured_boxes(V.picture_pixels(spark, folder), V.pictures(spark, folder), 0.01)
+    assert "SortMergeJoin" in _physical(boxes) and boxes.count() == 60
+
+
+def test_pixels_are_made_without_a_join_and_filters_do_not_repeat_their_rules(spark, tmp_path):
+    pixels = V.pixels(spark, _parts(spark, tmp_path))
+    dark = pixels.where((F.col("r") + F.col("g") + F.col("b")) < 600)
+    assert "Join" not in _optimized(pixels).toString()
+    assert _optimized(dark).toString().count("CASE WHEN") == _optimized(pixels).toString().count("CASE WHEN")
+
+
+def test_pixels_of_a_row_are_moved_as_one():
+    y, x = (c.ravel() for c in np.mgrid[0:20, 0:600])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(x), 7)), pa.array(x.astype(np.int32)), pa.array(y.astype(np.int32)), pa.array(x * y)], ["image_id", "x", "y", "v"]
+    )
+    rows = pa.Table.from_batches(list(T._stretches(iter([batch]))))
+    assert rows.num_rows == 20 * (3 + 5)  # three tiles, and the columns 0, 255, 256, 511 and 512 for the tiles beside
+    assert pc.sum(rows.column("v").combine_chunks().value_lengths()).as_py() == 20 * 605
+
+
+def test_runs_of_pixels_that_come_in_any_order_and_twice(spark):
+    rng = np.random.default_rng(11)
+    rows = [(int(im) if im != 2 else None, int(x), int(y), int(level)) for im, x, y, level in zip(*(rng.integers(0, n, 3000) for n in (4, 40, 9, 2)))]
+    rows += [(9, x, y, 0) for y in range(5) for x in range(700) if x % 300]
+    mask = spark.createDataFrame(rows, "image_id long, x int, y int, level int")
+    island = F.col("x") - F.row_number().over(Window.partitionBy("image_id", "y", "level").orderBy("x"))
+    want = mask.withColumn("island", island).groupBy("image_id", "y", "level", "island").agg(
+        F.min("x").alias("x0"), F.max("x").alias("x1")
+    ).drop("island")
+    runs = I.mask_runs(mask, "level")
+    assert runs.schema.names == want.schema.names and "Window" not in _physical(runs)
+    assert want.exceptAll(runs).isEmpty() and runs.exceptAll(want).isEmpty()
