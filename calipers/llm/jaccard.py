@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from calipers.llm.common import by_size, packed, stored, text_of
 from calipers.llm.words import groups_of, mixed, shingles_of, words_of
 from calipers.operators.components import component_labels
-from calipers.runtime import settle, ship
+from calipers.runtime import checkpointed, ship
 
 WIDTH, SIMILARITY = 5, 0.8
 #: Trees, and minima in each one's whole prefix; of each minimum the lower 16 bits are kept.
@@ -333,7 +333,7 @@ def near_duplicates(docs: DataFrame, target: float = 0.999) -> DataFrame:
         for rows in _whole_cells(batches):
             yield _verify(rows, depth)
 
-    checked = settle(_in_cells(filled).mapInPandas(verify, "node binary, links long, root binary"))
+    checked = checkpointed(_in_cells(filled).mapInPandas(verify, "node binary, links long, root binary"))
     edges = checked.where("node <> root").select(F.lit(0).alias("g"), F.col("node").alias("a"), F.col("root").alias("b"))
     links = checked.groupBy("node").agg(F.sum("links").alias("others"))
     found = component_labels(edges, "g")

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from calipers.llm.common import stored_by, text_of
 from calipers.llm.words import mixed, powers
-from calipers.runtime import settle, ship
+from calipers.runtime import checkpointed, ship
 
 SPAN, GRAM = 50, 24
 #: Windows that a group puts in suffix order at once, as far as their anchors differ.
@@ -459,7 +459,7 @@ def _exchange(
 
     sent = chunks.mapInPandas(asked, _MESSAGE).repartition(parts, "grp", "kind")
     replies = sent.groupBy("grp", "kind").applyInPandas(answered, _REPLY).repartition(parts, "uid")
-    listed = settle(replies.groupBy("uid").agg(F.collect_list(F.struct("grp", "kind", "bits")).alias(name)))
+    listed = checkpointed(replies.groupBy("uid").agg(F.collect_list(F.struct("grp", "kind", "bits")).alias(name)))
     return chunks.join(listed, "uid", "left")
 
 

@@ -15,6 +15,7 @@ from calipers.operators import silhouette as I
 from calipers.operators import tiles as T
 from calipers.plans import jobs
 from calipers.plans.registry import QUERIES
+from calipers.runtime import only, release, settle
 from calipers.sources import adapters as V
 
 
@@ -173,3 +174,36 @@ def test_runs_of_pixels_that_come_in_any_order_and_twice(spark):
     runs = I.mask_runs(mask, "level")
     assert runs.schema.names == want.schema.names and "Window" not in _physical(runs)
     assert want.exceptAll(runs).isEmpty() and runs.exceptAll(want).isEmpty()
+
+
+def test_pixels_that_come_by_column_are_packed_by_row():
+    """Each row of a batch is one run, in whatever order its pixels come; a picture may have no name."""
+    x, y = (c.ravel() for c in np.mgrid[0:50, 0:20])
+    image = pa.array([None if k % 2 else 7 for k in y], pa.int64())
+    batch = pa.RecordBatch.from_arrays([image, pa.array(y.astype(np.int32)), pa.array(x.astype(np.int32))], ["image_id", "y", "x"])
+    rows = pa.Table.from_batches(list(T._packed(iter([batch]), ["image_id", "y"])))
+    assert sorted(rows.to_pylist(), key=lambda r: r["y"]) == [
+        {"image_id": None if k % 2 else 7, "y": k, "x0": 0, "x1": 49} for k in range(20)
+    ]
+
+
+def test_settled_steps_are_removed_when_their_result_is_settled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("calipers.runtime.scratch", lambda spark, name: f"{tmp_path}/{name}-{len(list(tmp_path.iterdir()))}")
+    outside = settle(spark.range(50))
+
+    def made():
+        first = settle(outside.select((F.col("id") % 5).alias("k")))
+        return settle(first.groupBy("k").count()).join(first.distinct().hint("merge"), on="k")
+
+    found = only(made)
+    assert sorted(map(tuple, found.collect())) == [(k, 10) for k in range(5)]
+    assert outside.count() == 50 and len(list(tmp_path.iterdir())) == 2
+    release(outside, found.select("k"))  # what is not a settled frame itself is left
+    assert found.count() == 5 and len(list(tmp_path.iterdir())) == 1
+
+
+def test_settled_rows_take_little_disk(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("calipers.runtime.scratch", lambda spark, name: f"{tmp_path}/{name}")
+    rows = settle(spark.range(100_000).select("id", (F.col("id") % 90).cast("double").alias("x1"), F.lit(3.0).alias("y1")))
+    assert rows.agg(F.sum("x1")).first()[0] == sum(k % 90 for k in range(100_000))
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 2_000_000
