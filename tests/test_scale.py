@@ -1,5 +1,7 @@
 """Steps that fail only on large tables, told from their plans or from how often they run."""
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -207,3 +209,14 @@ def test_settled_rows_take_little_disk(spark, tmp_path, monkeypatch):
     rows = settle(spark.range(100_000).select("id", (F.col("id") % 90).cast("double").alias("x1"), F.lit(3.0).alias("y1")))
     assert rows.agg(F.sum("x1")).first()[0] == sum(k % 90 for k in range(100_000))
     assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 2_000_000
+
+
+
+def test_a_ring_is_carried_without_the_segments_of_its_edges(spark, monkeypatch):
+    seen = []
+    settle_ = R.settle
+    monkeypatch.setattr(R, "settle", lambda df: seen.append(df.columns) or settle_(df))
+    edges = settle(S.edges_of(_segments(spark)))
+    ring = R.ring_filter(edges, R.ring_order(edges))
+    assert set(edges.columns) | {"pos", "entry"} == set(ring.columns) and ring.count() == 160
+    assert seen and not any({"seg1", "seg2"} & set(columns) for columns in seen)
