@@ -211,6 +211,28 @@ def test_settled_rows_take_little_disk(spark, tmp_path, monkeypatch):
     assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 2_000_000
 
 
+def _sent(spark, df):
+    """Rows of the left side of the first join in the plan."""
+    plan = _optimized(df)
+    while plan.nodeName() != "Join":
+        plan = plan.children().head()
+    return spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan.children().head()).count()
+
+
+def test_few_ends_are_sent_to_several_cells(spark):
+    rng = np.random.default_rng(7)
+    places = np.concatenate([rng.integers(-900, 900, (150, 4)), rng.integers(0, 5, (50, 4)) * 40]).astype(float)
+    rows = [(k % 2, k // 2, *map(float, p)) for k, p in enumerate(places)] + [(0, 400, float("nan"), 1.0, None, 2.0)]
+    edges = spark.createDataFrame(rows, "image_id long, edge_id long, ex1 double, ey1 double, ex2 double, ey2 double")
+    ends = [(im, e, s, x, y) for im, e, *p in rows[:-1] for s, (x, y) in enumerate((p[:2], p[2:]), 1)]
+    want = sorted(
+        (a[0], a[1], a[2], b[1], b[2]) for a in ends for b in ends
+        if a[0] == b[0] and a[1] > b[1] and (a[3] - b[3]) ** 2 + (a[4] - b[4]) ** 2 <= 40**2
+    )
+    pairs = C.endpoint_pairs(edges, 40.0)
+    assert sorted(tuple(r)[:5] for r in pairs.collect()) == want
+    assert _sent(spark, pairs) < 3 * len(ends)
+
 
 def test_a_ring_is_carried_without_the_segments_of_its_edges(spark, monkeypatch):
     seen = []
