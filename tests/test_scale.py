@@ -242,3 +242,11 @@ def test_a_ring_is_carried_without_the_segments_of_its_edges(spark, monkeypatch)
     ring = R.ring_filter(edges, R.ring_order(edges))
     assert set(edges.columns) | {"pos", "entry"} == set(ring.columns) and ring.count() == 160
     assert seen and not any({"seg1", "seg2"} & set(columns) for columns in seen)
+
+
+def test_matching_leaves_only_what_it_found(spark, tmp_path, monkeypatch):
+    edges = settle(S.edges_of(_segments(spark)))
+    monkeypatch.setattr("calipers.runtime.scratch", lambda spark, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    assert C.match_corners(edges, 4).count() == 160 and C.match_corners(edges).count() == 160
+    steps = [folder for folder in tmp_path.iterdir() if "cx" in spark.read.parquet(str(folder)).columns and "edge_i" not in spark.read.parquet(str(folder)).columns]
+    assert not steps
