@@ -250,3 +250,11 @@ def test_matching_leaves_only_what_it_found(spark, tmp_path, monkeypatch):
     assert C.match_corners(edges, 4).count() == 160 and C.match_corners(edges).count() == 160
     steps = [folder for folder in tmp_path.iterdir() if "cx" in spark.read.parquet(str(folder)).columns and "edge_i" not in spark.read.parquet(str(folder)).columns]
     assert not steps
+
+
+def test_a_measured_plan_leaves_its_boxes_and_sides(spark, tmp_path, monkeypatch):
+    folder = _parts(spark, tmp_path / "tables")
+    (tmp_path / "settled").mkdir()
+    monkeypatch.setattr("calipers.runtime.scratch", lambda spark, name: f"{tmp_path}/settled/{name}-{uuid.uuid4().hex}")
+    plan = QUERIES["measured_plan"](spark, folder)
+    assert len(list((tmp_path / "settled").iterdir())) == 2 and plan.count() > 60
